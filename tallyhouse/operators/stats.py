@@ -316,7 +316,15 @@ def box_stats(df: DataFrame, columns: Sequence[str], group: str, accuracy: int =
             F.max(F.when(within, F.col("value"))).alias("whisker_high"),
             F.count_if(~within).alias("outliers"),
         )
-        .withColumnsRenamed({"q0": "q1", "q1": "median", "q2": "q3"})
+        .select(
+            *keys,
+            F.col("q0").alias("q1"),
+            F.col("q1").alias("median"),
+            F.col("q2").alias("q3"),
+            "whisker_low",
+            "whisker_high",
+            "outliers",
+        )
     )
 
 
