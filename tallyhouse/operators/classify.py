@@ -6,9 +6,9 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Model
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.storagelevel import StorageLevel
 
 from tallyhouse.config import scratch_path, shared_dir
@@ -30,12 +30,24 @@ class Classifier:
 
     def score(self, df: DataFrame) -> DataFrame:
         """Add ``raw_score`` (probability of class 1) and ``predicted`` (score above 0.5)."""
-        scored = self.model.transform(to_vectors(df, self.features, self.scaling))
-        probability = vector_to_array("probability")[1]
+        if isinstance(self.model, LogisticRegressionModel):
+            probability = self._linear()
+            scored = df
+        else:
+            probability = vector_to_array("probability")[1]
+            scored = self.model.transform(to_vectors(df, self.features, self.scaling))
         return scored.select(
             *df.columns, probability.alias("raw_score"), (probability > 0.5).cast("int").alias("predicted")
         )
 
+    def _linear(self) -> Column:
+        """The regression as one generated expression: no vectors, no function calls per row."""
+        z = F.lit(float(self.model.intercept))
+        for name, weight in zip(self.features, self.model.coefficients.toArray(), strict=True):
+            mean, deviation = self.scaling[name]
+            z = z + F.lit(float(weight)) * (F.col(name).cast("double") - F.lit(mean)) / F.lit(deviation)
+        return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
+
 
 def training_rows(
     df: DataFrame,

@@ -41,7 +41,7 @@ def _closest(k: int):
                 out["id"].extend([own] * len(best))
                 out["neighbor"].extend(names[best])
                 out["distance"].extend(d[best])
-        return pd.DataFrame(out)
+        return pd.DataFrame(out).astype({"id": "object", "neighbor": "object", "distance": "float64"})
 
     return compare
 

@@ -212,7 +212,14 @@ def _with_limits(values: DataFrame, limits: DataFrame, keys: Sequence[str]) -> D
 def _cell(value: Column, low: Column, high: Column, bins: int) -> Column:
     """0-based equal-width cell; the maximum belongs to the last one."""
     width = (high - low) / F.lit(float(bins))
-    return F.when(high > low, F.least(F.floor((value - low) / width), F.lit(bins - 1))).otherwise(F.lit(0))
+    near = F.least(F.floor((value - low) / width), F.lit(bins - 1))
+    # A quotient at an edge may round to the wrong side: settle it by the edges themselves.
+    exact = (
+        F.when(value < low + near * width, near - 1)
+        .when((value >= low + (near + 1) * width) & (near < bins - 1), near + 1)
+        .otherwise(near)
+    )
+    return F.when(high > low, exact).otherwise(0)
 
 
 def histogram(

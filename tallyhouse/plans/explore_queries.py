@@ -700,9 +700,9 @@ def hist_equal_width(spark, folder):
 @query(
     "hist_density_by_class",
     with_views(
-        """SELECT churned, bin, round(lo + bin * (hi - lo) / 40, 6) AS lower,
-                  round(lo + (bin + 1) * (hi - lo) / 40, 6) AS upper, count(*) AS count,
-                  round(count(*) / (sum(count(*)) OVER (PARTITION BY churned) * (hi - lo) / 40), 6) AS density
+        """SELECT churned, bin, round(lo + bin * (hi - lo) / 40, 9) AS lower,
+                  round(lo + (bin + 1) * (hi - lo) / 40, 9) AS upper, count(*) AS count,
+                  round(count(*) / (sum(count(*)) OVER (PARTITION BY churned) * (hi - lo) / 40), 9) AS density
            FROM (SELECT churned, lo, hi, CAST(least(floor((churn_score - lo) / ((hi - lo) / 40)), 39) AS INTEGER) AS bin
                  FROM ps JOIN (SELECT churned, min(churn_score) AS lo, max(churn_score) AS hi FROM ps GROUP BY churned)
                       USING (churned))
@@ -712,7 +712,7 @@ def hist_equal_width(spark, folder):
 )
 def hist_density_by_class(spark, folder):
     scored = proxies.scored_customers(spark, folder)
-    return rounded(S.histogram(scored, "churn_score", 40, ["churned"], per_group_range=True))
+    return rounded(S.histogram(scored, "churn_score", 40, ["churned"], per_group_range=True), 9)
 
 
 @query(

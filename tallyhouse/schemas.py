@@ -5,32 +5,46 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(" ".join(spec.split()))
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "date": T.DateType(),
+}
+
+
+def struct(spec: str) -> T.StructType:
+    """``name type [not null], ...`` as a schema; unlike a DDL string it needs no session."""
+    fields = []
+    for column in spec.split(","):
+        name, kind, *rest = column.split()
+        fields.append(T.StructField(name, _TYPES[kind], nullable=not rest))
+    return T.StructType(fields)
 
 
-CSV_FEATURES = _struct(
+CSV_FEATURES = struct(
     """Customer_ID string, loyalty_member string, account_age_months int, total_orders int,
     days_since_last_purchase int, avg_order_value double, price_sensitivity_index double,
     browsing_frequency_per_week double, cart_abandonment_rate double, discount_usage_rate double,
     return_rate double, customer_support_tickets int, product_review_score_avg double,
     engagement_score double, satisfaction_score double"""
 )
-CSV_TARGETS = _struct("Customer_ID string, churned string")
-CSV_ORDERS = _struct(
+CSV_TARGETS = struct("Customer_ID string, churned string")
+CSV_ORDERS = struct(
     """order_id int, order_date string, product_category string, payment_method string,
     order_status string, customer_age int, order_value double, delivery_time_days int,
     customer_rating double, discount_applied string"""
 )
 
-DIM_LOYALTY = _struct("loyalty_status_id int not null, status_name string not null, description string")
-DIM_DATE = _struct(
+DIM_LOYALTY = struct("loyalty_status_id int not null, status_name string not null, description string")
+DIM_DATE = struct(
     """date_id int not null, full_date date not null, year int not null, quarter int not null,
     month int not null, month_name string not null, week_of_year int not null,
     day_of_month int not null, day_of_week int not null, day_name string not null,
     is_weekend int not null"""
 )
-FACT_CUSTOMERS = _struct(
+FACT_CUSTOMERS = struct(
     """customer_id string not null, loyalty_status_id int not null, account_age_months int not null,
     total_orders int not null, days_since_last_purchase int not null, avg_order_value double not null,
     price_sensitivity_index double not null, browsing_frequency_per_week double not null,
@@ -39,23 +53,23 @@ FACT_CUSTOMERS = _struct(
     product_review_score_avg double not null, engagement_score double not null,
     satisfaction_score double not null, churned int not null"""
 )
-FACT_ORDERS = _struct(
+FACT_ORDERS = struct(
     """order_id bigint not null, date_id int not null, product_category_id int not null,
     payment_method_id int not null, order_status_id int not null, customer_age int not null,
     order_value double not null, delivery_time_days int not null, customer_rating double not null,
     discount_applied int not null"""
 )
-CUSTOMER_SEGMENTS = _struct(
+CUSTOMER_SEGMENTS = struct(
     "customer_id string not null, cluster_id int not null, segment_name string not null"
 )
-CHURN_SCORES = _struct(
+CHURN_SCORES = struct(
     """customer_id string not null, churn_score double not null, churn_predicted int not null,
     risk_tier string not null"""
 )
 
 
 def lookup_schema(key: str, name: str) -> T.StructType:
-    return _struct(f"{key} int not null, {name} string not null")
+    return struct(f"{key} int not null, {name} string not null")
 
 
 WAREHOUSE = {

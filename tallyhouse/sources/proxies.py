@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyhouse.functions.expressions import bin_right_closed, cents, from_cents
 from tallyhouse.labels import TIER_EDGES, TIER_LABELS
@@ -109,22 +109,26 @@ def customers(
     )
 
 
-_FROM_ORDERS = {
-    "order_date": F.col("o_orderdate").cast("date"),
-    "payment_method": F.col("o_orderpriority"),
-    "order_status": F.col("o_orderstatus"),
-    "delivery_time_days": F.abs(
-        F.datediff(F.col("l_shipdate").cast("date"), F.col("o_orderdate").cast("date"))
-    ),
-}
-_FROM_PART = {"product_category": F.col("p_type"), "customer_age": F.col("p_size")}
-_FROM_LINES = {
-    "order_id": F.col("l_orderkey"),
-    "line_number": F.col("l_linenumber"),
-    "order_value": F.col("l_extendedprice"),
-    "customer_rating": F.col("l_quantity") / F.lit(10.0),
-    "discount_applied": (F.col("l_discount") > 0).cast("int"),
-}
+def _line_columns() -> tuple[dict, dict, dict]:
+    """Column expressions that read orders, parts, and the line itself."""
+    ordered = F.col("o_orderdate").cast("date")
+    from_orders = {
+        "order_date": ordered,
+        "payment_method": F.col("o_orderpriority"),
+        "order_status": F.col("o_orderstatus"),
+        "delivery_time_days": F.abs(F.datediff(F.col("l_shipdate").cast("date"), ordered)),
+    }
+    from_part = {"product_category": F.col("p_type"), "customer_age": F.col("p_size")}
+    from_line = {
+        "order_id": F.col("l_orderkey"),
+        "line_number": F.col("l_linenumber"),
+        "order_value": F.col("l_extendedprice"),
+        "customer_rating": F.col("l_quantity") / F.lit(10.0),
+        "discount_applied": (F.col("l_discount") > 0).cast("int"),
+    }
+    return from_orders, from_part, from_line
+
+
 ORDER_COLUMNS = [
     "order_id",
     "order_date",
@@ -146,22 +150,23 @@ def order_lines(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     is asked for is not joined at all: the result is the same and a shuffle is saved.
     """
     wanted = columns or tuple(ORDER_COLUMNS)
+    from_orders, from_part, from_line = _line_columns()
     frame = table(spark, folder, "lineitem")
-    if any(c in _FROM_ORDERS for c in wanted):
+    if any(c in from_orders for c in wanted):
         frame = frame.join(
             table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"), "left"
         )
-    if any(c in _FROM_PART for c in wanted):
+    if any(c in from_part for c in wanted):
         frame = frame.join(
             table(spark, folder, "part", "p_partkey", "p_type", "p_size"),
             F.col("l_partkey") == F.col("p_partkey"),
             "left",
         )
-    known = {**_FROM_ORDERS, **_FROM_PART, **_FROM_LINES}
+    known = {**from_orders, **from_part, **from_line}
     return frame.select(*[known[c].alias(c) for c in wanted])
 
 
-def fixed_score() -> object:
+def fixed_score() -> Column:
     """Fixed logistic expression over inactivity and engagement, unrounded."""
     z = F.lit(0.01) * (F.col("days_since_last_purchase") - 240) - F.lit(0.3) * (F.col("engagement_score") - 6)
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
