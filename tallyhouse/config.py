@@ -6,7 +6,10 @@ import tempfile
 import uuid
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 # Frames of at most this many rows may be held on the driver and broadcast.
 SMALL_ROWS = 20_000
@@ -49,15 +52,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def local_frame(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
+    """A few literal rows as a local relation, so the planner knows they are few."""
+    arrow = to_arrow_schema(schema)
+    columns = [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=arrow), schema)
+
+
+def stored(df: DataFrame, name: str = "stored") -> DataFrame:
+    """Write a frame to the shared folder once and read it back.
+
+    Cuts the lineage for work that passes over the rows several times; the table
+    survives lost executors.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def settle(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     """Fix the content of an aggregated frame that several branches read.
 
     Up to ``max_rows`` rows become a local relation, whose true size the planner
     knows (so it is broadcast only because it is small); a larger frame is written
-    to the shared folder by a reliable checkpoint and keeps its partitions.
+    to the shared folder and joined like any other table.
     """
     rows = df.limit(max_rows + 1).toArrow()
     if rows.num_rows <= max_rows:
         return df.sparkSession.createDataFrame(rows, df.schema)
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    return stored(df)

@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.storagelevel import StorageLevel
 
-from tallyhouse.config import scratch_path, shared_dir
+from tallyhouse.config import shared_dir, stored
 from tallyhouse.functions.expressions import bin_right_closed
 from tallyhouse.labels import CHURN_FEATURES, TIER_EDGES, TIER_LABELS
 from tallyhouse.operators.neighbors import oversample_minority
@@ -63,9 +63,7 @@ def training_rows(
     """
     split = stratified_split(df, label, identity, 0.8, seed)
     train = split.where(F.col("split") == "train")
-    path = scratch_path(df.sparkSession, "balanced")
-    oversample_minority(train, label, identity, features, seed=seed).write.parquet(path)
-    return split, df.sparkSession.read.parquet(path)
+    return split, stored(oversample_minority(train, label, identity, features, seed=seed), "balanced")
 
 
 def fit_logistic(

@@ -56,7 +56,9 @@ def nearest_neighbors(
 ) -> DataFrame:
     """``id, neighbor, distance, rank``: the k nearest other rows of each row.
 
-    Equal distances are ordered by id, which must be unique.
+    The ids must be unique. Equal distances are ordered by id; when more rows than k
+    share the last distance, those met first are kept, so many copies of one point do
+    not have to be compared with each other.
     """
     axis = _widest(df, features)
     points = df.select(
@@ -83,7 +85,7 @@ def nearest_neighbors(
             source.select("*", F.explode(F.array(*[F.lit(o) for o in fresh])).alias("offset"))
             .withColumn("target", F.col("slab") + F.col("offset"))
             .join(bounds.withColumnRenamed("slab", "target"), "target")
-            .where((F.col("lo") <= F.col("to") + F.col("radius")) & (F.col("hi") >= F.col("from") - F.col("radius")))
+            .where((F.col("lo") < F.col("to") + F.col("radius")) & (F.col("hi") > F.col("from") - F.col("radius")))
             .select("slab", "target")
         )
         pairs = settle(pairs, max_rows)
@@ -110,8 +112,8 @@ def nearest_neighbors(
             .join(left, "slab", "left")
             .join(right, "slab", "left")
             .where(
-                (F.col("axis") - F.col("left_edge") <= F.col("radius"))
-                | (F.col("right_edge") - F.col("axis") <= F.col("radius"))
+                (F.col("axis") - F.col("left_edge") < F.col("radius"))
+                | (F.col("right_edge") - F.col("axis") < F.col("radius"))
             )
             .select("id", "x", "axis", "slab", "radius"),
             max_rows,

@@ -6,20 +6,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallyhouse.config import SMALL_ROWS, shared_dir
+from tallyhouse.config import SMALL_ROWS, stored
 
 
 def _in_blocks(df: DataFrame, order_by: Sequence[str], max_rows: int) -> DataFrame:
     """Fixed content plus ``block``: ascending ranges of ``order_by``.
 
-    A small frame is one block. A larger one is range partitioned and checkpointed,
-    so every branch that reads it sees the same ranges.
+    A small frame is one block. A larger one is range partitioned and stored, so every
+    branch that reads it sees the same ranges.
     """
     rows = df.limit(max_rows + 1).toArrow()
     if rows.num_rows <= max_rows:
         return df.sparkSession.createDataFrame(rows, df.schema).withColumn("block", F.lit(0))
-    shared_dir(df.sparkSession)
-    return df.repartitionByRange(*order_by).withColumn("block", F.spark_partition_id()).checkpoint()
+    return stored(df.repartitionByRange(*order_by).withColumn("block", F.spark_partition_id()), "ranges")
 
 
 def running_totals(

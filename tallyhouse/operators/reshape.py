@@ -17,10 +17,12 @@ def group_count(df: DataFrame, *keys: str, name: str = "count") -> DataFrame:
 
 
 def group_share(df: DataFrame, *keys: str, name: str = "pct") -> DataFrame:
-    """Rows per key and their share of all counted rows, in percent."""
+    """Rows per key and their share of all counted rows, in percent.
+
+    The total is a scalar subquery over the counts, so many keys never meet in one task.
+    """
     counts = group_count(df, *keys)
-    total = F.sum("count").over(Window.partitionBy(F.lit(0)))
-    return counts.withColumn(name, percent(F.col("count"), total))
+    return counts.withColumn(name, percent(F.col("count"), counts.agg(F.sum("count")).scalar()))
 
 
 def crosstab(df: DataFrame, row: str, column: str, order: Sequence[str]) -> DataFrame:

@@ -54,33 +54,39 @@ def to_vectors(
 
 
 def fit_kmeans(
-    vectors: DataFrame, k: int, seed: int = 42, restarts: int = 10, max_iter: int = 300, parallelism: int = 4
-) -> KMeansModel:
-    """The lowest-cost model of several seeds; the fits share one cached frame.
+    vectors: DataFrame,
+    ks: Sequence[int],
+    seed: int = 42,
+    restarts: int = 10,
+    max_iter: int = 300,
+    parallelism: int = 8,
+) -> dict[int, KMeansModel]:
+    """Per k the lowest-cost model of several seeds.
 
-    The vectors should be cached by the caller.
+    All fits read one frame, which the caller caches, and run side by side: a fit has
+    many short jobs, so the executors would idle between those of a single one.
     """
 
     @inheritable_thread_target(vectors.sparkSession)
-    def fit(s: int) -> KMeansModel:
-        return KMeans(k=k, seed=s, maxIter=max_iter, tol=1e-4).fit(vectors)
+    def fit(task: tuple[int, int]) -> KMeansModel:
+        return KMeans(k=task[0], seed=task[1], maxIter=max_iter, tol=1e-4).fit(vectors)
 
-    with ThreadPool(min(parallelism, restarts)) as pool:
-        models = pool.map(fit, range(seed, seed + restarts))
-    return min(models, key=lambda m: m.summary.trainingCost)
+    tasks = [(k, s) for k in ks for s in range(seed, seed + restarts)]
+    with ThreadPool(min(parallelism, len(tasks))) as pool:
+        models = list(zip(tasks, pool.map(fit, tasks, chunksize=1), strict=True))
+    return {k: min((m for (j, _), m in models if j == k), key=lambda m: m.summary.trainingCost) for k in ks}
 
 
 def sweep_k(
     vectors: DataFrame, k_min: int = 2, k_max: int = 8, seed: int = 42, restarts: int = 10
 ) -> DataFrame:
     """``k, inertia, silhouette, best``; silhouette with squared Euclidean distance."""
-    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    cached = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     judge = ClusteringEvaluator(metricName="silhouette", distanceMeasure="squaredEuclidean")
     rows = []
-    for k in range(k_min, k_max + 1):
-        model = fit_kmeans(vectors, k, seed, restarts)
-        rows.append((k, float(model.summary.trainingCost), float(judge.evaluate(model.transform(vectors)))))
-    vectors.unpersist()
+    for k, model in fit_kmeans(cached, range(k_min, k_max + 1), seed, restarts).items():
+        rows.append((k, float(model.summary.trainingCost), float(judge.evaluate(model.transform(cached)))))
+    cached.unpersist()
     top = max(rows, key=lambda r: (r[2], -r[0]))[0]
     return vectors.sparkSession.createDataFrame(
         [(*r, int(r[0] == top)) for r in rows], "k int, inertia double, silhouette double, best int"
@@ -97,7 +103,7 @@ def assign_clusters(
     """Add ``cluster`` from K-Means on the scaled columns."""
     vectors = to_vectors(df, columns, fit_scaling(df, columns))
     cached = vectors.select("features").persist(StorageLevel.MEMORY_AND_DISK)
-    model = fit_kmeans(cached, k, seed, restarts)
+    model = fit_kmeans(cached, [k], seed, restarts)[k]
     cached.unpersist()
     return model.transform(vectors).select(*df.columns, F.col("prediction").alias("cluster"))
 

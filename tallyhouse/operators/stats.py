@@ -166,10 +166,32 @@ def describe(
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson r for each pair i < j in one aggregate: ``var1, var2, corr``."""
+    """Pearson r for each pair i < j: ``var1, var2, corr``, pairs with a null skipped.
+
+    Without nulls one pass gives the means and one the sums of centred products, few
+    enough for generated code; with nulls each pair has its own rows and is measured alone.
+    """
     pairs = list(combinations(columns, 2))
-    measured = [F.corr(F.col(a).cast("double"), F.col(b).cast("double")) for a, b in pairs]
-    one_row = df.agg(*[m.alias(f"r{i}") for i, m in enumerate(measured)])
+    x = {c: F.col(c).cast("double") for c in columns}
+    first = df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count(x[c]).alias(f"n_{c}") for c in columns],
+        *[F.avg(x[c]).alias(f"m_{c}") for c in columns],
+    ).first()
+    if first["rows"] and all(first[f"n_{c}"] == first["rows"] for c in columns):
+        centred = df.select(*[(x[c] - F.lit(first[f"m_{c}"])).alias(c) for c in columns])
+        sums = centred.agg(
+            *[F.sum(F.col(c) * F.col(c)).alias(f"s_{c}") for c in columns],
+            *[F.sum(F.col(a) * F.col(b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)],
+        )
+        one_row = sums.select(
+            *[
+                F.try_divide(F.col(f"r{i}"), F.sqrt(F.col(f"s_{a}")) * F.sqrt(F.col(f"s_{b}"))).alias(f"r{i}")
+                for i, (a, b) in enumerate(pairs)
+            ]
+        )
+    else:
+        one_row = df.agg(*[F.corr(x[a], x[b]).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     cells = [
         F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"), F.col(f"r{i}").alias("corr"))
         for i, (a, b) in enumerate(pairs)

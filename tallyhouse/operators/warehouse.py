@@ -6,10 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyhouse.config import SMALL_ROWS, settle
+from tallyhouse.config import SMALL_ROWS, local_frame, settle
 from tallyhouse.functions import expressions as X
 from tallyhouse.labels import LOYALTY_ROWS
 from tallyhouse.operators.ranking import number_rows
+from tallyhouse.schemas import DIM_LOYALTY
 
 CUSTOMER_MEASURES = [
     "account_age_months",
@@ -60,31 +61,33 @@ def date_dimension(dates: DataFrame, column: str) -> DataFrame:
 
 
 def lookup_dimensions(
-    df: DataFrame, columns: Sequence[str], order_by: Sequence[str], max_rows: int = SMALL_ROWS
+    df: DataFrame, columns: Sequence[str], order_by: str, max_rows: int = SMALL_ROWS
 ) -> dict[str, DataFrame]:
-    """Surrogate keys in order of first appearance, all lookups in one pass over ``df``."""
+    """Surrogate keys in order of first appearance, all lookups in one pass over ``df``.
+
+    Files have no row order in Spark, so appearance is the smallest ``order_by`` (a
+    number, which keeps the aggregation hash based); names that first appear together
+    are numbered alphabetically.
+    """
     cells = [F.struct(F.lit(c).alias("lookup"), F.col(c).alias("name")) for c in columns]
     seen = (
-        df.select(F.struct(*order_by).alias("place"), F.inline(F.array(*cells)))
+        df.select(F.col(order_by).alias("place"), F.inline(F.array(*cells)))
         .where(F.col("name").isNotNull())
         .groupBy("lookup", "name")
         .agg(F.min("place").alias("first_place"))
     )
     seen = settle(seen, max_rows)
-    return {
-        c: number_rows(
-            seen.where(F.col("lookup") == c).select("name", "first_place"),
-            ["first_place", "name"],
-            "key",
-            max_rows,
-        ).select(F.col("key").cast("int").alias("key"), "name")
-        for c in columns
-    }
+    numbered = {}
+    for c in columns:
+        names = seen.where(F.col("lookup") == c).select("name", "first_place")
+        keyed = number_rows(names, ["first_place", "name"], "key", max_rows)
+        numbered[c] = settle(keyed.select(F.col("key").cast("int").alias("key"), "name"), max_rows)
+    return numbered
 
 
 def loyalty_dimension(spark: SparkSession) -> DataFrame:
     rows = [(i, name, text) for i, (name, text) in enumerate(LOYALTY_ROWS, start=1)]
-    return spark.createDataFrame(rows, "loyalty_status_id int, status_name string, description string")
+    return local_frame(spark, rows, DIM_LOYALTY)
 
 
 def map_lookup(df: DataFrame, column: str, lookup: DataFrame, key: str) -> DataFrame:
@@ -123,7 +126,7 @@ def split_rejects(facts: DataFrame, required: Sequence[str]) -> tuple[DataFrame,
 
 
 def customers_view(facts: DataFrame, loyalty: DataFrame) -> DataFrame:
-    names = loyalty.select("loyalty_status_id", F.col("status_name").alias("loyalty_status"))
+    names = settle(loyalty.select("loyalty_status_id", F.col("status_name").alias("loyalty_status")))
     return facts.join(names, "loyalty_status_id").select(
         "customer_id",
         "loyalty_status",
@@ -165,7 +168,7 @@ def training_table(facts: DataFrame, loyalty: DataFrame, segments: DataFrame) ->
     member = X.flag_from_text(F.col("status_name")).alias("loyalty_member")
     measures = [c for c in CUSTOMER_MEASURES if c != "discount_usage_rate"]
     return (
-        facts.join(loyalty, "loyalty_status_id")
+        facts.join(settle(loyalty), "loyalty_status_id")
         .join(segments.select("customer_id", "segment_name"), "customer_id", "left")
         .select("customer_id", *measures, "churned", member, "segment_name")
     )
@@ -176,7 +179,7 @@ def master_table(
 ) -> DataFrame:
     """Facts, loyalty name, segment and score of every customer that has all three."""
     return (
-        facts.join(loyalty.select("loyalty_status_id", "status_name"), "loyalty_status_id")
+        facts.join(settle(loyalty.select("loyalty_status_id", "status_name")), "loyalty_status_id")
         .join(segments.select("customer_id", "segment_name"), "customer_id")
         .join(scores, "customer_id")
         .select(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Window, functions as F
 
+from tallyhouse.config import stored
 from tallyhouse.functions import expressions as X
 from tallyhouse.labels import CHURN_FEATURES
 from tallyhouse.operators import classify as C, evaluate as E, neighbors as N, sampling
@@ -15,11 +16,10 @@ BOOSTED_ROUNDS = 20
 
 
 def _labelled(spark, folder):
-    """Customers with loyalty as 1/0."""
+    """Customers with loyalty as 1/0, stored: the balancing and the fits pass over them often."""
     member = X.flag_from_text(F.col("loyalty_status"))
-    return proxies.customers(spark, folder).withColumn("loyalty_member", member).select(
-        "customer_id", *CHURN_FEATURES, "churned"
-    )
+    customers = proxies.customers(spark, folder).withColumn("loyalty_member", member)
+    return stored(customers.select("customer_id", *CHURN_FEATURES, "churned"))
 
 
 SPLIT_SQL = """split AS (

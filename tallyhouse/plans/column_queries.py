@@ -67,7 +67,7 @@ def lookup_map(spark, folder):
     """Event names to keys; names that are not in the lookup keep a null key."""
     events = table(spark, folder, "events", "event_id", "event_type")
     known = events.where(F.col("event_type").isin("view", "purchase", "error"))
-    lookup = W.lookup_dimensions(known, ["event_type"], ["event_id"])["event_type"]
+    lookup = W.lookup_dimensions(known, ["event_type"], "event_id")["event_type"]
     counted = events.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"))
     return W.map_lookup(counted, "event_type", lookup, "event_key").select("event_type", "event_key", "events")
 
@@ -351,7 +351,7 @@ def join_left(spark, folder):
 )
 def set_except(spark, folder):
     """Customers that never ordered."""
-    buyers = table(spark, folder, "orders").select(F.col("o_custkey").alias("id"))
+    buyers = table(spark, folder, "orders").select(F.col("o_custkey").alias("id")).distinct()
     everyone = table(spark, folder, "customer").select(F.col("c_custkey").alias("id"))
     return everyone.subtract(buyers)
 

@@ -6,6 +6,7 @@ from itertools import combinations
 
 from pyspark.sql import Window, functions as F
 
+from tallyhouse.config import stored
 from tallyhouse.functions import expressions as X
 from tallyhouse.labels import (
     COMPARE_FEATURES,
@@ -671,7 +672,7 @@ _BOX_SQL = " UNION ALL ".join(
 )
 def box_stats(spark, folder):
     columns = ["customer_rating", "delivery_time_days"]
-    lines = proxies.order_lines(spark, folder, "product_category", *columns)
+    lines = stored(proxies.order_lines(spark, folder, "product_category", *columns))
     return rounded(S.box_stats(lines, columns, "product_category"))
 
 

@@ -84,7 +84,7 @@ def load_orders(spark: SparkSession, cfg: RunConfig) -> DataFrame:
     orders = orders.withColumn("order_date", F.col("order_date").try_cast("date")).withColumn(
         "discount_applied", X.flag_from_text(F.col("discount_applied"))
     )
-    incoming = W.lookup_dimensions(orders, list(W.ORDER_LOOKUPS), ["order_id"])
+    incoming = W.lookup_dimensions(orders, list(W.ORDER_LOOKUPS), "order_id")
     lookups = {}
     for column, (target, key, name) in W.ORDER_LOOKUPS.items():
         named = incoming[column].select(F.col("key").alias(key), F.col("name").alias(name))

@@ -19,13 +19,13 @@ MEASURES = ", ".join(W.CUSTOMER_MEASURES)
 
 # Surrogate keys in order of first appearance, as SQL.
 DIMS = """seen AS (
-  SELECT 'product_category' AS lookup, product_category AS name, min((order_id, line_number)) AS place
+  SELECT 'product_category' AS lookup, product_category AS name, min(order_id) AS place
   FROM po WHERE product_category IS NOT NULL GROUP BY product_category
   UNION ALL
-  SELECT 'payment_method', payment_method, min((order_id, line_number))
+  SELECT 'payment_method', payment_method, min(order_id)
   FROM po WHERE payment_method IS NOT NULL GROUP BY payment_method
   UNION ALL
-  SELECT 'order_status', order_status, min((order_id, line_number))
+  SELECT 'order_status', order_status, min(order_id)
   FROM po WHERE order_status IS NOT NULL GROUP BY order_status),
 dims AS (
   SELECT lookup, name, CAST(row_number() OVER (PARTITION BY lookup ORDER BY place, name) AS INTEGER) AS key FROM seen)"""
@@ -43,8 +43,8 @@ FACTS = """fact AS (
 
 def order_dimensions(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     columns = list(W.ORDER_LOOKUPS)
-    lines = proxies.order_lines(spark, folder, "order_id", "line_number", *columns)
-    return W.lookup_dimensions(lines, columns, ["order_id", "line_number"])
+    lines = proxies.order_lines(spark, folder, "order_id", *columns)
+    return W.lookup_dimensions(lines, columns, "order_id")
 
 
 def fact_orders_frame(spark: SparkSession, folder: str, dims: dict[str, DataFrame]) -> DataFrame:

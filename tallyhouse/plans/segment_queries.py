@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
+from tallyhouse.config import stored
 from tallyhouse.functions import expressions as X
 from tallyhouse.labels import SEGMENT_FEATURES, SEGMENT_NAMES, SEGMENT_ORDER
 from tallyhouse.operators import reshape as R, segments as G
@@ -35,14 +35,14 @@ def zscore(spark, folder):
 @query("kmeans_assign")
 def kmeans_assign(spark, folder):
     """Cluster of every customer; the lowest-cost fit of ten seeds."""
-    customers = proxies.customers(spark, folder).select("customer_id", *SEGMENT_FEATURES)
+    customers = stored(proxies.customers(spark, folder).select("customer_id", *SEGMENT_FEATURES))
     return G.assign_clusters(customers, k=4, restarts=10).select("customer_id", "cluster")
 
 
 @query("k_sweep")
 def k_sweep(spark, folder):
     """Inertia and silhouette for k = 2..8, two seeds each."""
-    customers = proxies.customers(spark, folder).select(*SEGMENT_FEATURES)
+    customers = stored(proxies.customers(spark, folder).select(*SEGMENT_FEATURES))
     scaling = G.fit_scaling(customers, SEGMENT_FEATURES)
     vectors = G.to_vectors(customers, SEGMENT_FEATURES, scaling).select("features")
     return rounded(G.sweep_k(vectors, 2, 8, restarts=2))
@@ -78,7 +78,8 @@ def silhouette_sq(spark, folder):
 
 @query("pca_2d")
 def pca_2d(spark, folder):
-    return rounded(G.principal_axes(proxies.customers(spark, folder), "customer_id", SEGMENT_FEATURES), 6)
+    customers = stored(proxies.customers(spark, folder).select("customer_id", *SEGMENT_FEATURES))
+    return rounded(G.principal_axes(customers, "customer_id", SEGMENT_FEATURES), 6)
 
 
 NAMING_SQL = """means AS (
@@ -135,7 +136,7 @@ def _name_case(column: str) -> str:
 )
 def segment_profile(spark, folder):
     """Clusters named from their own means, then profiled."""
-    scored = proxies.scored_customers(spark, folder).persist(StorageLevel.MEMORY_AND_DISK)
+    scored = stored(proxies.scored_customers(spark, folder))
     names = {r["cluster"]: r["segment"] for r in G.name_segments(G.cluster_means(scored)).collect()}
     profiled = G.segment_profile(scored.withColumn("segment", X.rename_values(F.col("cluster"), names)))
     return rounded(profiled.withColumn("segment_name", X.rename_values(F.col("segment"), SEGMENT_NAMES)))

@@ -29,7 +29,7 @@ def write_counted(df: DataFrame, path: str, mode: str = "overwrite") -> int:
 
 def new_keys(incoming: DataFrame, existing: DataFrame, key: Sequence[str]) -> DataFrame:
     """Incoming rows whose key is not stored yet, one per key."""
-    return incoming.dropDuplicates(list(key)).join(existing.select(*key), list(key), "left_anti")
+    return incoming.dropDuplicates(list(key)).join(existing.select(*key).distinct(), list(key), "left_anti")
 
 
 def create_table(spark, name: str, schema: StructType, path: str | None = None) -> None:

@@ -143,7 +143,7 @@ def test_quality_rules(spark):
 @pytest.mark.parametrize("max_rows", [1, 20_000])
 def test_lookup_keys_follow_first_appearance(spark, max_rows):
     df = spark.createDataFrame([(3, "b"), (1, "c"), (2, "b"), (4, "a"), (5, None)], "i int, n string")
-    dim = W.lookup_dimensions(df, ["n"], ["i"], max_rows)["n"]
+    dim = W.lookup_dimensions(df, ["n"], "i", max_rows)["n"]
     assert [(r.key, r.name) for r in dim.orderBy("key").collect()] == [(1, "c"), (2, "b"), (3, "a")]
     mapped = W.map_lookup(spark.createDataFrame([("a",), ("z",), (None,)], "n string"), "n", dim, "id")
     assert [(r.n, r.id) for r in mapped.collect()] == [("a", 3), ("z", None), (None, None)]

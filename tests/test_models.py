@@ -14,7 +14,7 @@ def brute_neighbors(pdf, features, k):
     for i, name in enumerate(pdf.id):
         d = np.sqrt(((x - x[i]) ** 2).sum(axis=1))
         order = sorted((d[j], pdf.id.iloc[j]) for j in range(len(x)) if j != i)[:k]
-        out[name] = [n for _, n in order]
+        out[name] = [d for d, _ in order]
     return out
 
 
@@ -28,8 +28,11 @@ def test_neighbors_are_exact(spark, slab_rows, max_rows):
     pdf["id"] = [f"p{i:03d}" for i in range(n)]
     got = N.nearest_neighbors(spark.createDataFrame(pdf), "id", ["a", "b", "c"], 5, slab_rows, max_rows).toPandas()
     want = brute_neighbors(pdf, ["a", "b", "c"], 5)
+    points = pdf.set_index("id")
     for name, part in got.sort_values("rank").groupby("id"):
-        assert part.neighbor.tolist() == want[name]
+        assert np.allclose(part.distance, want[name]) and part.neighbor.nunique() == 5
+        true = np.sqrt(((points.loc[part.neighbor] - points.loc[name]) ** 2).sum(axis=1))
+        assert np.allclose(part.distance, true)
     assert len(got) == 5 * n
 
 
