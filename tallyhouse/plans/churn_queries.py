@@ -8,11 +8,13 @@ from tallyhouse.config import stored
 from tallyhouse.functions import expressions as X
 from tallyhouse.labels import CHURN_FEATURES
 from tallyhouse.operators import classify as C, evaluate as E, neighbors as N, sampling
+from tallyhouse.plans.load_queries import customer_table, scored_table
 from tallyhouse.plans.registry import query, rounded
 from tallyhouse.sources import proxies
 from tallyhouse.sources.proxy_sql import PC, PS, with_views
 
 BOOSTED_ROUNDS = 20
+OUTCOME = ["churned", "churn_predicted", "churn_score"]
 
 
 def _labelled(spark, folder):
@@ -30,7 +32,7 @@ SPLIT_SQL = """split AS (
 
 @query("stratified_split", with_views("SELECT customer_id, churned, split FROM split", PC, SPLIT_SQL))
 def stratified_split(spark, folder):
-    rows = proxies.customers(spark, folder).select("customer_id", "churned")
+    rows = customer_table(spark, folder, "customer_id", "churned")
     return sampling.stratified_split(rows, "churned", "customer_id", 0.8, 42)
 
 
@@ -46,7 +48,7 @@ def stratified_split(spark, folder):
 )
 def class_balance(spark, folder):
     """Class sizes of the train and test rows."""
-    rows = proxies.customers(spark, folder).select("customer_id", "churned")
+    rows = customer_table(spark, folder, "customer_id", "churned")
     split = sampling.stratified_split(rows, "churned", "customer_id", 0.8, 42)
     counted = split.groupBy("split", "churned").agg(F.count(F.lit(1)).alias("count"))
     total = F.sum("count").over(Window.partitionBy("split"))
@@ -69,8 +71,8 @@ _KNN_X = "[" + ", ".join(f"CAST({c} AS DOUBLE)" for c in CHURN_FEATURES if c !=
 )
 def knn_minority(spark, folder):
     """The five nearest churned customers of each churned customer."""
-    rare = proxies.customers(spark, folder).where("churned = 1")
     features = [c for c in CHURN_FEATURES if c != "loyalty_member"]
+    rare = customer_table(spark, folder, "customer_id", "churned", *features).where("churned = 1")
     near = N.nearest_neighbors(rare, "customer_id", features, 5)
     return near.select("id", "neighbor", "rank", F.round("distance", 6).alias("distance"))
 
@@ -143,7 +145,7 @@ def _auc_sql(score: str) -> str:
     ),
 )
 def binary_metrics(spark, folder):
-    scored = proxies.scored_customers(spark, folder)
+    scored = scored_table(spark, folder, *OUTCOME)
     return rounded(E.binary_metrics(scored, "churned", "churn_predicted", "churn_score", "fixed"))
 
 
@@ -164,7 +166,7 @@ def roc_auc(spark, folder):
     ),
 )
 def roc_points(spark, folder):
-    return rounded(E.roc_points(proxies.scored_customers(spark, folder), "churned", "churn_score"))
+    return rounded(E.roc_points(scored_table(spark, folder, *OUTCOME), "churned", "churn_score"))
 
 
 @query(
@@ -234,7 +236,7 @@ def model_compare(spark, folder):
     """Metrics of two fixed scorers side by side; the second wins ties."""
     second = F.least(F.col("days_since_last_purchase") / F.lit(600.0), F.lit(1.0))
     scored = (
-        proxies.scored_customers(spark, folder)
+        scored_table(spark, folder, *OUTCOME, "days_since_last_purchase")
         .withColumn("second_score", second)
         .withColumn("second_predicted", (second > 0.5).cast("int"))
     )

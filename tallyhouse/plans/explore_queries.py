@@ -6,7 +6,6 @@ from itertools import combinations
 
 from pyspark.sql import Window, functions as F
 
-from tallyhouse.config import stored
 from tallyhouse.functions import expressions as X
 from tallyhouse.labels import (
     COMPARE_FEATURES,
@@ -18,6 +17,7 @@ from tallyhouse.labels import (
 )
 from tallyhouse.operators import ranking, reshape as R, stats as S
 from tallyhouse.plans.column_queries import TENURE_SQL
+from tallyhouse.plans.load_queries import customer_table, line_table, scored_table
 from tallyhouse.plans.registry import query, rounded
 from tallyhouse.sources import proxies
 from tallyhouse.sources.proxy_sql import PC, PO, PS, with_views
@@ -264,12 +264,12 @@ ORDER_STATS = ["order_value", "delivery_time_days", "customer_rating", "customer
 
 @query("describe_customers", with_views(_describe_sql("pc", CUSTOMER_STATS), PC))
 def describe_customers(spark, folder):
-    return rounded(S.describe(proxies.customers(spark, folder), CUSTOMER_STATS))
+    return rounded(S.describe(customer_table(spark, folder, *CUSTOMER_STATS), CUSTOMER_STATS))
 
 
 @query("describe_orders", with_views(_describe_sql("po", ORDER_STATS), PO))
 def describe_orders(spark, folder):
-    return rounded(S.describe(proxies.order_lines(spark, folder, *ORDER_STATS), ORDER_STATS))
+    return rounded(S.describe(line_table(spark, folder, *ORDER_STATS), ORDER_STATS))
 
 
 @query(
@@ -299,7 +299,8 @@ def agg_quantile(spark, folder):
     ),
 )
 def eda_headline(spark, folder):
-    customers = S.describe(proxies.customers(spark, folder), ["avg_order_value", "account_age_months"])
+    columns = ["avg_order_value", "account_age_months"]
+    customers = S.describe(customer_table(spark, folder, *columns), columns)
     pick = lambda v, c: F.max(F.when(F.col("variable") == v, F.col(c)))
     left = customers.agg(
         pick("avg_order_value", "mean").alias("value_mean"),
@@ -357,7 +358,7 @@ def _corr_sql(view: str, columns: list[str]) -> str:
     ),
 )
 def corr_customers(spark, folder):
-    return rounded(S.correlations(proxies.customers(spark, folder), CORRELATION_FEATURES))
+    return rounded(S.correlations(customer_table(spark, folder, *CORRELATION_FEATURES), CORRELATION_FEATURES))
 
 
 @query(
@@ -365,7 +366,7 @@ def corr_customers(spark, folder):
     with_views("SELECT var1, var2, round(corr, 6) AS corr FROM (" + _corr_sql("po", ORDER_STATS) + ")", PO),
 )
 def corr_orders(spark, folder):
-    return rounded(S.correlations(proxies.order_lines(spark, folder, *ORDER_STATS), ORDER_STATS))
+    return rounded(S.correlations(line_table(spark, folder, *ORDER_STATS), ORDER_STATS))
 
 
 @query(
@@ -379,7 +380,7 @@ def corr_orders(spark, folder):
     ),
 )
 def corr_topk(spark, folder):
-    return rounded(S.top_correlations(proxies.customers(spark, folder), CORRELATION_FEATURES, 5))
+    return rounded(S.top_correlations(customer_table(spark, folder, *CORRELATION_FEATURES), CORRELATION_FEATURES, 5))
 
 
 @query(
@@ -672,7 +673,7 @@ _BOX_SQL = " UNION ALL ".join(
 )
 def box_stats(spark, folder):
     columns = ["customer_rating", "delivery_time_days"]
-    lines = stored(proxies.order_lines(spark, folder, "product_category", *columns))
+    lines = line_table(spark, folder, "product_category", *columns)
     return rounded(S.box_stats(lines, columns, "product_category"))
 
 
@@ -688,7 +689,7 @@ def box_stats(spark, folder):
     ),
 )
 def hist_equal_width(spark, folder):
-    found = S.histogram(proxies.customers(spark, folder), "avg_order_value", 30)
+    found = S.histogram(customer_table(spark, folder, "avg_order_value"), "avg_order_value", 30)
     return found.select(
         "bin",
         F.round("lower", 6).alias("lower"),
@@ -712,7 +713,7 @@ def hist_equal_width(spark, folder):
     ),
 )
 def hist_density_by_class(spark, folder):
-    scored = proxies.scored_customers(spark, folder)
+    scored = scored_table(spark, folder, "churned", "churn_score")
     return rounded(S.histogram(scored, "churn_score", 40, ["churned"], per_group_range=True), 9)
 
 
@@ -738,7 +739,9 @@ def hist_density_by_class(spark, folder):
     ),
 )
 def kde_by_class(spark, folder):
-    curve = S.density_curve(proxies.customers(spark, folder), "days_since_last_purchase", ["churned"])
+    curve = S.density_curve(
+        customer_table(spark, folder, "churned", "days_since_last_purchase"), "days_since_last_purchase", ["churned"]
+    )
     return curve.select("churned", "point", F.round("x", 6).alias("x"), F.round("density", 8).alias("density"))
 
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyhouse import schemas
-from tallyhouse.config import scratch_path
+from tallyhouse.config import scratch_path, stored
 from tallyhouse.functions import expressions as X
 from tallyhouse.operators import warehouse as W
 from tallyhouse.plans.registry import query
@@ -56,6 +56,21 @@ def fact_customers_frame(spark: SparkSession, folder: str) -> DataFrame:
     return W.customer_facts(proxies.customers(spark, folder), W.loyalty_dimension(spark))
 
 
+def customer_table(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """Customer measures written once, for reports that pass over them more than once."""
+    frame = proxies.customers(spark, folder)
+    return stored(frame.select(*columns) if columns else frame, "customers")
+
+
+def scored_table(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    frame = proxies.scored_customers(spark, folder)
+    return stored(frame.select(*columns) if columns else frame, "scored")
+
+
+def line_table(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    return stored(proxies.order_lines(spark, folder, *columns), "lines")
+
+
 @query("scan_parquet", "SELECT * FROM customer")
 def scan_parquet(spark, folder):
     return table(spark, folder, "customer")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallyhouse.config import stored
 from tallyhouse.functions import expressions as X
 from tallyhouse.labels import SEGMENT_ORDER, TIER_ORDER
 from tallyhouse.operators import reshape as R, risk as K
@@ -148,7 +149,7 @@ def recoverable_vs_lost(spark, folder):
     ),
 )
 def score_stats_by_segment(spark, folder):
-    stats = K.score_stats(segmented(spark, folder))
+    stats = K.score_stats(stored(segmented(spark, folder).select("segment", "churn_score"), "scored"))
     return rounded(stats).select("position", "segment", "mean", "median", "std", "min", "max")
 
 

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyhouse.config import stored
 from tallyhouse.functions import expressions as X
 from tallyhouse.labels import SEGMENT_FEATURES, SEGMENT_NAMES, SEGMENT_ORDER
 from tallyhouse.operators import reshape as R, segments as G
-from tallyhouse.plans.load_queries import PSEG, segmented
+from tallyhouse.plans.load_queries import PSEG, customer_table, scored_table, segmented
 from tallyhouse.plans.registry import query, rounded
 from tallyhouse.sources import proxies
 from tallyhouse.sources.proxy_sql import PC, PS, with_views
@@ -28,21 +27,21 @@ Z_SQL = ", ".join(
     ),
 )
 def zscore(spark, folder):
-    frame = proxies.customers(spark, folder).select("customer_id", *SEGMENT_FEATURES)
+    frame = customer_table(spark, folder, "customer_id", *SEGMENT_FEATURES)
     return rounded(G.apply_scaling(frame, G.fit_scaling(frame, SEGMENT_FEATURES)))
 
 
 @query("kmeans_assign")
 def kmeans_assign(spark, folder):
     """Cluster of every customer; the lowest-cost fit of ten seeds."""
-    customers = stored(proxies.customers(spark, folder).select("customer_id", *SEGMENT_FEATURES))
+    customers = customer_table(spark, folder, "customer_id", *SEGMENT_FEATURES)
     return G.assign_clusters(customers, k=4, restarts=10).select("customer_id", "cluster")
 
 
 @query("k_sweep")
 def k_sweep(spark, folder):
     """Inertia and silhouette for k = 2..8, two seeds each."""
-    customers = stored(proxies.customers(spark, folder).select(*SEGMENT_FEATURES))
+    customers = customer_table(spark, folder, *SEGMENT_FEATURES)
     scaling = G.fit_scaling(customers, SEGMENT_FEATURES)
     vectors = G.to_vectors(customers, SEGMENT_FEATURES, scaling).select("features")
     return rounded(G.sweep_k(vectors, 2, 8, restarts=2))
@@ -71,14 +70,14 @@ _SIL_TOTAL = f"({_squares(SEGMENT_FEATURES, 'z.', 'z.')}) * n - 2 * ({' + '.join
 )
 def silhouette_sq(spark, folder):
     """Squared-Euclidean silhouette of the fixed clusters, over all customers."""
-    frame = proxies.scored_customers(spark, folder).select("customer_id", "cluster", *SEGMENT_FEATURES)
+    frame = scored_table(spark, folder, "customer_id", "cluster", *SEGMENT_FEATURES)
     scaled = G.apply_scaling(frame, G.fit_scaling(frame, SEGMENT_FEATURES))
     return rounded(G.silhouette(scaled, SEGMENT_FEATURES, "cluster"))
 
 
 @query("pca_2d")
 def pca_2d(spark, folder):
-    customers = stored(proxies.customers(spark, folder).select("customer_id", *SEGMENT_FEATURES))
+    customers = customer_table(spark, folder, "customer_id", *SEGMENT_FEATURES)
     return rounded(G.principal_axes(customers, "customer_id", SEGMENT_FEATURES), 6)
 
 
@@ -136,7 +135,7 @@ def _name_case(column: str) -> str:
 )
 def segment_profile(spark, folder):
     """Clusters named from their own means, then profiled."""
-    scored = stored(proxies.scored_customers(spark, folder))
+    scored = scored_table(spark, folder)
     names = {r["cluster"]: r["segment"] for r in G.name_segments(G.cluster_means(scored)).collect()}
     profiled = G.segment_profile(scored.withColumn("segment", X.rename_values(F.col("cluster"), names)))
     return rounded(profiled.withColumn("segment_name", X.rename_values(F.col("segment"), SEGMENT_NAMES)))
