@@ -15,6 +15,7 @@ from tallyhouse.plans.load_queries import (
     fact_customers_frame,
     fact_orders_frame,
     order_dimensions,
+    scored_table,
     segmented,
 )
 from tallyhouse.plans.registry import query, rounded
@@ -338,11 +339,9 @@ def join_left_anti(spark, folder):
 )
 def join_left(spark, folder):
     """Every customer with the stored cluster, null where none is stored."""
-    stored = proxies.scored_customers(spark, folder).where("cluster < 2")
-    segments = stored.select("customer_id", F.col("cluster").alias("cluster_id"))
-    return proxies.customers(spark, folder).join(segments, "customer_id", "left").select(
-        "customer_id", "churned", "cluster_id"
-    )
+    base = scored_table(spark, folder, "customer_id", "churned", "cluster")
+    segments = base.where("cluster < 2").select("customer_id", F.col("cluster").alias("cluster_id"))
+    return base.join(segments, "customer_id", "left").select("customer_id", "churned", "cluster_id")
 
 
 @query(

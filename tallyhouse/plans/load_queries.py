@@ -267,6 +267,13 @@ def segmented(spark: SparkSession, folder: str) -> DataFrame:
     return proxies.scored_customers(spark, folder).withColumn("segment", X.rename_values(F.col("cluster"), names))
 
 
+def _facts_and_segments(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Stored customers, and the segments of all but the last cluster."""
+    base = stored(segmented(spark, folder), "segmented")
+    named = base.where("cluster < 3").select("customer_id", F.col("segment").alias("segment_name"))
+    return base, named
+
+
 PSEG = PS + f""",
 seg AS (SELECT *, {SEGMENT_CASE} AS segment FROM ps)"""
 
@@ -283,8 +290,9 @@ seg AS (SELECT *, {SEGMENT_CASE} AS segment FROM ps)"""
 )
 def training_table(spark, folder):
     """Customers of one cluster have no stored segment and keep a null name."""
-    segments = segmented(spark, folder).where("cluster < 3").select("customer_id", F.col("segment").alias("segment_name"))
-    return W.training_table(fact_customers_frame(spark, folder), W.loyalty_dimension(spark), segments)
+    base, segments = _facts_and_segments(spark, folder)
+    loyalty = W.loyalty_dimension(spark)
+    return W.training_table(W.customer_facts(base, loyalty), loyalty, segments)
 
 
 @query(
@@ -298,7 +306,7 @@ def training_table(spark, folder):
     ),
 )
 def master_cross(spark, folder):
-    stored = segmented(spark, folder)
-    segments = stored.where("cluster < 3").select("customer_id", F.col("segment").alias("segment_name"))
-    scores = stored.select("customer_id", "churn_score", "churn_predicted", "risk_tier")
-    return W.master_table(fact_customers_frame(spark, folder), W.loyalty_dimension(spark), segments, scores)
+    base, segments = _facts_and_segments(spark, folder)
+    loyalty = W.loyalty_dimension(spark)
+    scores = base.select("customer_id", "churn_score", "churn_predicted", "risk_tier")
+    return W.master_table(W.customer_facts(base, loyalty), loyalty, segments, scores)
