@@ -70,14 +70,17 @@ def stored(df: DataFrame, name: str = "stored") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def settle(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+def settle(df: DataFrame, max_rows: int = SMALL_ROWS, heavy: bool = False) -> DataFrame:
     """Fix the content of an aggregated frame that several branches read.
 
     Up to ``max_rows`` rows become a local relation, whose true size the planner
     knows (so it is broadcast only because it is small); a larger frame is written
-    to the shared folder and joined like any other table.
+    to the shared folder and joined like any other table. A ``heavy`` frame, costly
+    or likely large, is written before it is counted, so it is computed only once.
     """
+    if heavy:
+        df = stored(df)
     rows = df.limit(max_rows + 1).toArrow()
     if rows.num_rows <= max_rows:
         return df.sparkSession.createDataFrame(rows, df.schema)
-    return stored(df)
+    return df if heavy else stored(df)

@@ -67,9 +67,8 @@ def nearest_neighbors(
         F.col(axis).cast("double").alias("axis"),
     )
     numbered = number_rows(points, ["axis", "id"], "place", max_rows)
-    points = settle(
-        numbered.select("id", "x", "axis", F.expr(f"(place - 1) div {slab_rows}").alias("slab")), max_rows
-    )
+    slab = F.expr(f"(place - 1) div {slab_rows}").alias("slab")
+    points = settle(numbered.select("id", "x", "axis", slab), max_rows, heavy=True)
     bounds = settle(points.groupBy("slab").agg(F.min("axis").alias("lo"), F.max("axis").alias("hi")), max_rows)
     last_slab = bounds.agg(F.max("slab")).first()[0]
     open_points = points.withColumn("radius", F.lit(float("inf")))
@@ -100,7 +99,8 @@ def nearest_neighbors(
         )
         if best is not None:
             found = best.select("id", "neighbor", "distance").unionByName(found)
-        best = settle(found.withColumn("rank", F.row_number().over(by_id)).where(F.col("rank") <= k), max_rows)
+        ranked = found.withColumn("rank", F.row_number().over(by_id))
+        best = settle(ranked.where(F.col("rank") <= k), max_rows, heavy=True)
         if reach >= last_slab:
             return best
         kth = best.where(F.col("rank") == k).select("id", F.col("distance").alias("radius"))
@@ -117,6 +117,7 @@ def nearest_neighbors(
             )
             .select("id", "x", "axis", "slab", "radius"),
             max_rows,
+            heavy=True,
         )
         if open_points.isEmpty():
             return best

@@ -9,12 +9,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tallyhouse.config import SMALL_ROWS, stored
 
 
-def _in_blocks(df: DataFrame, order_by: Sequence[str], max_rows: int) -> DataFrame:
+def _in_blocks(df: DataFrame, order_by: Sequence[str], max_rows: int, heavy: bool) -> DataFrame:
     """Fixed content plus ``block``: ascending ranges of ``order_by``.
 
     A small frame is one block. A larger one is range partitioned and stored, so every
-    branch that reads it sees the same ranges.
+    branch that reads it sees the same ranges. The input is stored first unless it is
+    light, because finding the ranges reads it once more.
     """
+    if heavy:
+        df = stored(df)
     rows = df.limit(max_rows + 1).toArrow()
     if rows.num_rows <= max_rows:
         return df.sparkSession.createDataFrame(rows, df.schema).withColumn("block", F.lit(0))
@@ -27,13 +30,14 @@ def running_totals(
     totals: dict[str, str],
     keys: Sequence[str] = (),
     max_rows: int = SMALL_ROWS,
+    heavy: bool = True,
 ) -> DataFrame:
     """Add inclusive running sums ``{new column: summed column}`` in ascending order.
 
     Sums inside a block come from a window over that block, what precedes the block
     from the block totals (one row per block and key).
     """
-    fixed = _in_blocks(df, [*keys, *order_by], max_rows)
+    fixed = _in_blocks(df, [*keys, *order_by], max_rows, heavy)
     earlier = Window.partitionBy(*keys).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         fixed.groupBy(*keys, "block")
@@ -56,10 +60,10 @@ def running_totals(
 
 
 def number_rows(
-    df: DataFrame, order_by: Sequence[str], name: str, max_rows: int = SMALL_ROWS
+    df: DataFrame, order_by: Sequence[str], name: str, max_rows: int = SMALL_ROWS, heavy: bool = True
 ) -> DataFrame:
     """1, 2, 3 ... in ascending order; the order must be unique."""
-    return running_totals(df.withColumn("_one", F.lit(1)), order_by, {name: "_one"}, (), max_rows).drop("_one")
+    return running_totals(df.withColumn("_one", F.lit(1)), order_by, {name: "_one"}, (), max_rows, heavy).drop("_one")
 
 
 def average_rank(value: str, *partition: str) -> Column:

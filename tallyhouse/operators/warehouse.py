@@ -80,7 +80,7 @@ def lookup_dimensions(
     numbered = {}
     for c in columns:
         names = seen.where(F.col("lookup") == c).select("name", "first_place")
-        keyed = number_rows(names, ["first_place", "name"], "key", max_rows)
+        keyed = number_rows(names, ["first_place", "name"], "key", max_rows, heavy=False)
         numbered[c] = settle(keyed.select(F.col("key").cast("int").alias("key"), "name"), max_rows)
     return numbered
 

@@ -77,12 +77,62 @@ def knn_minority(spark, folder):
     return near.select("id", "neighbor", "rank", F.round("distance", 6).alias("distance"))
 
 
-@query("smote_balance")
+WHOLE = [
+    "account_age_months",
+    "total_orders",
+    "days_since_last_purchase",
+    "customer_support_tickets",
+    "loyalty_member",
+]
+
+
+def _between_sql(c: str) -> str:
+    value = f"a.{c} + step * (b.{c} - a.{c})"
+    return f"CAST(trunc({value}) AS INTEGER) AS {c}" if c in WHOLE else f"{value} AS {c}"
+
+
+def _hash_sql(text: str, seed: int) -> str:
+    return f"CAST('0x' || substr(md5({text} || ':{seed}'), 1, 13) AS BIGINT)"
+
+
+_X_SQL = "[" + ", ".join(f"CAST({c} AS DOUBLE)" for c in CHURN_FEATURES) + "]"
+
+
+@query(
+    "smote_balance",
+    with_views(
+        f"""SELECT customer_id, {", ".join(CHURN_FEATURES)}, churned,
+                   0 AS synthetic FROM train
+            UNION ALL
+            SELECT token, {", ".join(_between_sql(c) for c in CHURN_FEATURES)}, 1, 1
+            FROM drawn JOIN near ON near.id = base AND near.rank = choice
+            JOIN train a ON a.customer_id = base JOIN train b ON b.customer_id = near.neighbor""",
+        PC,
+        SPLIT_SQL,
+        """train AS MATERIALIZED (SELECT *, CASE WHEN loyalty_status = 'Yes' THEN 1 ELSE 0 END AS loyalty_member
+                                  FROM split WHERE split = 'train')""",
+        f"m AS MATERIALIZED (SELECT customer_id, {_X_SQL} AS x FROM train WHERE churned = 1)",
+        """near AS (SELECT * FROM (
+             SELECT a.customer_id AS id, b.customer_id AS neighbor,
+                    row_number() OVER (PARTITION BY a.customer_id ORDER BY list_distance(a.x, b.x), b.customer_id) AS rank
+             FROM m a JOIN m b ON a.customer_id <> b.customer_id) WHERE rank <= 5)""",
+        """sizes AS (SELECT count(*) FILTER (WHERE churned = 1) AS rare,
+                            count(*) FILTER (WHERE churned = 0) - count(*) FILTER (WHERE churned = 1) AS deficit FROM train)""",
+        f"""bases AS (SELECT customer_id AS base, row_number() OVER (ORDER BY {_hash_sql("customer_id", 42)}, customer_id) AS place
+                      FROM m)""",
+        f"""drawn AS (
+              SELECT base, token, {_hash_sql("token", 43)} % (SELECT least(5, rare - 1) FROM sizes) + 1 AS choice,
+                     {_hash_sql("token", 44)} / CAST(4503599627370496 AS DOUBLE) AS step
+              FROM (SELECT base, base || '#' || unnest(range(1, 1 + CAST(deficit // rare + CASE WHEN place <= deficit % rare
+                                                                         THEN 1 ELSE 0 END AS BIGINT))) AS token
+                    FROM bases, sizes))""",
+    ),
+)
 def smote_balance(spark, folder):
     """Train rows with the minority class raised to the size of the majority."""
     split = sampling.stratified_split(_labelled(spark, folder), "churned", "customer_id", 0.8, 42)
     train = split.where("split = 'train'")
-    return rounded(N.oversample_minority(train, "churned", "customer_id", CHURN_FEATURES))
+    return N.oversample_minority(train, "churned", "customer_id", CHURN_FEATURES)
 
 
 @query("lr_score")

@@ -335,12 +335,12 @@ def join_left_anti(spark, folder):
 
 @query(
     "join_left",
-    with_views("SELECT customer_id, churned, CASE WHEN cluster < 2 THEN cluster END AS cluster_id FROM ps", PS),
+    with_views("SELECT customer_id, churned, CASE WHEN account_age_months > 60 THEN cluster END AS cluster_id FROM ps", PS),
 )
 def join_left(spark, folder):
     """Every customer with the stored cluster, null where none is stored."""
-    base = scored_table(spark, folder, "customer_id", "churned", "cluster")
-    segments = base.where("cluster < 2").select("customer_id", F.col("cluster").alias("cluster_id"))
+    base = scored_table(spark, folder, "customer_id", "churned", "cluster", "account_age_months")
+    segments = base.where("account_age_months > 60").select("customer_id", F.col("cluster").alias("cluster_id"))
     return base.join(segments, "customer_id", "left").select("customer_id", "churned", "cluster_id")
 
 

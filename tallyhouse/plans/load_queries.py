@@ -139,13 +139,13 @@ def sink_overwrite(spark, folder):
     "upsert_new_keys",
     """SELECT DISTINCT CAST(o_orderdate AS DATE) AS full_date FROM orders
        WHERE CAST(o_orderdate AS DATE) NOT IN
-             (SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_orderkey % 7 = 0)""",
+             (SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT')""",
 )
 def upsert_new_keys(spark, folder):
-    """Dates to insert when those of every seventh order are stored already."""
-    days = table(spark, folder, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("full_date"))
-    stored = days.where("o_orderkey % 7 = 0").select("full_date").distinct()
-    return sinks.new_keys(days.select("full_date"), stored, ["full_date"])
+    """Dates to insert when those of urgent pending orders are stored already."""
+    orders = table(spark, folder, "orders").withColumn("full_date", F.col("o_orderdate").cast("date"))
+    known = orders.where("o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'").select("full_date")
+    return sinks.new_keys(orders.select("full_date"), known, ["full_date"])
 
 
 @query(
@@ -268,10 +268,9 @@ def segmented(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _facts_and_segments(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Stored customers, and the segments of all but the last cluster."""
+    """Stored customers, and their segments as a table of its own."""
     base = stored(segmented(spark, folder), "segmented")
-    named = base.where("cluster < 3").select("customer_id", F.col("segment").alias("segment_name"))
-    return base, named
+    return base, base.select("customer_id", "account_age_months", F.col("segment").alias("segment_name"))
 
 
 PSEG = PS + f""",
@@ -283,14 +282,15 @@ seg AS (SELECT *, {SEGMENT_CASE} AS segment FROM ps)"""
     with_views(
         f"""SELECT customer_id, {", ".join(c for c in W.CUSTOMER_MEASURES if c != "discount_usage_rate")}, churned,
                    CASE loyalty_status WHEN 'Yes' THEN 1 ELSE 0 END AS loyalty_member,
-                   CASE WHEN cluster < 3 THEN segment END AS segment_name
+                   CASE WHEN account_age_months > 60 THEN segment END AS segment_name
             FROM seg""",
         PSEG,
     ),
 )
 def training_table(spark, folder):
-    """Customers of one cluster have no stored segment and keep a null name."""
+    """Segments come from a run that knew accounts older than 60 months; the others have none."""
     base, segments = _facts_and_segments(spark, folder)
+    segments = segments.where("account_age_months > 60")
     loyalty = W.loyalty_dimension(spark)
     return W.training_table(W.customer_facts(base, loyalty), loyalty, segments)
 
@@ -301,7 +301,7 @@ def training_table(spark, folder):
         """SELECT customer_id, segment AS segment_name, risk_tier, churn_score, churn_predicted, avg_order_value,
                   total_orders, days_since_last_purchase, engagement_score, satisfaction_score,
                   customer_support_tickets, churned, loyalty_status
-           FROM seg WHERE cluster < 3""",
+           FROM seg""",
         PSEG,
     ),
 )

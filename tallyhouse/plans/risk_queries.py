@@ -158,12 +158,12 @@ def score_stats_by_segment(spark, folder):
     with_views(
         """SELECT customer_id, segment, days_since_last_purchase, engagement_score, churn_score,
                   round(churn_score * 120 + 10, 6) AS marker
-           FROM seg ORDER BY substr(md5(customer_id || ':42'), 1, 13), customer_id LIMIT 1000""",
+           FROM seg ORDER BY substr(md5(customer_id || ':42'), 1, 13), customer_id LIMIT 1500""",
         PSEG,
     ),
 )
 def risk_map_sample(spark, folder):
-    return rounded(K.risk_map(segmented(spark, folder), 1000))
+    return rounded(K.risk_map(segmented(spark, folder)))
 
 
 @query(
