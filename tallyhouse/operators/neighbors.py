@@ -19,6 +19,8 @@ from tallyhouse.config import SMALL_ROWS, settle
 from tallyhouse.functions.expressions import hash_key, hash_unit
 from tallyhouse.operators.ranking import number_rows
 
+COPIES_PER_CHUNK = 1000
+
 
 def _widest(df: DataFrame, features: Sequence[str]) -> str:
     spread = df.agg(*[F.coalesce(F.var_pop(c), F.lit(0.0)).alias(c) for c in features]).first()
@@ -153,36 +155,44 @@ def oversample_minority(
     if deficit <= 0 or sizes["rare"] == 0:
         return original
     each, extra = divmod(deficit, sizes["rare"])
+    types = {f.name: f.dataType for f in real.schema.fields}
     near = nearest_neighbors(rare, identity, features, k, slab_rows)
+    place = F.struct(*[F.col(c).cast("double").alias(c) for c in features])
+    # At most k neighbours per base row, gathered with their values before any copy is made.
+    around = (
+        near.join(rare.select(F.col(identity).alias("neighbor"), place.alias("there")), "neighbor")
+        .groupBy(F.col("id").alias("base"))
+        .agg(F.sort_array(F.collect_list(F.struct("rank", "there"))).alias("around"))
+    )
     hashed = rare.select(F.col(identity).alias("base"), hash_key(F.col(identity), seed).alias("_hash"))
     copies = F.lit(each) + (F.col("_place") <= extra).cast("int")
-    drawn = (
+    based = (
         number_rows(hashed, ["_hash", "base"], "_place")
-        .select("base", copies.alias("copies"))
+        .select("base", copies.cast("int").alias("copies"))
         .where("copies > 0")
-        .join(near.groupBy(F.col("id").alias("base")).agg(F.count(F.lit(1)).alias("choices")), "base", "left")
-        .withColumn("number", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+        .join(rare.select(F.col(identity).alias("base"), place.alias("here")), "base")
+        .join(around, "base", "left")
+    )
+    # A small minority means many copies per base row: deal them out in chunks.
+    first = F.col("chunk") * COPIES_PER_CHUNK
+    last = F.least(F.col("copies"), first + COPIES_PER_CHUNK)
+    made = (
+        based.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.expr(f"(copies - 1) div {COPIES_PER_CHUNK}").cast("int"))))
+        .repartition("base", "chunk")
+        .withColumn("number", F.explode(F.sequence(first + 1, last)))
         .withColumn("token", F.concat_ws("#", "base", "number"))
-        .withColumn("rank", (F.pmod(hash_key(F.col("token"), seed + 1), F.col("choices")) + 1).cast("int"))
+        .withColumn("choice", F.pmod(hash_key(F.col("token"), seed + 1), F.size("around")).cast("int"))
         .withColumn("step", hash_unit(F.col("token"), seed + 2))
-        .join(near.select(F.col("id").alias("base"), "rank", "neighbor"), ["base", "rank"], "left")
-        .withColumn("neighbor", F.coalesce("neighbor", "base"))
+        .withColumn("there", F.coalesce(F.col("around")[F.col("choice")]["there"], F.col("here")))
     )
-    here = rare.select(F.col(identity).alias("base"), *[F.col(c).alias(f"_a_{c}") for c in features])
-    there = rare.select(F.col(identity).alias("neighbor"), *[F.col(c).alias(f"_b_{c}") for c in features])
-    types = {f.name: f.dataType for f in real.schema.fields}
     between = [
-        (F.col(f"_a_{c}") + F.col("step") * (F.col(f"_b_{c}") - F.col(f"_a_{c}"))).cast(types[c]).alias(c)
+        (F.col("here")[c] + F.col("step") * (F.col("there")[c] - F.col("here")[c])).cast(types[c]).alias(c)
         for c in features
     ]
-    made = (
-        drawn.join(here, "base")
-        .join(there, "neighbor")
-        .select(
-            F.col("token").alias(identity),
-            *between,
-            F.lit(minority).cast(types[label]).alias(label),
-            F.lit(1).alias("synthetic"),
-        )
+    synthetic = made.select(
+        F.col("token").alias(identity),
+        *between,
+        F.lit(minority).cast(types[label]).alias(label),
+        F.lit(1).alias("synthetic"),
     )
-    return original.unionByName(made)
+    return original.unionByName(synthetic)

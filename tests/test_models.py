@@ -58,6 +58,17 @@ def test_oversampling(spark):
     assert again == {(r.id, r.v) for r in out.collect()}
 
 
+def test_oversampling_a_tiny_minority(spark):
+    """Two base rows and thousands of copies: several chunks per base row."""
+    rare = spark.createDataFrame([("a", 1.0, 1), ("b", 3.0, 1)], "id string, v double, y int")
+    rest = spark.range(5001).select(F.concat(F.lit("z"), "id").alias("id"), F.lit(9.0).alias("v"), F.lit(0).alias("y"))
+    out = N.oversample_minority(rare.unionByName(rest), "y", "id", ["v"]).where("y = 1")
+    assert out.count() == 5001 and out.select("id").distinct().count() == 5001
+    low, high = out.agg(F.min("v"), F.max("v")).first()
+    assert low >= 1.0 and high <= 3.0
+    assert 1.9 < out.agg(F.avg("v")).first()[0] < 2.1
+
+
 def test_oversampling_edge_sizes(spark):
     lone = spark.createDataFrame([("a", 1.0, 1), ("b", 2.0, 0), ("c", 3.0, 0)], "id string, v double, y int")
     out = N.oversample_minority(lone, "y", "id", ["v"])
