@@ -120,7 +120,10 @@ def fit_boosted(
 def importances(classifier: Classifier, spark) -> DataFrame:
     """``feature, importance`` of boosted trees, or the absolute coefficients."""
     model = classifier.model
-    weights = model.featureImportances.toArray() if hasattr(model, "featureImportances") else abs(model.coefficients.toArray())
+    if isinstance(model, LogisticRegressionModel):
+        weights = abs(model.coefficients.toArray())
+    else:
+        weights = model.featureImportances.toArray()
     rows = [(f, float(w)) for f, w in zip(classifier.features, weights, strict=True)]
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 

@@ -176,8 +176,9 @@ def oversample_minority(
     # A small minority means many copies per base row: deal them out in chunks.
     first = F.col("chunk") * COPIES_PER_CHUNK
     last = F.least(F.col("copies"), first + COPIES_PER_CHUNK)
+    last_chunk = F.expr(f"(copies - 1) div {COPIES_PER_CHUNK}").cast("int")
     made = (
-        based.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.expr(f"(copies - 1) div {COPIES_PER_CHUNK}").cast("int"))))
+        based.withColumn("chunk", F.explode(F.sequence(F.lit(0), last_chunk)))
         .repartition("base", "chunk")
         .withColumn("number", F.explode(F.sequence(first + 1, last)))
         .withColumn("token", F.concat_ws("#", "base", "number"))

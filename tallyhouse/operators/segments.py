@@ -42,14 +42,10 @@ def to_vectors(
 ) -> DataFrame:
     """Add a vector of the columns, scaled when asked; the columns themselves stay as they are."""
     inputs = [f"_in_{c}" for c in columns]
-    means = scaling or {}
-    wide = df.select(
-        "*",
-        *[
-            ((F.col(c).cast("double") - F.lit(means[c][0])) / F.lit(means[c][1]) if c in means else F.col(c).cast("double")).alias(i)
-            for c, i in zip(columns, inputs, strict=True)
-        ],
-    )
+    values = {c: F.col(c).cast("double") for c in columns}
+    for c, (mean, deviation) in (scaling or {}).items():
+        values[c] = (values[c] - F.lit(mean)) / F.lit(deviation)
+    wide = df.select("*", *[values[c].alias(i) for c, i in zip(columns, inputs, strict=True)])
     return VectorAssembler(inputCols=inputs, outputCol=output).transform(wide).drop(*inputs)
 
 
@@ -157,7 +153,9 @@ def principal_axes(df: DataFrame, identity: str, columns: Sequence[str], k: int
     )
 
 
-def cluster_means(df: DataFrame, cluster: str = "cluster", columns: Sequence[str] = tuple(SEGMENT_FEATURES)) -> DataFrame:
+def cluster_means(
+    df: DataFrame, cluster: str = "cluster", columns: Sequence[str] = tuple(SEGMENT_FEATURES)
+) -> DataFrame:
     """Feature means and churn rate per cluster; ``churned`` is 0/1."""
     return df.groupBy(cluster).agg(*[F.avg(c).alias(c) for c in columns], F.avg("churned").alias("churn_rate"))
 

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tallyhouse import schemas
-from tallyhouse.config import RunConfig
+from tallyhouse.config import RunConfig, local_frame
 from tallyhouse.functions import expressions as X
 from tallyhouse.labels import SEGMENT_FEATURES, SEGMENT_NAMES, TIER_NAMES, TIER_ORDER
 from tallyhouse.operators import classify as C, evaluate as E, quality as Q, reshape as R, risk as K, segments as G
@@ -25,6 +25,12 @@ def read(spark: SparkSession, cfg: RunConfig, name: str) -> DataFrame:
     return spark.read.schema(schemas.WAREHOUSE[name]).parquet(cfg.table(name))
 
 
+def create_warehouse(spark: SparkSession, cfg: RunConfig) -> None:
+    """Replace every warehouse table by an empty one with its declared columns."""
+    for name, schema in schemas.WAREHOUSE.items():
+        sinks.overwrite(local_frame(spark, [], schema), cfg.table(name))
+
+
 def _stored(spark: SparkSession, path: str) -> bool:
     try:
         require(spark, path)

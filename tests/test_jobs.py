@@ -50,6 +50,9 @@ def cfg(tmp_path_factory):
 def test_whole_run(spark, cfg):
     with pytest.raises(FileNotFoundError):
         jobs.validate(spark, cfg)
+    jobs.create_warehouse(spark, cfg)
+    assert jobs.read(spark, cfg, "dim_date").schema.fieldNames() == schemas.DIM_DATE.fieldNames()
+    assert jobs.read(spark, cfg, "fact_orders").count() == 0
     assert {r.target: r.rows_written for r in jobs.load_customers(spark, cfg).collect()} == {
         "fact_customers": 239, "rejected_customers": 0,
     }
