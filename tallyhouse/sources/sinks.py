@@ -8,13 +8,22 @@ from pyspark.sql import DataFrame, Observation, functions as F
 from pyspark.sql.types import StructType
 
 
+def _gathered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of a partition together, so that not every task writes a file to each of them.
+
+    Rebalancing splits a partition above the advisory size over several tasks, so one
+    that holds a large share of the rows is still written in parallel.
+    """
+    return df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
+
+
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    df.write.mode("append").partitionBy(*partition_by).parquet(path)
+    _gathered(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Replace the table, or only the partitions present in ``df`` when partitioned."""
-    writer = df.write.mode("overwrite").partitionBy(*partition_by)
+    writer = _gathered(df, partition_by).write.mode("overwrite").partitionBy(*partition_by)
     if partition_by:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
