@@ -8,8 +8,10 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyhouse.config import settle
+from tallyhouse.operators.ranking import running_totals
 
 QUARTILES = (0.25, 0.5, 0.75)
+SALTS = 32
 
 
 def _unpivoted(df: DataFrame, columns: Sequence[str], groups: Sequence[str]) -> DataFrame:
@@ -27,10 +29,13 @@ def profile(
 ) -> DataFrame:
     """Count, mean, deviation, range and quantile brackets per group and column.
 
-    One pass with partial aggregation. ``lows[i]`` and ``highs[i]`` are values that
-    enclose the exact quantile ``i``: a mergeable sketch of fixed size bounds the rank
-    error by n/accuracy, and the brackets are two such errors wide on either side.
-    Up to ``2 * accuracy`` rows the bracket is the whole range.
+    One pass over the rows. ``lows[i]`` and ``highs[i]`` enclose the exact quantile
+    ``i``: input partitions are dealt to a few salts, each salt has a mergeable sketch
+    whose rank error is at most 1/accuracy of its rows, and a quantile of the whole lies
+    between the smallest and the largest of the salts' own brackets, which are two such
+    errors wide on either side. So no task merges the sketches of all partitions. Below
+    the row count where these errors exceed the rounding of ranks, the bracket is the
+    whole range.
     """
     margin = 2.0 / accuracy
     marks = [max(0.0, p - margin) for p in probabilities] + [min(1.0, p + margin) for p in probabilities]
@@ -43,29 +48,46 @@ def profile(
                 F.lit(c).alias("variable"),
                 F.count(x).alias("n"),
                 F.avg(x).alias("mean"),
-                F.stddev_samp(x).alias("std"),
+                (F.var_pop(x) * F.count(x)).alias("squares"),
                 F.min(x).alias("min"),
                 F.max(x).alias("max"),
                 F.percentile_approx(x, marks, accuracy).alias("marks"),
             ).alias(f"m_{c}")
         )
-    wide = df.groupBy(*groups).agg(*measured)
+    present = df
     for g in groups:
-        wide = wide.where(F.col(g).isNotNull())
-    long = wide.select(*groups, F.inline(F.array(*[F.col(f"m_{c}") for c in columns])))
-    whole = F.col("n") <= 2 * accuracy
-    return long.select(
-        *groups,
-        "variable",
+        present = present.where(F.col(g).isNotNull())
+    salted = present.withColumn("_salt", F.pmod(F.hash(F.spark_partition_id()), F.lit(SALTS)))
+    per_salt = salted.groupBy(*groups, "_salt").agg(*measured)
+    parts = settle(per_salt.select(*groups, F.inline(F.array(*[F.col(f"m_{c}") for c in columns]))))
+    keys = [*groups, "variable"]
+    mean = F.sum(F.col("n") * F.col("mean")).over(Window.partitionBy(*keys)) / F.sum("n").over(
+        Window.partitionBy(*keys)
+    )
+    merged = (
+        parts.withColumn("centre", F.when(F.col("n") > 0, mean))
+        .groupBy(*keys)
+        .agg(
+            F.sum("n").alias("n"),
+            F.max("centre").alias("mean"),
+            F.sum(F.col("squares") + F.col("n") * F.pow(F.col("mean") - F.col("centre"), 2)).alias("squares"),
+            F.min("min").alias("min"),
+            F.max("max").alias("max"),
+            F.count(F.lit(1)).alias("salts"),
+            F.array(*[F.min(F.col("marks")[i]) for i in range(size)]).alias("lows"),
+            F.array(*[F.max(F.col("marks")[size + i]) for i in range(size)]).alias("highs"),
+        )
+    )
+    whole = F.col("n") <= accuracy * (F.col("salts") + 3)
+    return merged.select(
+        *keys,
         "n",
         "mean",
-        "std",
+        F.when(F.col("n") > 1, F.sqrt(F.col("squares") / (F.col("n") - 1))).alias("std"),
         "min",
         "max",
-        F.when(whole, F.array_repeat("min", size)).otherwise(F.slice("marks", 1, size)).alias("lows"),
-        F.when(whole, F.array_repeat("max", size))
-        .otherwise(F.slice("marks", size + 1, size))
-        .alias("highs"),
+        F.when(whole, F.array_repeat("min", size)).otherwise(F.col("lows")).alias("lows"),
+        F.when(whole, F.array_repeat("max", size)).otherwise(F.col("highs")).alias("highs"),
     )
 
 
@@ -79,8 +101,8 @@ def ranked_values(
     """Distinct values near each quantile with the exact number of rows up to them.
 
     Rows outside every bracket are only counted, and map-side aggregation folds them
-    to one row per task, so neither a hot group nor a wide column is ever gathered:
-    the final window sees the few values inside the brackets.
+    to one row per task, so neither a hot group nor a wide column is ever gathered;
+    the values inside the brackets are summed up range by range.
     Columns: groups, variable, value, copies, upto, n.
     """
     keys = [*groups, "variable"]
@@ -94,20 +116,12 @@ def ranked_values(
         slot = slot + (value > high).cast("int")
     counted = (
         _unpivoted(df, columns, groups)
-        .join(brackets.select(*keys, "lows", "highs"), keys)
-        .groupBy(*keys, slot.alias("slot"), F.when(inside, value).alias("value"))
+        .join(brackets.select(*keys, "n", "lows", "highs"), keys)
+        .groupBy(*keys, "n", slot.alias("slot"), F.when(inside, value).alias("value"))
         .agg(F.count(F.lit(1)).alias("copies"))
     )
-    ordered = Window.partitionBy(*keys).orderBy("slot", F.col("value").asc_nulls_first())
-    return counted.select(
-        *keys,
-        "value",
-        "copies",
-        F.sum("copies")
-        .over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        .alias("upto"),
-        F.sum("copies").over(Window.partitionBy(*keys)).alias("n"),
-    )
+    summed = running_totals(counted, ["slot", "value"], {"upto": "copies"}, keys)
+    return summed.select(*keys, "value", "copies", "upto", "n")
 
 
 def value_at_rank(rank: Column) -> Column:
