@@ -53,3 +53,13 @@ def with_starts(df: DataFrame, order_by: Sequence[Column], totals: dict[str, Col
 def ranges_for(df: DataFrame) -> int:
     """How many ranges to deal rows into: the session's shuffle partitions."""
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def bounded_batches(spark, rows: int = 500) -> None:
+    """Keep the Arrow batches of texts small, because one text may be very long.
+
+    Leaves a smaller value of the session alone.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > rows or int(spark.conf.get(key)) <= 0:
+        spark.conf.set(key, str(rows))

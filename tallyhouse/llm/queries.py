@@ -1,3 +1,3 @@
 """Registers the queries of all text operators."""
 
-from tallyhouse.llm import exact_dedup, sharding  # noqa: F401
+from tallyhouse.llm import exact_dedup, mixing, packing, sharding  # noqa: F401
