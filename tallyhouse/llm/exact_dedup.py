@@ -28,9 +28,9 @@ def mark_copies(
     further one 16 times longer, so the number of passes is the logarithm of the longest
     text. A group is (bytes so far, whether the text ended there); a group of one row is
     settled, a group that has ended holds equal texts, the rest goes into the next pass.
-    No digest takes part. Groups are counted before rows meet them, so a text with a third
-    of all rows is one partial count per task, and the join back to the rows is one that
-    the engine may split.
+    No digest takes part. Groups are counted and stored before rows meet them, so a text with a
+    third of all rows is one partial count per task, and the join back to the rows is one
+    that the engine may split.
 
     The row with the largest id stays; among rows that share that id one does, and a null
     id is smaller than any other. Null text counts as empty. ``keep_id`` is null only where
@@ -63,21 +63,20 @@ def _marked(
         *extra,
         F.substring(normalise(docs[text_col]).cast("binary"), 1, FIRST_BYTES).alias("_lead"),
     )
-    leads = rows.groupBy("_lead").agg(F.count(F.lit(1)).alias("_n"))
+    leads = rows.groupBy("_lead").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     level = stored(
-        rows.join(leads, "_lead").select(
+        rows.join(stored(leads, "leads"), "_lead", "left").select(
             *carried,
             "_id",
             F.monotonically_increasing_id().alias("_no"),
-            "_n",
-            F.when(F.col("_n") > 1, normalise(text).cast("binary")).alias("_key"),
+            F.when(F.col("_n").isNotNull(), normalise(text).cast("binary")).alias("_key"),
         ),
         "radix",
     )
-    settled = level.where("_n = 1").select(
+    settled = level.where("_key is null").select(
         *carried, F.col("_id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"), F.lit(True).alias("kept")
     )
-    unsettled, width = level.where("_n > 1"), FIRST_BYTES * DIGIT_GROWTH
+    unsettled, width = level.where("_key is not null"), FIRST_BYTES * DIGIT_GROWTH
     while True:
         ended = F.length("_key") <= width
         rows = unsettled.select(
@@ -88,7 +87,7 @@ def _marked(
         )
         more = (F.col("_n") > 1) & ~F.col("_ended")
         level = stored(
-            rows.join(groups, ["_bytes", "_ended"]).select(
+            rows.join(stored(groups, "groups"), ["_bytes", "_ended"]).select(
                 *carried, "_id", "_no", "_n", "_top", F.when(more, F.col("_key")).alias("_key")
             ),
             "radix",
