@@ -1,3 +1,12 @@
 """Registers the queries of all text operators."""
 
-from tallyhouse.llm import exact_dedup, mixing, packing, sharding  # noqa: F401
+from tallyhouse.llm import (  # noqa: F401
+    exact_dedup,
+    language,
+    mixing,
+    ngram_join,
+    packing,
+    personal,
+    sharding,
+    toxicity,
+)
