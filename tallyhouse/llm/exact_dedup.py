@@ -30,7 +30,7 @@ def mark_copies(
     settled, a group that has ended holds equal texts, the rest goes into the next pass.
     No digest takes part. Groups are counted and stored before rows meet them, so a text with a
     third of all rows is one partial count per task, and the join back to the rows is one
-    that the engine may split.
+    that the engine may split; it is a merge join at every size.
 
     The row with the largest id stays; among rows that share that id one does, and a null
     id is smaller than any other. Null text counts as empty. ``keep_id`` is null only where
@@ -65,7 +65,7 @@ def _marked(
     )
     leads = rows.groupBy("_lead").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     level = stored(
-        rows.join(stored(leads, "leads"), "_lead", "left").select(
+        rows.join(stored(leads, "leads").hint("merge"), "_lead", "left").select(
             *carried,
             "_id",
             F.monotonically_increasing_id().alias("_no"),
@@ -87,7 +87,7 @@ def _marked(
         )
         more = (F.col("_n") > 1) & ~F.col("_ended")
         level = stored(
-            rows.join(stored(groups, "groups"), ["_bytes", "_ended"]).select(
+            rows.join(stored(groups, "groups").hint("merge"), ["_bytes", "_ended"]).select(
                 *carried, "_id", "_no", "_n", "_top", F.when(more, F.col("_key")).alias("_key")
             ),
             "radix",
