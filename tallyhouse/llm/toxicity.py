@@ -20,7 +20,7 @@ BITS = 18
 # Bound of the labelled sample the classifier is fitted on: rows of each class.
 SAMPLE_PER_CLASS = 1000
 ROUNDS = 40
-RIDGE = 2e-3
+RIDGE = 2e-2
 THRESHOLD = 0.7
 
 # Multipliers of the rolling hash.
