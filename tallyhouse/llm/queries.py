@@ -2,6 +2,7 @@
 
 from tallyhouse.llm import (  # noqa: F401
     exact_dedup,
+    fingerprints,
     language,
     mixing,
     ngram_join,
