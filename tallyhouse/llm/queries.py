@@ -4,6 +4,7 @@ from tallyhouse.llm import (  # noqa: F401
     exact_dedup,
     fingerprints,
     language,
+    licenses,
     mixing,
     ngram_join,
     packing,
