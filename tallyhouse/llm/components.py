@@ -17,24 +17,28 @@ def connected_components(edges: DataFrame) -> DataFrame:
     round is stored. Edges from a node to itself and repeated edges are harmless; null
     ends are left out; without edges there are no rows.
     """
-    edges = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    state = None
-    while True:
+    edges = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    edges = stored(edges, "edges")
+    while not _all_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = stored(large, "large")
-        least = stored(large.groupBy("u").agg(F.min("v").alias("m")), "least")
-        small = large.join(least, "u")
+        small = large.join(large.groupBy("u").agg(F.min("v").alias("m")), "u")
         edges = stored(
             small.select("u", F.col("m").alias("v"))
             .unionByName(small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
             .distinct(),
             "edges",
         )
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
-            break
-        state = now
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
+
+
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether every larger end has one edge and is nobody's smaller end."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return nodes.where("up > 1 or (up = 1 and down = 1)").isEmpty()

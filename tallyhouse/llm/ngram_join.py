@@ -364,7 +364,7 @@ def near_components(
     roots = connected_components(links).select(F.col("node").alias("key"), "root")
     linked = classes.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     smallest = linked.groupBy("root").agg(F.min("_rep").alias("component_id"))
-    home = stored(linked.join(smallest, "root").select(F.col("key").alias("_key"), "component_id"), "homes")
+    home = linked.join(smallest, "root").select(F.col("key").alias("_key"), "component_id")
     placed = full.join(home, F.col("key") == F.col("_key")).select("_id", "n", "component_id")
     alone = described.where("n = 0").select("_id", "n", F.col("_id").alias("component_id"))
     return placed.unionByName(alone).select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
@@ -391,7 +391,7 @@ def _links(rows: DataFrame, members: DataFrame, words: int, percent: int) -> Dat
     texts = rows.join(
         banded.select(F.col("_rep").alias("_r"), F.col("key").alias("_wanted")).distinct(), F.col("_id").eqNullSafe(F.col("_r"))
     ).select("_text", "_wanted")
-    sets = stored(texts.mapInArrow(_sets(words), "key binary, grams binary").dropDuplicates(["key"]), "grams")
+    sets = texts.mapInArrow(_sets(words), "key binary, grams binary").dropDuplicates(["key"])
 
     one = F.col("tile")
     own = F.transform(
