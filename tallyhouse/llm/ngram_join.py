@@ -365,7 +365,7 @@ def near_components(
     linked = classes.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     smallest = linked.groupBy("root").agg(F.min("_rep").alias("component_id"))
     home = linked.join(smallest, "root").select(F.col("key").alias("_key"), "component_id")
-    placed = full.join(home, F.col("key") == F.col("_key")).select("_id", "n", "component_id")
+    placed = full.join(home.hint("merge"), F.col("key") == F.col("_key")).select("_id", "n", "component_id")
     alone = described.where("n = 0").select("_id", "n", F.col("_id").alias("component_id"))
     return placed.unionByName(alone).select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
 
@@ -388,9 +388,9 @@ def _links(rows: DataFrame, members: DataFrame, words: int, percent: int) -> Dat
     beside = tiles.select("cluster", (F.col("band") - 1).alias("band"), F.col("tiles").alias("above"))
     below = tiles.select("cluster", (F.col("band") + 1).alias("band"), F.col("tiles").alias("under"))
     banded = stored(banded.join(beside, ["cluster", "band"], "left").join(below, ["cluster", "band"], "left"), "banded")
-    texts = rows.join(
-        banded.select(F.col("_rep").alias("_r"), F.col("key").alias("_wanted")).distinct(), F.col("_id").eqNullSafe(F.col("_r"))
-    ).select("_text", "_wanted")
+    # merge joins at every size: what is joined to the texts grows with them
+    wanted = banded.select(F.col("_rep").alias("_r"), F.col("key").alias("_wanted")).distinct().hint("merge")
+    texts = rows.join(wanted, F.col("_id").eqNullSafe(F.col("_r"))).select("_text", "_wanted")
     sets = texts.mapInArrow(_sets(words), "key binary, grams binary").dropDuplicates(["key"])
 
     one = F.col("tile")
@@ -411,7 +411,7 @@ def _links(rows: DataFrame, members: DataFrame, words: int, percent: int) -> Dat
     )
     dealt = banded.select("cluster", "key", F.explode(F.concat(own, up, down)).alias("at"))
     dealt = dealt.select("key", F.concat_ws(":", "cluster", "at.low", "at.i", "at.high", "at.j").alias("block"), F.col("at.side").alias("side"))
-    blocks = dealt.join(sets, "key").select("block", "side", "key", "grams").repartition("block").sortWithinPartitions("block")
+    blocks = dealt.join(sets.hint("merge"), "key").select("block", "side", "key", "grams").repartition("block").sortWithinPartitions("block")
     return blocks.mapInArrow(_multiply(percent), "a binary, b binary")
 
 
@@ -424,7 +424,7 @@ def drop_near_copies(
     """
     found = near_components(docs, id_col, text_col, words, percent)
     gone = stored(found.where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_gone")).distinct(), "gone")
-    return docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
+    return docs.join(gone.hint("merge"), docs[id_col] == F.col("_gone"), "left_anti")
 
 
 @query("op10_ngram_join")
