@@ -11,8 +11,6 @@ SEGMENT_NAMES = {
     "loyal": "🌟 Cliente Leal",
     "at_risk": "⚠️  Cliente en Riesgo",
     "price_hunter": "🏷️  Cazador de Ofertas",
-    "dormant": "💤 Cliente Dormido",
-    "new": "🆕 Cliente Nuevo",
 }
 
 # Risk tier code -> display name.

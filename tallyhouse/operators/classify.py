@@ -18,6 +18,8 @@ from tallyhouse.operators.neighbors import oversample_minority
 from tallyhouse.operators.sampling import stratified_split
 from tallyhouse.operators.segments import Scaling, fit_scaling, to_vectors
 
+ROWS_PER_TASK = 20_000
+
 
 @dataclass
 class Classifier:
@@ -99,10 +101,13 @@ def fit_boosted(
     step: float = 0.05,
     seed: int = 42,
 ) -> Classifier:
-    """Boosted trees on unscaled features; lineage is cut every ten rounds."""
+    """Boosted trees on unscaled features; lineage is cut every 25 rounds.
+
+    A round is a few short jobs, so tasks hold up to ``ROWS_PER_TASK`` rows each.
+    """
     shared_dir(train.sparkSession)
     vectors = to_vectors(train, features).select("features", F.col(label).cast("double").alias("label"))
-    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = vectors.coalesce(-(-train.count() // ROWS_PER_TASK) or 1).persist(StorageLevel.MEMORY_AND_DISK)
     model = GBTClassifier(
         maxIter=rounds,
         maxDepth=depth,
@@ -110,7 +115,7 @@ def fit_boosted(
         subsamplingRate=0.8,
         featureSubsetStrategy="0.8",
         seed=seed,
-        checkpointInterval=10,
+        checkpointInterval=25,
         cacheNodeIds=True,
     ).fit(vectors)
     vectors.unpersist()

@@ -22,28 +22,23 @@ from tallyhouse.operators.ranking import number_rows
 COPIES_PER_CHUNK = 1000
 
 
-def _widest(df: DataFrame, features: Sequence[str]) -> str:
-    spread = df.agg(*[F.coalesce(F.var_pop(c), F.lit(0.0)).alias(c) for c in features]).first()
-    return max(features, key=lambda c: spread[c])
-
-
 def _closest(k: int):
-    """Compare one block of query points with one block of targets."""
+    """Compare one block of query points with one block of targets as a matrix of distances."""
 
     def compare(query: pd.DataFrame, target: pd.DataFrame) -> pd.DataFrame:
-        out = {"id": [], "neighbor": [], "distance": []}
-        if len(query) and len(target):
-            target = target.sort_values("neighbor", kind="stable")
-            t = np.stack(target["point"].to_numpy())
-            names = target["neighbor"].to_numpy()
-            for own, x, radius in zip(query["id"], query["x"], query["radius"], strict=True):
-                d = np.sqrt(((t - x) ** 2).sum(axis=1))
-                near = np.flatnonzero((d <= radius) & (names != own))
-                best = near[np.argsort(d[near], kind="stable")[:k]]
-                out["id"].extend([own] * len(best))
-                out["neighbor"].extend(names[best])
-                out["distance"].extend(d[best])
-        return pd.DataFrame(out).astype({"id": "object", "neighbor": "object", "distance": "float64"})
+        empty = pd.DataFrame({"id": [], "neighbor": [], "distance": []})
+        if not len(query) or not len(target):
+            return empty.astype({"id": "object", "neighbor": "object", "distance": "float64"})
+        target = target.sort_values("neighbor", kind="stable")
+        q, t = np.stack(query["x"].to_numpy()), np.stack(target["point"].to_numpy())
+        own, names = query["id"].to_numpy(), target["neighbor"].to_numpy()
+        d = np.sqrt(((q[:, None, :] - t[None, :, :]) ** 2).sum(axis=2))
+        d[own[:, None] == names[None, :]] = np.inf
+        d[d > query["radius"].to_numpy()[:, None]] = np.inf
+        best = np.argsort(d, axis=1, kind="stable")[:, :k]
+        near = np.take_along_axis(d, best, 1)
+        rows, places = np.nonzero(np.isfinite(near))
+        return pd.DataFrame({"id": own[rows], "neighbor": names[best[rows, places]], "distance": near[rows, places]})
 
     return compare
 
@@ -56,18 +51,44 @@ def nearest_neighbors(
     slab_rows: int = 512,
     max_rows: int = SMALL_ROWS,
 ) -> DataFrame:
-    """``id, neighbor, distance, rank``: the k nearest other rows of each row.
+    """``id, neighbor, distance, rank``: the k nearest other rows of each row by (distance, id).
 
-    The ids must be unique. Equal distances are ordered by id; when more rows than k
-    share the last distance, those met first are kept, so many copies of one point do
-    not have to be compared with each other.
+    The ids must be unique. Rows with equal features are one point of the search, of which
+    the k + 1 smallest ids are kept (pruned before the shuffle); a point's answer is shared by its rows, each
+    leaving itself out. So many copies of a point cost no more than one, and ties do not
+    depend on how the points are cut into slabs.
     """
-    axis = _widest(df, features)
-    points = df.select(
-        F.col(identity).cast("string").alias("id"),
-        F.array(*[F.col(c).cast("double") for c in features]).alias("x"),
-        F.col(axis).cast("double").alias("axis"),
+    rows = df.select(
+        F.col(identity).cast("string").alias("id"), F.array(*[F.col(c).cast("double") for c in features]).alias("x")
+    )
+    place = F.row_number().over(Window.partitionBy("x").orderBy("id"))
+    few = (
+        rows.withColumn("_place", place)
+        .where(F.col("_place") <= k + 1)
+        .groupBy("x")
+        .agg(F.min("id").alias("point"), F.array_sort(F.collect_list("id")).alias("ids"))
     )
+    few = settle(few, max_rows, heavy=True)
+    found = _nearest_points(few.select(F.col("point").alias("id"), "x"), features, k, slab_rows, max_rows)
+    around = found.select("id", "distance", F.col("neighbor").alias("point")).join(few.select("point", "ids"), "point")
+    same = few.select(F.col("point").alias("id"), F.lit(0.0).alias("distance"), "ids")
+    near = around.select("id", "distance", "ids").unionByName(same)
+    near = near.select("id", F.explode(F.transform("ids", lambda n: F.struct(F.col("distance"), n.alias("neighbor")))).alias("near"))
+    nearest = F.slice(F.array_sort(F.collect_list("near")), 1, k + 1)  # of at most k * k + 2 k + 1 rows
+    answers = near.groupBy(F.col("id").alias("point")).agg(nearest.alias("near"))
+    own = rows.join(few.select("x", "point"), "x").select("id", "point").join(answers, "point")
+    others = F.slice(F.filter("near", lambda n: n["neighbor"] != F.col("id")), 1, k)
+    ranked = own.select("id", F.posexplode(others).alias("place", "near"))
+    return ranked.select("id", "near.neighbor", "near.distance", (F.col("place") + 1).alias("rank"))
+
+
+def _nearest_points(
+    distinct: DataFrame, features: Sequence[str], k: int, slab_rows: int, max_rows: int
+) -> DataFrame:
+    """The same for points (``id``, ``x``) of which no two are equal."""
+    spread = distinct.agg(*[F.coalesce(F.var_pop(F.col("x")[i]), F.lit(0.0)) for i in range(len(features))]).first()
+    axis = max(range(len(features)), key=lambda i: spread[i])
+    points = distinct.withColumn("axis", F.col("x")[axis])
     numbered = number_rows(points, ["axis", "id"], "place", max_rows)
     slab = F.expr(f"(place - 1) div {slab_rows}").alias("slab")
     points = settle(numbered.select("id", "x", "axis", slab), max_rows, heavy=True)
@@ -75,7 +96,7 @@ def nearest_neighbors(
     last_slab = bounds.agg(F.max("slab")).first()[0]
     open_points = points.withColumn("radius", F.lit(float("inf")))
     best = None
-    fresh = range(-1, 2)
+    fresh = F.array(F.lit(-1), F.lit(0), F.lit(1))
     reach = 1
     by_id = Window.partitionBy("id").orderBy("distance", "neighbor")
     while True:
@@ -83,10 +104,10 @@ def nearest_neighbors(
             F.max("radius").alias("radius"), F.min("axis").alias("from"), F.max("axis").alias("to")
         )
         pairs = (
-            source.select("*", F.explode(F.array(*[F.lit(o) for o in fresh])).alias("offset"))
+            source.select("*", F.explode(fresh).alias("offset"))
             .withColumn("target", F.col("slab") + F.col("offset"))
             .join(bounds.withColumnRenamed("slab", "target"), "target")
-            .where((F.col("lo") < F.col("to") + F.col("radius")) & (F.col("hi") > F.col("from") - F.col("radius")))
+            .where((F.col("lo") <= F.col("to") + F.col("radius")) & (F.col("hi") >= F.col("from") - F.col("radius")))
             .select("slab", "target")
         )
         pairs = settle(pairs, max_rows)
@@ -103,7 +124,7 @@ def nearest_neighbors(
             found = best.select("id", "neighbor", "distance").unionByName(found)
         ranked = found.withColumn("rank", F.row_number().over(by_id))
         best = settle(ranked.where(F.col("rank") <= k), max_rows, heavy=True)
-        if reach >= last_slab:
+        if last_slab is None or reach >= last_slab:
             return best
         kth = best.where(F.col("rank") == k).select("id", F.col("distance").alias("radius"))
         left = bounds.select((F.col("slab") + reach + 1).alias("slab"), F.col("hi").alias("left_edge"))
@@ -114,8 +135,8 @@ def nearest_neighbors(
             .join(left, "slab", "left")
             .join(right, "slab", "left")
             .where(
-                (F.col("axis") - F.col("left_edge") < F.col("radius"))
-                | (F.col("right_edge") - F.col("axis") < F.col("radius"))
+                (F.col("axis") - F.col("left_edge") <= F.col("radius"))
+                | (F.col("right_edge") - F.col("axis") <= F.col("radius"))
             )
             .select("id", "x", "axis", "slab", "radius"),
             max_rows,
@@ -124,7 +145,9 @@ def nearest_neighbors(
         if open_points.isEmpty():
             return best
         wider = min(2 * reach + 1, last_slab)
-        fresh = [o for o in range(-wider, wider + 1) if abs(o) > reach]
+        fresh = F.concat(
+            F.sequence(F.lit(-wider), F.lit(-reach - 1)), F.sequence(F.lit(reach + 1), F.lit(wider))
+        )
         reach = wider
 
 

@@ -42,8 +42,9 @@ def stratified_split(
         .agg(value_at_rank(rank).alias("cut"))
         .select(label, F.coalesce(F.col("cut"), F.when(rank < 1, F.lit(-1.0))).alias("_cut"))
     )
+    missed = F.raise_error(F.lit("the cut of a class lies outside its bracket; raise the accuracy")).cast("double")
     return (
-        hashed.join(cuts, label)
+        hashed.join(cuts.withColumn("_cut", F.coalesce("_cut", missed)), label)
         .withColumn("split", F.when(F.col("_hash") <= F.col("_cut"), "train").otherwise("test"))
         .select(*df.columns, "split")
     )

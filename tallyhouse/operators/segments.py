@@ -79,9 +79,15 @@ def sweep_k(
     """``k, inertia, silhouette, best``; silhouette with squared Euclidean distance."""
     cached = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     judge = ClusteringEvaluator(metricName="silhouette", distanceMeasure="squaredEuclidean")
-    rows = []
-    for k, model in fit_kmeans(cached, range(k_min, k_max + 1), seed, restarts).items():
-        rows.append((k, float(model.summary.trainingCost), float(judge.evaluate(model.transform(cached)))))
+
+    @inheritable_thread_target(vectors.sparkSession)
+    def judged(found: tuple[int, KMeansModel]) -> tuple[int, float, float]:
+        k, model = found
+        return k, float(model.summary.trainingCost), float(judge.evaluate(model.transform(cached)))
+
+    models = fit_kmeans(cached, range(k_min, k_max + 1), seed, restarts)
+    with ThreadPool(len(models)) as pool:
+        rows = pool.map(judged, models.items(), chunksize=1)
     cached.unpersist()
     top = max(rows, key=lambda r: (r[2], -r[0]))[0]
     return vectors.sparkSession.createDataFrame(

@@ -263,8 +263,8 @@ def histogram(
 ) -> DataFrame:
     """Equal-width counts and densities: ``bin, lower, upper, count, density``.
 
-    The range is that of the whole column, or of each group when asked. Empty bins
-    are not listed.
+    The range is that of the whole column, or of each group when asked. Every bin is
+    listed, empty ones with count 0; a column of one value has all rows in the first bin.
     """
     x = F.col(column).cast("double")
     present = df.where(x.isNotNull())
@@ -277,6 +277,10 @@ def histogram(
     counted = bounded.groupBy(
         *groups, "lo", "hi", _cell(F.col("value"), F.col("lo"), F.col("hi"), bins).cast("int").alias("bin")
     ).agg(F.count(F.lit(1)).alias("count"))
+    every = counted.select(*groups, "lo", "hi").distinct()
+    every = every.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    keys_of_bin = [*groups, "bin"]
+    counted = every.join(counted.select(*keys_of_bin, "count"), keys_of_bin, "left").fillna(0, ["count"])
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
     total = F.sum("count").over(Window.partitionBy(*groups))
     return counted.select(
@@ -344,7 +348,10 @@ def density_curve(
 
 
 def box_stats(df: DataFrame, columns: Sequence[str], group: str, accuracy: int = 10_000) -> DataFrame:
-    """Quartiles, whiskers within 1.5 interquartile ranges, and outlier count per group."""
+    """Quartiles, whiskers within 1.5 interquartile ranges, and outlier count per group.
+
+    A whisker ends at the box where no value lies between the box and its reach.
+    """
     keys = [group, "variable"]
     present = df.where(F.col(group).isNotNull())
     boxes = settle(quantiles(present, columns, [group], QUARTILES, accuracy))
@@ -355,8 +362,8 @@ def box_stats(df: DataFrame, columns: Sequence[str], group: str, accuracy: int =
         .join(boxes, keys)
         .groupBy(*keys, "q0", "q1", "q2")
         .agg(
-            F.min(F.when(within, F.col("value"))).alias("whisker_low"),
-            F.max(F.when(within, F.col("value"))).alias("whisker_high"),
+            F.least(F.min(F.when(within, F.col("value"))), F.col("q0")).alias("whisker_low"),
+            F.greatest(F.max(F.when(within, F.col("value"))), F.col("q2")).alias("whisker_high"),
             F.count_if(~within).alias("outliers"),
         )
         .select(

@@ -13,7 +13,6 @@ from tallyhouse.plans.registry import query, rounded
 from tallyhouse.sources import proxies
 from tallyhouse.sources.proxy_sql import PC, PS, with_views
 
-BOOSTED_ROUNDS = 20
 OUTCOME = ["churned", "churn_predicted", "churn_score"]
 
 
@@ -146,14 +145,14 @@ def lr_score(spark, folder):
 def gbt_score(spark, folder):
     """Boosted trees on balanced train rows; scores for every customer."""
     rows, balanced = C.training_rows(_labelled(spark, folder))
-    return C.score_customers(C.fit_boosted(balanced, rounds=BOOSTED_ROUNDS), rows)
+    return C.score_customers(C.fit_boosted(balanced), rows)
 
 
 @query("feature_importance")
 def feature_importance(spark, folder):
     """Importances of boosted trees and absolute coefficients of the regression."""
     _, balanced = C.training_rows(_labelled(spark, folder))
-    trees = C.importances(C.fit_boosted(balanced, rounds=BOOSTED_ROUNDS), spark)
+    trees = C.importances(C.fit_boosted(balanced), spark)
     lines = C.importances(C.fit_logistic(balanced), spark)
     both = trees.withColumn("model", F.lit("boosted")).unionByName(lines.withColumn("model", F.lit("logistic")))
     return rounded(both)

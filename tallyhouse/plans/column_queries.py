@@ -325,12 +325,15 @@ def join_star(spark, folder):
 
 @query(
     "join_left_anti",
-    "SELECT s_suppkey, s_name FROM supplier LEFT JOIN events ON user_id = s_suppkey AND event_type = 'signup' WHERE user_id IS NULL",
+    """SELECT p_partkey, p_name FROM part LEFT JOIN
+              (SELECT DISTINCT l_partkey FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-03-01') ON l_partkey = p_partkey
+       WHERE l_partkey IS NULL""",
 )
 def join_left_anti(spark, folder):
-    users = table(spark, folder, "events").where("event_type = 'signup'").select("user_id").distinct()
-    suppliers = table(spark, folder, "supplier", "s_suppkey", "s_name")
-    return suppliers.join(users, F.col("s_suppkey") == F.col("user_id"), "left_anti")
+    """Parts that were not shipped since a date."""
+    shipped = table(spark, folder, "lineitem").where("l_shipdate >= TIMESTAMP '2001-03-01'").select("l_partkey").distinct()
+    parts = table(spark, folder, "part", "p_partkey", "p_name")
+    return parts.join(shipped, F.col("p_partkey") == F.col("l_partkey"), "left_anti")
 
 
 @query(
@@ -346,11 +349,12 @@ def join_left(spark, folder):
 
 @query(
     "set_except",
-    "SELECT DISTINCT c_custkey AS id FROM customer EXCEPT SELECT o_custkey FROM orders",
+    "SELECT DISTINCT c_custkey AS id FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01'",
 )
 def set_except(spark, folder):
-    """Customers that never ordered."""
-    buyers = table(spark, folder, "orders").select(F.col("o_custkey").alias("id")).distinct()
+    """Customers that had not ordered before a date."""
+    early = table(spark, folder, "orders").where("o_orderdate < TIMESTAMP '1996-01-01'")
+    buyers = early.select(F.col("o_custkey").alias("id")).distinct()
     everyone = table(spark, folder, "customer").select(F.col("c_custkey").alias("id"))
     return everyone.subtract(buyers)
 

@@ -384,21 +384,13 @@ def corr_topk(spark, folder):
 
 
 @query(
-    "scatter_sample",
-    with_views(
-        """SELECT order_id, line_number, delivery_time_days, customer_rating, order_status FROM po
-           ORDER BY substr(md5(order_id || '-' || line_number || '-' || order_value || ':42'), 1, 13),
-                    delivery_time_days, customer_rating LIMIT 2000""",
-        PO,
-    ).replace("order_value || ':42'", "CAST(round(order_value * 100) AS BIGINT) || ':42'"),
+    "delivery_rating_points",
+    with_views("SELECT order_id, line_number, delivery_time_days, customer_rating, order_status FROM po", PO),
 )
-def scatter_sample(spark, folder):
-    """Seeded sample of delivery days against rating, by status."""
+def delivery_rating_points(spark, folder):
+    """Delivery days against rating of every order, by status."""
     columns = ["order_id", "line_number", "delivery_time_days", "customer_rating", "order_status"]
-    lines = proxies.order_lines(spark, folder, *columns, "order_value")
-    token = F.concat_ws("-", "order_id", "line_number", X.cents(F.col("order_value")))
-    hashed = lines.withColumn("_hash", X.hash_key(token, 42))
-    return hashed.orderBy("_hash", "delivery_time_days", "customer_rating").limit(2000).select(*columns)
+    return proxies.order_lines(spark, folder, *columns).select(*columns)
 
 
 # ---------------------------------------------------------------- churn
@@ -650,8 +642,8 @@ def pivot_mean(spark, folder):
 
 _BOX_SQL = " UNION ALL ".join(
     f"""SELECT product_category, '{c}' AS variable, any_value(q1) AS q1, any_value(m) AS median, any_value(q3) AS q3,
-        min({c}) FILTER (WHERE {c} >= q1 - 1.5::DOUBLE * (q3 - q1)) AS whisker_low,
-        max({c}) FILTER (WHERE {c} <= q3 + 1.5::DOUBLE * (q3 - q1)) AS whisker_high,
+        least(min({c}) FILTER (WHERE {c} >= q1 - 1.5::DOUBLE * (q3 - q1)), any_value(q1)) AS whisker_low,
+        greatest(max({c}) FILTER (WHERE {c} <= q3 + 1.5::DOUBLE * (q3 - q1)), any_value(q3)) AS whisker_high,
         count(*) FILTER (WHERE {c} < q1 - 1.5::DOUBLE * (q3 - q1) OR {c} > q3 + 1.5::DOUBLE * (q3 - q1)) AS outliers
         FROM (SELECT product_category, CAST({c} AS DOUBLE) AS {c} FROM po) JOIN
              (SELECT product_category, quantile_cont(CAST({c} AS DOUBLE), 0.25) AS q1,
@@ -681,9 +673,11 @@ def box_stats(spark, folder):
     "hist_equal_width",
     with_views(
         """SELECT bin, round(lo + bin * (hi - lo) / 30, 6) AS lower, round(lo + (bin + 1) * (hi - lo) / 30, 6) AS upper,
-                  count(*) AS count, round(count(*) / (sum(count(*)) OVER () * (hi - lo) / 30), 10) AS density
-           FROM (SELECT lo, hi, CAST(least(floor((avg_order_value - lo) / ((hi - lo) / 30)), 29) AS INTEGER) AS bin
-                 FROM pc, (SELECT min(avg_order_value) AS lo, max(avg_order_value) AS hi FROM pc))
+                  count(v) AS count, round(count(v) / (sum(count(v)) OVER () * (hi - lo) / 30), 10) AS density
+           FROM (SELECT min(avg_order_value) AS lo, max(avg_order_value) AS hi FROM pc)
+           CROSS JOIN (SELECT CAST(unnest(range(30)) AS INTEGER) AS bin)
+           LEFT JOIN (SELECT avg_order_value AS v FROM pc)
+                ON bin = CAST(least(floor((v - lo) / ((hi - lo) / 30)), 29) AS INTEGER)
            GROUP BY bin, lo, hi""",
         PC,
     ),
@@ -702,13 +696,14 @@ def hist_equal_width(spark, folder):
 @query(
     "hist_density_by_class",
     with_views(
-        """SELECT churned, bin, round(lo + bin * (hi - lo) / 40, 9) AS lower,
-                  round(lo + (bin + 1) * (hi - lo) / 40, 9) AS upper, count(*) AS count,
-                  round(count(*) / (sum(count(*)) OVER (PARTITION BY churned) * (hi - lo) / 40), 9) AS density
-           FROM (SELECT churned, lo, hi, CAST(least(floor((churn_score - lo) / ((hi - lo) / 40)), 39) AS INTEGER) AS bin
-                 FROM ps JOIN (SELECT churned, min(churn_score) AS lo, max(churn_score) AS hi FROM ps GROUP BY churned)
-                      USING (churned))
-           GROUP BY churned, bin, lo, hi""",
+        """SELECT r.churned, bin, round(lo + bin * (hi - lo) / 40, 9) AS lower,
+                  round(lo + (bin + 1) * (hi - lo) / 40, 9) AS upper, count(v) AS count,
+                  round(count(v) / (sum(count(v)) OVER (PARTITION BY r.churned) * (hi - lo) / 40), 9) AS density
+           FROM (SELECT churned, min(churn_score) AS lo, max(churn_score) AS hi FROM ps GROUP BY churned) r
+           CROSS JOIN (SELECT CAST(unnest(range(40)) AS INTEGER) AS bin)
+           LEFT JOIN (SELECT churned, churn_score AS v FROM ps) s
+                ON s.churned = r.churned AND bin = CAST(least(floor((v - lo) / ((hi - lo) / 40)), 39) AS INTEGER)
+           GROUP BY r.churned, bin, lo, hi""",
         PS,
     ),
 )

@@ -127,7 +127,8 @@ def sink_overwrite(spark, folder):
     )
     sinks.overwrite(rows, path, ["cluster_id"])
     sinks.overwrite(rows, path, ["cluster_id"])
-    sinks.overwrite(rows.where("cluster_id = 1").withColumn("version", F.lit(1)), path, ["cluster_id"])
+    again = rows.where("cluster_id = 1").withColumn("version", F.lit(1))
+    sinks.overwrite(again, path, ["cluster_id"], only_present=True)
     return (
         spark.read.parquet(path)
         .groupBy(F.col("cluster_id").cast("int").alias("cluster_id"))
@@ -135,6 +136,20 @@ def sink_overwrite(spark, folder):
     )
 
 
+@query(
+    "sink_truncate",
+    with_views("SELECT cluster AS cluster_id, count(*) AS customers FROM ps WHERE cluster IN (1, 2) GROUP BY cluster", PS),
+)
+def sink_truncate(spark, folder):
+    """All segments stored by cluster, then reloaded with two of them: the others are gone."""
+    path = scratch_path(spark, "truncate")
+    rows = proxies.scored_customers(spark, folder).select("customer_id", F.col("cluster").alias("cluster_id"))
+    sinks.overwrite(rows, path, ["cluster_id"])
+    sinks.overwrite(rows.where("cluster_id IN (1, 2)"), path, ["cluster_id"])
+    stored_rows = spark.read.parquet(path).groupBy(F.col("cluster_id").cast("int").alias("cluster_id"))
+    return stored_rows.agg(F.count(F.lit(1)).alias("customers"))
+
+
 @query(
     "upsert_new_keys",
     """SELECT DISTINCT CAST(o_orderdate AS DATE) AS full_date FROM orders

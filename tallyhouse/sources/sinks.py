@@ -21,12 +21,11 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     _gathered(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace the table, or only the partitions present in ``df`` when partitioned."""
+def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = (), only_present: bool = False) -> None:
+    """Replace the table; with ``only_present`` just the partitions that ``df`` has rows of."""
+    mode = "dynamic" if only_present else "static"
     writer = _gathered(df, partition_by).write.mode("overwrite").partitionBy(*partition_by)
-    if partition_by:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+    writer.option("partitionOverwriteMode", mode).parquet(path)
 
 
 def write_counted(df: DataFrame, path: str, mode: str = "overwrite") -> int:

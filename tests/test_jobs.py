@@ -112,8 +112,11 @@ def test_sinks(spark, tmp_path):
     assert spark.read.parquet(path).count() == 2
     parts = str(tmp_path / "p")
     sinks.overwrite(df, parts, ["p"])
-    sinks.overwrite(spark.createDataFrame([(9, "b")], df.schema), parts, ["p"])
+    changed = spark.createDataFrame([(9, "b")], df.schema)
+    sinks.overwrite(changed, parts, ["p"], only_present=True)
     assert sorted(r.k for r in spark.read.parquet(parts).collect()) == [1, 9]
+    sinks.overwrite(changed, parts, ["p"])
+    assert [r.k for r in spark.read.parquet(parts).collect()] == [9]
     assert sinks.write_counted(df, str(tmp_path / "c")) == 2
     fresh = sinks.new_keys(spark.createDataFrame([(2,), (3,), (3,)], "k int"), df, ["k"])
     assert [r.k for r in fresh.collect()] == [3]

@@ -13,8 +13,7 @@ def brute_neighbors(pdf, features, k):
     out = {}
     for i, name in enumerate(pdf.id):
         d = np.sqrt(((x - x[i]) ** 2).sum(axis=1))
-        order = sorted((d[j], pdf.id.iloc[j]) for j in range(len(x)) if j != i)[:k]
-        out[name] = [d for d, _ in order]
+        out[name] = sorted((d[j], pdf.id.iloc[j]) for j in range(len(x)) if j != i)[:k]
     return out
 
 
@@ -28,14 +27,24 @@ def test_neighbors_are_exact(spark, slab_rows, max_rows):
     pdf["id"] = [f"p{i:03d}" for i in range(n)]
     got = N.nearest_neighbors(spark.createDataFrame(pdf), "id", ["a", "b", "c"], 5, slab_rows, max_rows).toPandas()
     want = brute_neighbors(pdf, ["a", "b", "c"], 5)
-    points = pdf.set_index("id")
     for name, part in got.sort_values("rank").groupby("id"):
-        assert np.allclose(part.distance, want[name]) and part.neighbor.nunique() == 5
-        true = np.sqrt(((points.loc[part.neighbor] - points.loc[name]) ** 2).sum(axis=1))
-        assert np.allclose(part.distance, true)
+        assert list(part.neighbor) == [i for _, i in want[name]] and list(part["rank"]) == [1, 2, 3, 4, 5]
+        assert np.allclose(part.distance, [d for d, _ in want[name]])
     assert len(got) == 5 * n
 
 
+@pytest.mark.parametrize("slab_rows", [4, 16, 512])
+def test_neighbor_ties_follow_the_ids(spark, slab_rows):
+    """Sixty equal points and whole-number features: the same rows at any slab size."""
+    rows = [(f"p{i:03d}", 1.0, 1.0) for i in range(60)] + [(f"q{i:03d}", float(i % 4), float(i % 3)) for i in range(40)]
+    pdf = pd.DataFrame(rows, columns=["id", "a", "b"])
+    got = N.nearest_neighbors(spark.createDataFrame(pdf), "id", ["a", "b"], 3, slab_rows, 30).toPandas()
+    want = brute_neighbors(pdf, ["a", "b"], 3)
+    for name, part in got.sort_values("rank").groupby("id"):
+        assert list(part.neighbor) == [i for _, i in want[name]]
+    assert len(got) == 300
+
+
 def test_neighbors_of_few_points(spark):
     df = spark.createDataFrame([("a", 0.0), ("b", 1.0), ("c", 5.0)], "id string, v double")
     got = N.nearest_neighbors(df, "id", ["v"], 5).orderBy("id", "rank").collect()

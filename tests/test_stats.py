@@ -67,6 +67,18 @@ def test_box_stats(spark):
     assert (row["whisker_low"], row["whisker_high"], row["outliers"]) == (1.0, 5.0, 1)
 
 
+def test_whisker_never_lies_in_the_box(spark):
+    df = spark.createDataFrame([("a", v) for v in (0.0, 0.0, 0.0, 10.0)], "g string, v double")
+    row = S.box_stats(df, ["v"], "g").first()
+    assert (row["q3"], row["whisker_low"], row["whisker_high"], row["outliers"]) == (2.5, 0.0, 2.5, 1)
+
+
+def test_histogram_lists_empty_bins(spark):
+    df = spark.createDataFrame([("a", 0.0), ("a", 10.0), ("b", 10.0), (None, 3.0)], "g string, v double")
+    got = S.histogram(df, "v", 10, ["g"]).orderBy("g", "bin").collect()
+    assert [(r.g, r["count"]) for r in got] == [("a", n) for n in [1, *[0] * 8, 1]] + [("b", n) for n in [*[0] * 9, 1]]
+
+
 def test_histogram_holds_the_maximum(wide):
     pdf, df = wide
     got = S.histogram(df, "x", 25).toPandas().sort_values("bin")
