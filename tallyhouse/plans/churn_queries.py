@@ -141,6 +141,61 @@ def lr_score(spark, folder):
     return C.score_customers(C.fit_logistic(balanced), rows)
 
 
+@query(
+    "lr_check",
+    with_views(
+        """SELECT 1 AS flat, 2 * count(*) FILTER (WHERE churned = 0) AS rows_fitted,
+                  count(*) FILTER (WHERE churned = 0) AS positives FROM split WHERE split = 'train'""",
+        PC,
+        SPLIT_SQL,
+    ),
+)
+def lr_check(spark, folder):
+    """The gradient of C * loss + |w|^2 / 2 vanishes at the fitted weights; both classes weigh the same."""
+    _, balanced = C.training_rows(_labelled(spark, folder))
+    fitted = C.fit_logistic(balanced)
+    miss = F.col("raw_score") - F.col("churned")
+    columns = {c: (F.col(c).cast("double") - F.lit(m)) / F.lit(s) for c, (m, s) in fitted.scaling.items()}
+    sums = fitted.score(balanced).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.col("churned").cast("bigint")).alias("ones"),
+        F.sum(miss).alias("bias"),
+        *[F.sum(miss * x).alias(c) for c, x in columns.items()],
+    ).first()
+    weights = dict(zip(fitted.features, fitted.model.coefficients.toArray(), strict=True))
+    steepest = max([abs(sums["bias"]), *[abs(sums[c] + weights[c]) for c in columns]])
+    flat = int(steepest / sums["n"] < 1e-4)
+    return spark.range(1).select(
+        F.lit(flat).alias("flat"), F.lit(sums["n"]).cast("bigint").alias("rows_fitted"), F.lit(sums["ones"]).cast("bigint").alias("positives")
+    )
+
+
+@query(
+    "gbt_check",
+    with_views(
+        f"""SELECT count(*) AS customers, {len(CHURN_FEATURES)} AS features, 300 AS rounds, CAST(1.0 AS DOUBLE) AS importance,
+                   CAST(0 AS BIGINT) AS out_of_range, CAST(0 AS BIGINT) AS wrong_tier FROM pc""",
+        PC,
+    ),
+)
+def gbt_check(spark, folder):
+    """Rounds, importances and scores of the boosted trees are consistent."""
+    rows, balanced = C.training_rows(_labelled(spark, folder))
+    fitted = C.fit_boosted(balanced)
+    weights = [r.importance for r in C.importances(fitted, spark).collect()]  # a row per feature
+    score = F.col("churn_score")
+    tier = F.when(score <= 0.25, "low").when(score <= 0.5, "medium").when(score <= 0.75, "high").otherwise("critical")
+    near_edge = F.pmod(score + 1e-6, F.lit(0.25)) < 2e-6  # rounding may cross an edge
+    return C.score_customers(fitted, rows).agg(
+        F.count(F.lit(1)).alias("customers"),
+        F.lit(len(weights)).alias("features"),
+        F.lit(fitted.model.getNumTrees).alias("rounds"),
+        F.lit(round(sum(weights), 6)).alias("importance"),
+        F.count_if(~score.between(0.0, 1.0)).alias("out_of_range"),
+        F.count_if((F.col("risk_tier") != tier) & ~near_edge).alias("wrong_tier"),
+    )
+
+
 @query("gbt_score")
 def gbt_score(spark, folder):
     """Boosted trees on balanced train rows; scores for every customer."""

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
+from tallyhouse.config import stored
 from tallyhouse.functions import expressions as X
 from tallyhouse.labels import SEGMENT_FEATURES, SEGMENT_NAMES, SEGMENT_ORDER
 from tallyhouse.operators import reshape as R, segments as G
@@ -38,6 +39,52 @@ def kmeans_assign(spark, folder):
     return G.assign_clusters(customers, k=4, restarts=10).select("customer_id", "cluster")
 
 
+@query(
+    "kmeans_check",
+    with_views(
+        "SELECT count(*) AS customers, CAST(0 AS BIGINT) AS empty_clusters, CAST(0 AS BIGINT) AS misplaced FROM pc", PC
+    ),
+)
+def kmeans_check(spark, folder):
+    """Customers in clusters, empty clusters, and customers clearly nearer to the mean of another cluster."""
+    customers = customer_table(spark, folder, "customer_id", *SEGMENT_FEATURES)
+    assigned = stored(G.assign_clusters(customers, k=4), "assigned")
+    scaled = G.apply_scaling(assigned, G.fit_scaling(assigned, SEGMENT_FEATURES))
+    means = scaled.groupBy("cluster").agg(*[F.avg(c).alias(c) for c in SEGMENT_FEATURES]).collect()  # four rows
+    distance = {m["cluster"]: sum((F.col(c) - F.lit(m[c])) ** 2 for c in SEGMENT_FEATURES) for m in means}
+    own = F.coalesce(*[F.when(F.col("cluster") == k, d) for k, d in distance.items()])
+    return scaled.agg(
+        F.count(F.lit(1)).alias("customers"),
+        F.lit(4 - len(means)).cast("bigint").alias("empty_clusters"),
+        F.count_if(own > 1.01 * F.least(*distance.values())).alias("misplaced"),
+    )
+
+
+@query(
+    "k_sweep_check",
+    with_views(
+        f"""SELECT 7 AS ks, 1 AS best, 0 AS rising, 0 AS above_total,
+                   round(count(*) * CAST({len(SEGMENT_FEATURES)} AS DOUBLE), 3) AS total_squares FROM pc""",
+        PC,
+    ),
+)
+def k_sweep_check(spark, folder):
+    """The sweep has one best k, and its inertia falls with k from at most the total sum of squares."""
+    customers = customer_table(spark, folder, *SEGMENT_FEATURES)
+    scaling = G.fit_scaling(customers, SEGMENT_FEATURES)
+    swept = G.sweep_k(G.to_vectors(customers, SEGMENT_FEATURES, scaling).select("features"), 2, 8)
+    norm = sum(F.col(c) * F.col(c) for c in SEGMENT_FEATURES)
+    total = G.apply_scaling(customers, scaling).agg(F.sum(norm)).first()[0]
+    before = F.lag("inertia").over(Window.orderBy("k"))  # seven rows
+    return swept.withColumn("before", before).agg(
+        F.count(F.lit(1)).cast("int").alias("ks"),
+        F.sum("best").cast("int").alias("best"),
+        F.count_if(F.col("inertia") > 1.01 * F.col("before")).cast("int").alias("rising"),
+        F.count_if(F.col("inertia") > F.lit(total)).cast("int").alias("above_total"),
+        F.round(F.lit(total), 3).alias("total_squares"),
+    )
+
+
 @query("k_sweep")
 def k_sweep(spark, folder):
     """Inertia and silhouette for k = 2..8, the best of ten seeds each."""
@@ -75,7 +122,48 @@ def silhouette_sq(spark, folder):
     return rounded(G.silhouette(scaled, SEGMENT_FEATURES, "cluster"))
 
 
-@query("pca_2d")
+def _axis_sql(cov: str, n: int) -> list[str]:
+    """CTEs for the leading eigenpair of a covariance table: the matrix squared eleven times, then its column."""
+    steps = [f"{cov}_0 AS (SELECT * FROM {cov})"]
+    for s in range(11):
+        p = f"{cov}_{s}"
+        steps.append(
+            f"""{cov}_{s + 1} AS MATERIALIZED (SELECT a.i, b.j, sum(a.v * b.v) / (SELECT sum(v * v) FROM {p}) AS v
+                FROM {p} a JOIN {p} b ON a.j = b.i GROUP BY ALL)"""
+        )
+    last = f"{cov}_11"
+    return [
+        *steps,
+        f"w{n}_raw AS MATERIALIZED (SELECT i, v FROM {last} WHERE j = (SELECT j FROM {last} WHERE i = j ORDER BY v DESC LIMIT 1))",
+        f"""w{n} AS MATERIALIZED (SELECT i, v / (SELECT sqrt(sum(v * v)) FROM w{n}_raw)
+            * (SELECT sign(v) FROM w{n}_raw ORDER BY abs(v) DESC LIMIT 1) AS v FROM w{n}_raw)""",
+        f"lambda{n} AS MATERIALIZED (SELECT sum(a.v * c.v * b.v) AS v FROM {cov} c JOIN w{n} a ON a.i = c.i JOIN w{n} b ON b.i = c.j)",
+    ]
+
+
+PCA_SQL = [
+    f"z AS MATERIALIZED (SELECT customer_id, {Z_SQL} FROM pc)",
+    f"""l AS MATERIALIZED (SELECT customer_id, unnest(range({len(SEGMENT_FEATURES)})) AS i,
+        unnest([{", ".join(f"CAST({c} AS DOUBLE)" for c in SEGMENT_FEATURES)}]) AS v FROM z)""",
+    "ca AS MATERIALIZED (SELECT a.i, b.i AS j, avg(a.v * b.v) AS v FROM l a JOIN l b USING (customer_id) GROUP BY ALL)",
+    *_axis_sql("ca", 1),
+    """cb AS MATERIALIZED (SELECT c.i, c.j, c.v - (SELECT v FROM lambda1) * a.v * b.v AS v
+       FROM ca c JOIN w1 a ON a.i = c.i JOIN w1 b ON b.i = c.j)""",
+    *_axis_sql("cb", 2),
+]
+
+
+@query(
+    "pca_2d",
+    with_views(
+        """SELECT customer_id, round(sum(l.v * w1.v), 6) AS pca_1, round(sum(l.v * w2.v), 6) AS pca_2,
+                  round((SELECT v FROM lambda1) / (SELECT sum(v) FROM ca WHERE i = j), 6) AS explained_1,
+                  round((SELECT v FROM lambda2) / (SELECT sum(v) FROM ca WHERE i = j), 6) AS explained_2
+           FROM l JOIN w1 USING (i) JOIN w2 USING (i) GROUP BY customer_id""",
+        PC,
+        *PCA_SQL,
+    ),
+)
 def pca_2d(spark, folder):
     customers = customer_table(spark, folder, "customer_id", *SEGMENT_FEATURES)
     return rounded(G.principal_axes(customers, "customer_id", SEGMENT_FEATURES), 6)

@@ -30,6 +30,6 @@ def test_matches_sql(spark, con, name):
     assert difference(got, con.execute(entry.oracle_sql()[name]).df()) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql()) - {"k_sweep", "kmeans_assign", "gbt_score"}))
+@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql())))
 def test_runs(spark, name):
     assert entry.queries()[name](spark, FOLDER).count() > 0
