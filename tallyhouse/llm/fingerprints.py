@@ -15,7 +15,7 @@ CELLS = 3 * PART
 ROUNDS = 8
 # A line longer than this is cut at the ends of its sentences.
 LONG_LINE = 512
-CHILDREN = 4
+CHILDREN = 16
 
 CELL = "struct<c:bigint,k:bigint,h:bigint>"
 EMPTY = f"cast(named_struct('c', 0, 'k', 0, 'h', 0) as {CELL})"
@@ -115,7 +115,7 @@ def paragraph_changes(pairs: DataFrame, left: str, right: str) -> DataFrame:
     """Add ``only_left`` and ``only_right``: the digests that one of two digest arrays holds alone.
 
     The sketches of both sides are subtracted and peeled. Where a sketch is too small for
-    the difference, the digests are dealt by further bits of their hash over four sketches
+    the difference, the digests are dealt by further bits of their hash over sixteen sketches
     of the same size, in passes until all have given way, so a very long document costs
     in proportion to its paragraphs. Arrays hold distinct digests; null counts as
     empty. Rows keep their columns; columns of the two names are replaced. An empty table

@@ -427,6 +427,31 @@ def drop_near_copies(
     return docs.join(gone.hint("merge"), docs[id_col] == F.col("_gone"), "left_anti")
 
 
-@query("op10_ngram_join")
+@query(
+    "op10_ngram_join",
+    r"""
+    WITH RECURSIVE texts AS (
+        SELECT doc_id, list_filter(
+            string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+            lambda x: x <> '') AS w
+        FROM documents
+    ), grams AS (
+        SELECT doc_id, unnest(list_distinct(list_transform(
+            range(1, greatest(len(w) - 1, 2)), lambda i: array_to_string(w[i:i + 2], ' ')))) AS g
+        FROM texts WHERE len(w) > 0
+    ), sizes AS (
+        SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id
+    ), shared AS (
+        SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+    ), links AS (
+        SELECT x, y FROM shared JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * o >= 90 * (a.n + b.n - o)
+    ), reach AS (
+        SELECT doc_id AS a, doc_id AS b FROM texts
+        UNION SELECT r.a, l.y FROM reach r JOIN links l ON l.x = r.b
+    )
+    SELECT a AS doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(b) AS component_id
+    FROM reach LEFT JOIN sizes ON doc_id = a GROUP BY a
+    """,
+)
 def op10_ngram_join(spark, folder):
     return near_components(table(spark, folder, "documents", "doc_id", "text"))
