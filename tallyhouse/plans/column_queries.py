@@ -13,8 +13,7 @@ from tallyhouse.plans.load_queries import (
     FACTS,
     PSEG,
     fact_customers_frame,
-    fact_orders_frame,
-    order_dimensions,
+    order_tables,
     scored_table,
     segmented,
 )
@@ -317,9 +316,9 @@ def join_dim(spark, folder):
     ),
 )
 def join_star(spark, folder):
-    dims = order_dimensions(spark, folder)
+    facts, dims = order_tables(spark, folder)
     dates = W.date_dimension(table(spark, folder, "orders", "o_orderdate"), "o_orderdate")
-    view = W.orders_view(fact_orders_frame(spark, folder, dims), dates, dims)
+    view = W.orders_view(facts, dates, dims)
     return R.group_count(view, "year", "product_category", "payment_method", "order_status", name="orders")
 
 

@@ -572,7 +572,7 @@ def peak_low_month(spark, folder):
         f"""SELECT CAST(isodow(order_date) - 1 AS INTEGER) AS position, dayname(order_date) AS day_name,
                    count(order_id) AS orders, round({_mean_money_sql("order_value")}, 6) AS avg_value,
                    CASE WHEN isodow(order_date) >= 6 THEN 1 ELSE 0 END AS is_weekend,
-                   CASE WHEN count(order_id) = max(count(order_id)) OVER () THEN 1 ELSE 0 END AS best
+                   CASE WHEN row_number() OVER (ORDER BY count(order_id) DESC, isodow(order_date)) = 1 THEN 1 ELSE 0 END AS best
             FROM po GROUP BY ALL""",
         PO,
     ),
@@ -584,7 +584,8 @@ def weekday_summary(spark, folder):
         .agg(F.count("order_id").alias("orders"), _mean_money("order_value").alias("avg_value"))
     )
     ordered = R.reindex(stats, "day_name", WEEKDAY_ORDER)
-    most = F.max("orders").over(Window.partitionBy(F.lit(0)))
+    rank = F.struct(F.col("orders"), -F.col("position"))
+    first = F.max(rank).over(Window.partitionBy(F.lit(0)))  # seven rows; the earlier day wins a tie
     return rounded(
         ordered.select(
             "position",
@@ -592,7 +593,7 @@ def weekday_summary(spark, folder):
             "orders",
             "avg_value",
             F.col("day_name").isin("Saturday", "Sunday").cast("int").alias("is_weekend"),
-            (F.col("orders") == most).cast("int").alias("best"),
+            (rank == first).cast("int").alias("best"),
         )
     )
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyhouse import schemas
 from tallyhouse.config import RunConfig, local_frame
@@ -16,6 +16,7 @@ from tallyhouse.functions import expressions as X
 from tallyhouse.labels import SEGMENT_FEATURES, SEGMENT_NAMES, TIER_NAMES, TIER_ORDER
 from tallyhouse.operators import classify as C, evaluate as E, quality as Q, reshape as R, risk as K, segments as G
 from tallyhouse.operators import warehouse as W
+from tallyhouse.operators.ranking import number_rows
 from tallyhouse.sources import sinks
 from tallyhouse.sources.tables import require, scan_csv
 
@@ -47,8 +48,8 @@ def upsert_names(spark: SparkSession, path: str, incoming: DataFrame, key: str,
         stored = spark.read.parquet(path)
         top = stored.agg(F.coalesce(F.max(key), F.lit(0))).first()[0]
         fresh = sinks.new_keys(incoming, stored, [name])
-        shift = F.row_number().over(Window.orderBy(key)) + F.lit(top)
-        sinks.append(fresh.withColumn(key, shift.cast("int")).select(incoming.columns), path)
+        numbered = number_rows(fresh, [key], "_number").withColumn(key, (F.col("_number") + F.lit(top)).cast("int"))
+        sinks.append(numbered.select(incoming.columns), path)
     return spark.read.parquet(path)
 
 

@@ -47,9 +47,11 @@ def order_dimensions(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return W.lookup_dimensions(lines, columns, "order_id")
 
 
-def fact_orders_frame(spark: SparkSession, folder: str, dims: dict[str, DataFrame]) -> DataFrame:
-    lines = proxies.order_lines(spark, folder, "line_number", *proxies.ORDER_COLUMNS)
-    return W.order_facts(lines, dims, ["line_number"])
+def order_tables(spark: SparkSession, folder: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Facts and lookups of the orders, both from one stored join of lines, orders and parts."""
+    lines = line_table(spark, folder, "line_number", *proxies.ORDER_COLUMNS)
+    dims = W.lookup_dimensions(lines, list(W.ORDER_LOOKUPS), "order_id")
+    return W.order_facts(lines, dims, ["line_number"]), dims
 
 
 def fact_customers_frame(spark: SparkSession, folder: str) -> DataFrame:
@@ -196,7 +198,7 @@ def load_report(spark, folder):
     targets = {
         "dim_date": W.date_dimension(orders, "o_orderdate"),
         "fact_customers": fact_customers_frame(spark, folder),
-        "fact_orders": fact_orders_frame(spark, folder, order_dimensions(spark, folder)),
+        "fact_orders": order_tables(spark, folder)[0],
     }
     rows = [(name, sinks.write_counted(df, scratch_path(spark, name))) for name, df in targets.items()]
     return spark.createDataFrame(rows, "target string, rows_written bigint")
@@ -237,7 +239,7 @@ def fact_customers(spark, folder):
 
 @query("fact_orders", with_views("SELECT * EXCLUDE (order_date) FROM fact", PO, DIMS, FACTS))
 def fact_orders(spark, folder):
-    return fact_orders_frame(spark, folder, order_dimensions(spark, folder))
+    return order_tables(spark, folder)[0]
 
 
 @query(
@@ -266,9 +268,9 @@ def vw_customers(spark, folder):
     ),
 )
 def vw_orders(spark, folder):
-    dims = order_dimensions(spark, folder)
+    facts, dims = order_tables(spark, folder)
     dates = W.date_dimension(table(spark, folder, "orders", "o_orderdate"), "o_orderdate")
-    return W.orders_view(fact_orders_frame(spark, folder, dims), dates, dims, ["line_number"])
+    return W.orders_view(facts, dates, dims, ["line_number"])
 
 
 SEGMENT_CASE = """CASE cluster WHEN 0 THEN 'high_value' WHEN 1 THEN 'loyal' WHEN 2 THEN 'price_hunter'

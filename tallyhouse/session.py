@@ -17,9 +17,19 @@ SETTINGS = {
 }
 
 
+# On a cluster exchanges start with many partitions, which are merged by their measured sizes:
+# merging is cheap, but one that is too large is never split below an aggregation.
+CLUSTER_SETTINGS = {
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4000",
+}
+
+
 def build_session(name: str, master: str | None = None, **extra: str) -> SparkSession:
     """A session with these settings; give ``spark.checkpoint.dir`` on a cluster."""
     builder = SparkSession.builder.appName(name)
+    local = (master or "").startswith("local")
+    extra = extra if local else {**CLUSTER_SETTINGS, **extra}
     if master:
         builder = builder.master(master)
     for key, value in {**SETTINGS, **extra}.items():
