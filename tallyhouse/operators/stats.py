@@ -293,6 +293,19 @@ def histogram(
     )
 
 
+def histograms(df: DataFrame, columns: Sequence[str], bins: int, groups: Sequence[str] = ()) -> DataFrame:
+    """``histogram`` of several columns in one pass, each column and group over its own range: adds ``variable``."""
+    return histogram(_unpivoted(df, columns, groups), "value", bins, [*groups, "variable"], per_group_range=True)
+
+
+def density_curves(df: DataFrame, columns: Sequence[str], groups: Sequence[str] = ()) -> DataFrame:
+    """``density_curve`` of several columns in one pass: adds ``variable``.
+
+    The curves of the groups of one column integrate to one together.
+    """
+    return density_curve(_unpivoted(df, columns, groups), "value", [*groups, "variable"], shared=["variable"])
+
+
 def density_curve(
     df: DataFrame,
     column: str,
@@ -301,20 +314,21 @@ def density_curve(
     cells: int = 2048,
     cut: float = 3.0,
     share_of_all: bool = True,
+    shared: Sequence[str] = (),
 ) -> DataFrame:
     """Gaussian kernel density per group on an even grid: ``point, x, density``.
 
     Scott bandwidth. Rows are first counted into ``cells`` equal-width cells per group,
     so the kernels are summed over at most ``cells * points`` terms per group whatever
-    the number of rows. With ``share_of_all`` the curves of all groups integrate to one
-    together, otherwise each does.
+    the number of rows. With ``share_of_all`` the curves of all groups (that agree in
+    ``shared``) integrate to one together, otherwise each does.
     """
     keys = list(groups)
     x = F.col(column).cast("double")
     limits = _limits(df, column, keys)
     for g in keys:
         limits = limits.where(F.col(g).isNotNull())
-    everyone = Window.partitionBy(F.lit(0))
+    everyone = Window.partitionBy(*(shared or [F.lit(0)]))
     limits = limits.select(
         *keys,
         "lo",

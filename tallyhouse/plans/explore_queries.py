@@ -15,7 +15,7 @@ from tallyhouse.labels import (
     TENURE_LABELS,
     WEEKDAY_ORDER,
 )
-from tallyhouse.operators import ranking, reshape as R, stats as S
+from tallyhouse.operators import ranking, reshape as R, sampling, stats as S
 from tallyhouse.plans.column_queries import TENURE_SQL
 from tallyhouse.plans.load_queries import customer_table, line_table, scored_table
 from tallyhouse.plans.registry import query, rounded
@@ -754,3 +754,141 @@ def rank_average(spark, folder):
     return counted.withColumn("rank", ranking.average_rank("customers", "c_mktsegment"))
 
 
+# ---------------------------------------------------------------- chart data of several columns
+
+
+def _columns_sql(columns: list[str], view: str, *groups: str) -> str:
+    """CTE ``v``: one row per row and column."""
+    names = ", ".join(f"'{c}'" for c in columns)
+    values = ", ".join(f"CAST({c} AS DOUBLE)" for c in columns)
+    return f"v AS MATERIALIZED (SELECT {''.join(g + ', ' for g in groups)}unnest([{names}]) AS variable, unnest([{values}]) AS value FROM {view})"
+
+
+def _hist_sql(bins: int, *keys: str) -> str:
+    """Every bin of every group: a value belongs to the bin whose edges enclose it, the maximum to the last."""
+    own, same = ", ".join(f"r.{k}" for k in keys), " AND ".join(f"v.{k} = r.{k}" for k in keys)
+    return f"""SELECT {own}, bin, round(lo + bin * w, 6) AS lower, round(lo + (bin + 1) * w, 6) AS upper, count(value) AS count,
+                      round(count(value) / (sum(count(value)) OVER (PARTITION BY {own}) * w), 8) AS density
+               FROM (SELECT {", ".join(keys)}, min(value) AS lo, max(value) AS hi,
+                            (max(value) - min(value)) / CAST({bins} AS DOUBLE) AS w FROM v GROUP BY ALL) r
+               CROSS JOIN (SELECT CAST(unnest(range({bins})) AS INTEGER) AS bin)
+               LEFT JOIN v ON {same} AND value >= lo + bin * w AND (bin = {bins - 1} OR value < lo + (bin + 1) * w)
+               GROUP BY {own}, bin, lo, w"""
+
+
+def _kde_sql(*keys: str) -> str:
+    """Gaussian kernels with Scott's bandwidth over 2048 cells; the groups of one variable share the weight."""
+    k = ", ".join(keys)
+    return f"""SELECT {k}, point, round(x, 6) AS x, round(sum(copies * exp(-0.5::DOUBLE * ((x - center) / bw) * ((x - center) / bw))
+                                 / (bw * 2.5066282746310002::DOUBLE * weight)), 8) AS density
+               FROM (SELECT {k}, CAST(point AS INTEGER) AS point, bw, weight, copies,
+                            lo - 3 * bw + point * ((hi - lo + 6 * bw) / 199) AS x,
+                            lo + (cell + 0.5::DOUBLE) * (hi - lo) / 2048 AS center
+                     FROM (SELECT {k}, lo, hi, bw, weight, cell, count(*) AS copies FROM (
+                             SELECT *, CASE WHEN value < lo + near * w THEN near - 1
+                                            WHEN value >= lo + (near + 1) * w AND near < 2047 THEN near + 1 ELSE near END AS cell
+                             FROM (SELECT *, least(floor((value - lo) / w), 2047) AS near
+                                   FROM v JOIN (SELECT {k}, min(value) AS lo, max(value) AS hi,
+                                                       (max(value) - min(value)) / CAST(2048 AS DOUBLE) AS w,
+                                                       stddev_samp(value) * pow(count(value), -0.2::DOUBLE) AS bw,
+                                                       CAST(sum(count(value)) OVER (PARTITION BY variable) AS DOUBLE) AS weight
+                                                FROM v GROUP BY {k}) USING ({k})
+                                   WHERE bw > 0))
+                           GROUP BY ALL),
+                          range(200) AS grid(point))
+               GROUP BY {k}, point, x"""
+
+
+def _box_sql(*keys: str) -> str:
+    k = ", ".join(keys)
+    return f"""SELECT {k}, round(q1, 6) AS q1, round(m, 6) AS median, round(q3, 6) AS q3,
+                      round(least(min(value) FILTER (WHERE value >= q1 - reach), q1), 6) AS whisker_low,
+                      round(greatest(max(value) FILTER (WHERE value <= q3 + reach), q3), 6) AS whisker_high,
+                      count(*) FILTER (WHERE value < q1 - reach OR value > q3 + reach) AS outliers
+               FROM (SELECT *, 1.5::DOUBLE * (q3 - q1) AS reach FROM v JOIN
+                       (SELECT {k}, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS m,
+                               quantile_cont(value, 0.75) AS q3 FROM v GROUP BY {k}) USING ({k}))
+               GROUP BY {k}, q1, m, q3"""
+
+
+# The columns and bin numbers of the reports.
+CUSTOMER_CHARTS = [
+    "avg_order_value", "total_orders", "account_age_months", "days_since_last_purchase", "engagement_score", "satisfaction_score",
+]
+ORDER_CHARTS = ["order_value", "delivery_time_days", "customer_rating"]
+CHURN_CHARTS = [
+    "avg_order_value", "total_orders", "days_since_last_purchase", "engagement_score", "satisfaction_score", "return_rate",
+    "cart_abandonment_rate", "discount_usage_rate", "customer_support_tickets",
+]
+SEGMENT_CHARTS = ["avg_order_value", "engagement_score", "days_since_last_purchase", "satisfaction_score"]
+
+
+def _bins(found):
+    edges = {c: F.round(c, 6).alias(c) for c in ("lower", "upper")} | {"density": F.round("density", 8).alias("density")}
+    return found.select(*[edges.get(c, F.col(c)) for c in found.columns])
+
+
+def _points(curve):
+    return curve.withColumns({"x": F.round("x", 6), "density": F.round("density", 8)})
+
+
+@query("hist_customers", with_views(_hist_sql(30, "variable"), PC, _columns_sql(CUSTOMER_CHARTS, "pc")))
+def hist_customers(spark, folder):
+    return _bins(S.histograms(customer_table(spark, folder, *CUSTOMER_CHARTS), CUSTOMER_CHARTS, 30))
+
+
+@query("hist_orders", with_views(_hist_sql(25, "variable"), PO, _columns_sql(ORDER_CHARTS, "po")))
+def hist_orders(spark, folder):
+    return _bins(S.histograms(line_table(spark, folder, *ORDER_CHARTS), ORDER_CHARTS, 25))
+
+
+@query("kde_customers", with_views(_kde_sql("variable"), PC, _columns_sql(CUSTOMER_CHARTS, "pc")))
+def kde_customers(spark, folder):
+    return _points(S.density_curves(customer_table(spark, folder, *CUSTOMER_CHARTS), CUSTOMER_CHARTS))
+
+
+@query("kde_orders", with_views(_kde_sql("variable"), PO, _columns_sql(ORDER_CHARTS, "po")))
+def kde_orders(spark, folder):
+    return _points(S.density_curves(line_table(spark, folder, *ORDER_CHARTS), ORDER_CHARTS))
+
+
+@query("kde_churn_columns", with_views(_kde_sql("churned", "variable"), PC, _columns_sql(CHURN_CHARTS, "pc", "churned")))
+def kde_churn_columns(spark, folder):
+    return _points(S.density_curves(customer_table(spark, folder, "churned", *CHURN_CHARTS), CHURN_CHARTS, ["churned"]))
+
+
+@query("box_engagement_by_churn", with_views(_box_sql("churned", "variable"), PC, _columns_sql(["engagement_score"], "pc", "churned")))
+def box_engagement_by_churn(spark, folder):
+    return rounded(S.box_stats(customer_table(spark, folder, "churned", "engagement_score"), ["engagement_score"], "churned"))
+
+
+@query(
+    "box_by_segment",
+    with_views(_box_sql("cluster", "variable"), PS, _columns_sql([*SEGMENT_CHARTS, "churn_score"], "ps", "cluster")),
+)
+def box_by_segment(spark, folder):
+    """Key variables and the score by segment."""
+    columns = [*SEGMENT_CHARTS, "churn_score"]
+    return rounded(S.box_stats(scored_table(spark, folder, "cluster", *columns), columns, "cluster"))
+
+
+@query("hist_score_all", with_views(_hist_sql(50, "variable"), PS, _columns_sql(["churn_score"], "ps")))
+def hist_score_all(spark, folder):
+    return _bins(S.histograms(scored_table(spark, folder, "churn_score"), ["churn_score"], 50))
+
+
+@query(
+    "hist_score_test",
+    with_views(
+        _hist_sql(40, "churned", "variable"),
+        PS,
+        """test AS (SELECT * FROM ps QUALIFY row_number() OVER (PARTITION BY churned ORDER BY substr(md5(customer_id || ':42'), 1, 13))
+                    > floor(CAST(0.8 AS DOUBLE) * count(*) OVER (PARTITION BY churned) + 0.5))""",
+        _columns_sql(["churn_score"], "test", "churned"),
+    ),
+)
+def hist_score_test(spark, folder):
+    """Scores of the test rows by class."""
+    rows = scored_table(spark, folder, "customer_id", "churned", "churn_score")
+    test = sampling.stratified_split(rows, "churned", "customer_id", 0.8, 42).where("split = 'test'")
+    return _bins(S.histograms(test, ["churn_score"], 40, ["churned"]))
