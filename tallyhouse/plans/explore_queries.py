@@ -569,11 +569,11 @@ def peak_low_month(spark, folder):
 @query(
     "weekday_summary",
     with_views(
-        f"""SELECT CAST(isodow(order_date) - 1 AS INTEGER) AS position, dayname(order_date) AS day_name,
-                   count(order_id) AS orders, round({_mean_money_sql("order_value")}, 6) AS avg_value,
-                   CASE WHEN isodow(order_date) >= 6 THEN 1 ELSE 0 END AS is_weekend,
-                   CASE WHEN row_number() OVER (ORDER BY count(order_id) DESC, isodow(order_date)) = 1 THEN 1 ELSE 0 END AS best
-            FROM po GROUP BY ALL""",
+        f"""SELECT *, CASE WHEN row_number() OVER (ORDER BY orders DESC, position) = 1 THEN 1 ELSE 0 END AS best
+            FROM (SELECT CAST(isodow(order_date) - 1 AS INTEGER) AS position, dayname(order_date) AS day_name,
+                         count(order_id) AS orders, round({_mean_money_sql("order_value")}, 6) AS avg_value,
+                         CASE WHEN isodow(order_date) >= 6 THEN 1 ELSE 0 END AS is_weekend
+                  FROM po GROUP BY ALL)""",
         PO,
     ),
 )
