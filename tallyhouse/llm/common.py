@@ -21,11 +21,6 @@ def lower_ascii(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
 
 
-def lookup(frame: DataFrame, key: str, value: str) -> DataFrame:
-    """The two columns under fixed names, so that no other column can clash."""
-    return frame.select(F.col(key).alias("_key"), F.col(value).alias("_value"))
-
-
 def with_starts(df: DataFrame, order_by: Sequence[Column], totals: dict[str, Column], parts: int) -> DataFrame:
     """Add for each row the sums of all rows before it in ascending order, for each of ``totals``.
 

@@ -305,6 +305,10 @@ def _multiply(percent: int):
         links = overlap_links(list(left.values()), list(right.values()), percent)
         return spanning_links(links, list(left), list(right))
 
+    def batch_of(links: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+        ends = [pa.array([link[i] for link in links], pa.binary()) for i in (0, 1)]
+        return pa.RecordBatch.from_arrays(ends, ["a", "b"])
+
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, rows = None, []
         for batch in batches:
@@ -314,9 +318,8 @@ def _multiply(percent: int):
                     found += finish(rows)
                     current, rows = row[0], []
                 rows.append(row)
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.binary()), pa.array([y for _, y in found], pa.binary())], ["a", "b"])
-        found = finish(rows)
-        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.binary()), pa.array([y for _, y in found], pa.binary())], ["a", "b"])
+            yield batch_of(found)
+        yield batch_of(finish(rows))
 
     return multiply
 
