@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -47,9 +49,33 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+_WATCHERS: list[list[str]] = []
+
+
+@contextmanager
+def watched_tables() -> Iterator[list[str]]:
+    """The paths of what is stored inside the block, so that its owner can drop it later."""
+    paths: list[str] = []
+    _WATCHERS.append(paths)
+    try:
+        yield paths
+    finally:
+        _WATCHERS.remove(paths)
+
+
+def drop_tables(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Remove stored tables that nobody reads any more."""
+    for p in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    for paths in _WATCHERS:
+        paths.append(path)
+    return path
 
 
 def local_frame(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
