@@ -153,28 +153,30 @@ def handle(key: bytes) -> int:
     return int.from_bytes(key[:8], "little", signed=True)
 
 
-LIST, PAIR, TEXT = 0, 1, 2
+PAIR, TEXT = 1, 2
 
 
 def _search(words: int, percent: int):
-    """Three kinds of rows: block keys with a set, pairs of sets, and what each text is.
+    """Three kinds of rows: block keys with a set (most by far, ``rest`` is null), pairs of sets, and what each text is.
 
     Block keys are combined before they are shuffled: pairs met inside a task are done, and a
     key goes out once per stretch of rows, whatever the number of documents that hold it.
     """
-    names = ["kind", "block", "a", "b", "_id", "n", "key"]
+    names, fields = ["block", "a", "rest"], ["kind", "b", "id", "n", "key"]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, blocks, done = Ngrams(words), Blocks(percent), set()
         keys, owners, held = [], [], 0
         id_type = None
 
-        def rows(kind: int, block: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+        def rows(block: np.ndarray, a: pa.Array, kind: int = 0, *rest: pa.Array) -> pa.RecordBatch:
             n = len(block)
-            empty = [pa.nulls(n, id_type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, kind, np.int32)), pa.array(block.view(np.int64)), pa.array(a), pa.array(b), *empty], names
-            )
+            types = [pa.int32(), pa.int64(), id_type, pa.int64(), pa.binary()]
+            if rest:
+                more = pa.StructArray.from_arrays([pa.array(np.full(n, kind, np.int32)), *rest], fields)
+            else:
+                more = pa.nulls(n, pa.struct(list(zip(fields, types, strict=True))))
+            return pa.RecordBatch.from_arrays([pa.array(block.view(np.int64)), a, more], names)
 
         def flush() -> Iterator[pa.RecordBatch]:
             key, owner = np.concatenate(keys), np.repeat(np.array([o for o, _ in owners], np.int64), [n for _, n in owners])
@@ -186,8 +188,11 @@ def _search(words: int, percent: int):
             pairs = np.unique(np.stack([leader[apart], owner[apart]], 1), axis=0)
             for at in range(0, len(first), 50_000):
                 part = first[at : at + 50_000]
-                yield rows(LIST, key[part], owner[part], owner[part])
-            yield rows(PAIR, mixed(pairs[:, 1].astype(np.uint64)), pairs[:, 0].copy(), pairs[:, 1].copy())
+                yield rows(key[part], pa.array(owner[part]))
+            n = len(pairs)
+            nothing = [pa.nulls(n, id_type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())]
+            ends = [pa.array(pairs[:, i].copy()) for i in (0, 1)]
+            yield rows(mixed(pairs[:, 1].astype(np.uint64)), ends[0], PAIR, ends[1], *nothing)
 
         for batch in batches:
             id_type = batch.column(1).type
@@ -196,13 +201,9 @@ def _search(words: int, percent: int):
             n = len(texts)
             spread = np.array([handle(k) if k else i for i, k in enumerate(set_keys)], np.int64)
             blank = pa.nulls(n, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(n, TEXT, np.int32)), pa.array(mixed(spread.view(np.uint64) + np.arange(n, dtype=np.uint64)).view(np.int64)),
-                    blank, blank, batch.column(1), pa.array([len(g) for g in texts], pa.int64()), pa.array(set_keys, pa.binary()),
-                ],
-                names,
-            )
+            sizes = pa.array([len(g) for g in texts], pa.int64())
+            spread = mixed(spread.view(np.uint64) + np.arange(n, dtype=np.uint64))
+            yield rows(spread, blank, TEXT, blank, batch.column(1), sizes, pa.array(set_keys, pa.binary()))
             for g, k in zip(texts, set_keys, strict=True):
                 if k is None or handle(k) in done:
                     continue
@@ -349,14 +350,15 @@ def near_components(
     bounded_batches(docs.sparkSession)
     rows = docs.select(docs[text_col].alias("_text"), docs[id_col].alias("_id"))
     id_type = rows.schema["_id"].dataType.simpleString()
-    kinds = f"kind int, block bigint, a bigint, b bigint, _id {id_type}, n bigint, key binary"
-    searched = rows.mapInArrow(_search(words, percent), kinds)
-    leader = F.min(F.when(F.col("kind") == LIST, F.col("a"))).over(Window.partitionBy("block"))
-    led = searched.withColumn("b", F.when(F.col("kind") == LIST, leader).otherwise(F.col("b")))
-    found = stored(led.where((F.col("kind") != LIST) | (F.col("a") != F.col("b"))).drop("block"), "found")
+    rest = f"struct<kind:int,b:bigint,id:{id_type},n:bigint,key:binary>"
+    searched = rows.mapInArrow(_search(words, percent), f"block bigint, a bigint, rest {rest}")
+    keyed = F.col("rest").isNull()
+    leader = F.min(F.when(keyed, F.col("a"))).over(Window.partitionBy("block"))
+    led = searched.withColumn("b", F.when(keyed, leader).otherwise(F.col("rest.b"))).where(~keyed | (F.col("a") != F.col("b")))
+    found = stored(led.select("a", "b", "rest.kind", F.col("rest.id").alias("_id"), "rest.n", "rest.key"), "found")
     described = found.where(F.col("kind") == TEXT).select("_id", "n", "key")
     full = described.where("n > 0")
-    edges = found.where(F.col("kind") != TEXT).select("a", "b")
+    edges = found.where(F.coalesce("kind", F.lit(PAIR)) == PAIR).select("a", "b")
     clusters = connected_components(edges).select(F.col("node").alias("_handle"), F.col("root").alias("cluster"))
 
     classes = full.groupBy("key").agg(F.min("_id").alias("_rep"), F.first("n").alias("n"))
