@@ -15,7 +15,8 @@ CELLS = 3 * PART
 ROUNDS = 8
 # A line longer than this is cut at the ends of its sentences.
 LONG_LINE = 512
-CHILDREN = 16
+# Sketches that a difference too large for one is dealt over: at first, and where that fails again.
+CHILDREN, MORE_CHILDREN = 4, 16
 
 CELL = "struct<c:bigint,k:bigint,h:bigint>"
 EMPTY = f"cast(named_struct('c', 0, 'k', 0, 'h', 0) as {CELL})"
@@ -48,13 +49,13 @@ def _items(digests: str) -> str:
 
 def sketch(digests: str) -> Column:
     """The cells of a set of digests: how many digests lie there, and the xor of them and of their checks."""
-    hit = "e.p0 = i or e.p1 = i or e.p2 = i"
     more = f"cast(named_struct('c', a.c + 1, 'k', a.k ^ e.k, 'h', a.h ^ e.h) as {CELL})"
-    cell = f"aggregate(x.items, {EMPTY}, (a, e) -> if({hit}, {more}, a))"
-    # the items are bound once by a transform over one element
-    return F.expr(
-        f"transform(array(named_struct('items', {_items(digests)})), x -> transform(sequence(0, {CELLS - 1}), i -> {cell}))[0]"
+    parts = ", ".join(
+        f"transform(sequence({p * PART}, {p * PART + PART - 1}), i -> aggregate(x.items, {EMPTY}, (a, e) -> if(e.p{p} = i, {more}, a)))"
+        for p in range(3)
     )
+    # the items are bound once by a transform over one element
+    return F.expr(f"transform(array(named_struct('items', {_items(digests)})), x -> concat({parts}))[0]")
 
 
 def difference(left: Column, right: Column) -> Column:
@@ -90,8 +91,8 @@ def peel(cells: str) -> Column:
     start = f"cast(named_struct('cells', {cells}, 'found', array(), 'known', array()) as {state})"
     look = f"named_struct('cells', s.cells, 'found', {found}, 'known', s.known)"
     take = f"named_struct('cells', {removed}, 'found', cast(array() as array<{item}>), 'known', concat(s.known, s.found))"
-    step = f"if(r % 2 = 1, {look}, if(size(s.found) = 0, s, {take}))"
     done = "exists(s.cells, c -> c.c <> 0 or c.k <> 0 or c.h <> 0)"
+    step = f"if(r % 2 = 1, if({done}, {look}, s), if(size(s.found) = 0, s, {take}))"
     return F.expr(
         f"aggregate(sequence(1, {2 * ROUNDS}), {start}, (s, r) -> cast({step} as {state}), "
         f"s -> if({done}, null, transform(s.known, e -> named_struct('k', e.k, 'g', e.g))))"
@@ -115,7 +116,7 @@ def paragraph_changes(pairs: DataFrame, left: str, right: str) -> DataFrame:
     """Add ``only_left`` and ``only_right``: the digests that one of two digest arrays holds alone.
 
     The sketches of both sides are subtracted and peeled. Where a sketch is too small for
-    the difference, the digests are dealt by further bits of their hash over sixteen sketches
+    the difference, the digests are dealt by further bits of their hash over more sketches
     of the same size, in passes until all have given way, so a very long document costs
     in proportion to its paragraphs. Arrays hold distinct digests; null counts as
     empty. Rows keep their columns; columns of the two names are replaced. An empty table
@@ -131,11 +132,14 @@ def paragraph_changes(pairs: DataFrame, left: str, right: str) -> DataFrame:
     first = stored(_peeled(rows).withColumn("_no", F.monotonically_increasing_id()), "peeled")
     failed, depth, parts = first.where("_found is null").select("_no", "_a", "_b"), 0, []
     while not failed.isEmpty():
-        def share(side: str, depth: int = depth) -> str:
-            return f"filter({side}, d -> pmod(xxhash64(d, 'deal', {depth}), {CHILDREN}) = child)"
+        number = MORE_CHILDREN if depth else CHILDREN
+
+        def share(side: str, depth: int = depth, number: int = number) -> str:
+            return f"filter({side}, d -> pmod(xxhash64(d, 'deal', {depth}), {number}) = child)"
 
-        children = failed.select("_no", "_a", "_b", F.explode(F.sequence(F.lit(0), F.lit(CHILDREN - 1))).alias("child"))
+        children = failed.select("_no", "_a", "_b", F.explode(F.sequence(F.lit(0), F.lit(number - 1))).alias("child"))
         split = children.select("_no", F.expr(share("_a")).alias("_a"), F.expr(share("_b")).alias("_b"))
+        split = split.where(F.size("_a") + F.size("_b") > 0)
         level = stored(_peeled(split), "peeled")
         parts.append(level.where("_found is not null").select("_no", F.explode("_found").alias("_e")))
         failed, depth = level.where("_found is null").select("_no", "_a", "_b"), depth + 1
