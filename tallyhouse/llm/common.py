@@ -50,6 +50,15 @@ def ranges_for(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+def drawn(key: Column, wanted: int, rows: int) -> Column:
+    """Whether a hash of ``key`` draws a row when about ``wanted`` of ``rows`` are wanted, and a little more.
+
+    So a bounded sample is cut out before anything is sorted or sent, however many tasks there are.
+    """
+    share = min(1.0, 1.2 * wanted / max(rows, 1) + 20 / max(rows, 1))
+    return F.shiftrightunsigned(F.xxhash64(F.lit("sample"), key), 11) < int(share * 2**53)
+
+
 def bounded_batches(spark, rows: int = 500) -> None:
     """Keep the Arrow batches of texts small, because one text may be very long.
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from tallyhouse.llm.common import bounded_batches
+from tallyhouse.llm.common import bounded_batches, drawn
 from tallyhouse.plans.registry import query
 from tallyhouse.sources.tables import table
 
@@ -145,9 +145,11 @@ def training_windows(
         F.sequence(F.lit(0), F.lit(each - 1)),
         lambda i: F.substring(text, (i * (size / each)).cast("int") + 1, F.lit(WINDOW)),
     )
+    named = docs.select(
+        docs[text_col].alias("_text"), docs[label_col].cast("string").alias("_label"), docs[id_col].cast("string").alias("_id")
+    ).where("_label is not null")
     sample = (
-        docs.select(docs[text_col].alias("_text"), docs[label_col].cast("string").alias("_label"), docs[id_col].cast("string").alias("_id"))
-        .where(F.col("_label").isNotNull() & F.col("_text").rlike(r"\p{L}"))
+        named.where(drawn(F.coalesce("_id", F.lit("")), rows, named.count()) & F.col("_text").rlike(r"\p{L}"))
         .select("_label", F.xxhash64(F.lit("language"), "_id").alias("_draw"), F.array_distinct(windows).alias("_windows"))
         .orderBy("_draw", "_label", "_windows")
         .limit(rows)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, DoubleType, IntegerType, StructField, StructType
 
-from tallyhouse.llm.common import bounded_batches
+from tallyhouse.llm.common import bounded_batches, drawn
 from tallyhouse.llm.language import hash_remainder
 from tallyhouse.plans.registry import query
 from tallyhouse.sources.tables import table
@@ -108,8 +108,12 @@ def train_toxicity(
     """
     marked = labels.select(labels[id_col].alias("_id"), labels[label_col].cast("int").alias("_y")).where("_y in (0, 1)")
     shares = {r._y: r["count"] for r in marked.groupBy("_y").count().collect()}
-    draw = F.xxhash64(F.lit("toxicity"), F.col("_id").cast("string"))
-    chosen = [marked.where(F.col("_y") == y).orderBy(draw, "_id").limit(SAMPLE_PER_CLASS) for y in (0, 1)]
+    key = F.coalesce(F.col("_id").cast("string"), F.lit(""))
+    draw = F.xxhash64(F.lit("toxicity"), key)
+    chosen = [
+        marked.where((F.col("_y") == y) & drawn(key, SAMPLE_PER_CLASS, shares.get(y, 0))).orderBy(draw, "_id").limit(SAMPLE_PER_CLASS)
+        for y in (0, 1)
+    ]
     rows = docs.select(docs[id_col].alias("_id"), docs[text_col].alias("_text"))
     sample = rows.join(F.broadcast(chosen[0].unionByName(chosen[1])), "_id")  # bounded by the two limits
     bounded_batches(docs.sparkSession)
