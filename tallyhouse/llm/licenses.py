@@ -45,7 +45,8 @@ def anchors(templates: Mapping[str, str], least: float = LEAST) -> list[str]:
     """Words of which any text at ``least`` from any template holds one.
 
     Without the bigrams of these words too few of a template are left to reach the bound,
-    however well the rest agrees. The word that many templates share comes first.
+    however well the rest agrees. Longer words, which prose seldom holds, come first, then
+    those that many templates share.
     """
     left = {name: set(bigrams(t)) for name, t in templates.items()}
     sizes = {name: len(b) for name, b in left.items()}
@@ -59,7 +60,7 @@ def anchors(templates: Mapping[str, str], least: float = LEAST) -> list[str]:
         for n in open_:
             for word in {w for b in left[n] for w in b.split()}:
                 worth[word] = worth.get(word, 0) + 1
-        best = max(worth, key=lambda w: (worth[w], len(w), w))
+        best = max(worth, key=lambda w: (len(w) > 4, worth[w], len(w), w))
         chosen.append(best)
         for n in left:
             left[n] = {b for b in left[n] if best not in b.split()}
@@ -131,7 +132,8 @@ def license_matches(text: Column, templates: Mapping[str, str] | None = None, le
     )
     words = "|".join(w.replace("license", "licen[cs]e") for w in anchors(templates, least))
     none = F.expr("cast(array() as array<struct<unit:string,license:string,dice:double>>)")
-    return F.when(F.coalesce(F.lower(text).rlike(words), F.lit(False)), result).otherwise(none)
+    held = rf"(?:^|[^\p{{L}}\p{{N}}])(?:{words})(?![\p{{L}}\p{{N}}])"
+    return F.when(F.coalesce(F.lower(text).rlike(held), F.lit(False)), result).otherwise(none)
 
 
 def scan_licenses(
