@@ -4,14 +4,12 @@ from __future__ import annotations
 
 import hashlib
 import math
-import re
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyhouse.config import stored
@@ -44,7 +42,7 @@ STRETCH = 1 << 20
 
 def _powers(base: int) -> np.ndarray:
     out = np.full(1, 1, np.uint64)
-    while len(out) < 2 * STRETCH:
+    while len(out) < STRETCH:
         out = np.concatenate([out, out * np.uint64(base)])
         base = base * base % (1 << 64)
     return out
@@ -58,24 +56,33 @@ def powers() -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_hashes(data: bytes) -> np.ndarray:
-    """A 64-bit polynomial hash of each word between ASCII white space, from running sums over the bytes."""
-    if len(data) > 2 * STRETCH:
-        cut = next((i for i in range(STRETCH, len(data)) if SPACE[data[i]]), len(data))
-        if cut > 2 * STRETCH:  # one word of megabytes
-            long = re.match(rb"[\t-\r ]*(?:[^\t-\r ]+)", data)
-            words = data[: long.end()].split()
-            first = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
-            return np.concatenate([first, word_hashes(data[long.end() :])])
-        return np.concatenate([word_hashes(data[:cut]), word_hashes(data[cut:])])
-    codes = np.frombuffer(data, np.uint8)
-    blank = np.ones(len(codes) + 2, bool)
-    blank[1:-1] = SPACE[codes]
-    change = np.flatnonzero(blank[1:] != blank[:-1])
-    starts, ends = change[::2], change[1::2]
+    """A 64-bit polynomial hash of each word between ASCII white space, from running sums over stretches of the bytes.
+
+    A word that a stretch leaves open goes on in the next one with its sum and length so far.
+    """
     up, down = powers()
-    sums = np.zeros(len(codes) + 1, np.uint64)
-    np.cumsum(BYTE_CODES[codes] * up[: len(codes)], out=sums[1:])
-    return mixed((sums[ends] - sums[starts]) * down[starts])
+    out, carried, length = [], np.zeros(0, np.uint64), 0
+    for at in range(0, len(data), STRETCH):
+        codes = np.frombuffer(data, np.uint8, min(STRETCH, len(data) - at), at)
+        blank = np.ones(len(codes) + 2, bool)
+        blank[1:-1] = SPACE[codes]
+        change = np.flatnonzero(blank[1:] != blank[:-1])
+        starts, ends = change[::2], change[1::2]
+        sums = np.zeros(len(codes) + 1, np.uint64)
+        np.cumsum(BYTE_CODES[codes] * up[: len(codes)], out=sums[1:])
+        h, sizes = (sums[ends] - sums[starts]) * down[starts], ends - starts
+        if length and len(starts) and starts[0] == 0:
+            h[:1] = carried + h[:1] * np.uint64(pow(int(M2), length, 1 << 64))
+            sizes[0] += length
+        elif length:
+            out.append(carried)
+        length = 0
+        if len(ends) and ends[-1] == len(codes):
+            carried, length, h = h[-1:], int(sizes[-1]), h[:-1]
+        out.append(h)
+    if length:
+        out.append(carried)
+    return mixed(np.concatenate(out)) if out else carried
 
 
 class Ngrams:

@@ -125,3 +125,33 @@ def test_connected_components(spark):
     rows = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert rows == {**{i: 1 for i in range(1, 41)}, **{i: 100 for i in range(100, 130)}, 200: 200, 300: 200}
     assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_words_around_a_giant_one_hash_as_elsewhere():
+    prose = " ".join(f"w{i}" for i in range(1, 5001))
+    alone = ngram_join.word_hashes(prose.encode())
+    assert len(np.unique(alone)) == 5000
+    for size in (1 << 20, (1 << 20) - len(prose) - 1, 3_000_000):
+        giant = ngram_join.word_hashes(b"z" * size)
+        assert len(giant) == 1
+        got = ngram_join.word_hashes(f"{prose} {'z' * size} {prose}".encode())
+        assert np.array_equal(got, np.concatenate([alone, giant, alone]))
+    draw = random.Random(7)
+    words = ["".join(draw.choice("abc") for _ in range(draw.choice([1, 3, 9, 400_000, 2_500_000]))) for _ in range(12)]
+    single = [ngram_join.word_hashes(w.encode())[0] for w in words]
+    assert ngram_join.word_hashes("\n ".join(words).encode()).tolist() == single
+    # what sums of the bytes say without stretches
+    word = words[0][:50].encode()
+    want = sum(int(ngram_join.BYTE_CODES[c]) * pow(int(ngram_join.M2), i, 1 << 64) for i, c in enumerate(word)) % (1 << 64)
+    assert ngram_join.word_hashes(word)[0] == ngram_join.mixed(np.array([want], np.uint64))[0]
+    far = ngram_join.word_hashes(("q " * 600_000 + "end").encode())
+    assert far[-1] == ngram_join.word_hashes(b"end")[0] and len(np.unique(far)) == 2
+
+
+def test_giant_word_keeps_links(spark):
+    prose = " ".join(f"w{i}" for i in range(900))
+    rows = [(1, f"{prose} {'A' * 3_000_000}"), (2, f"{prose} {'B' * 1_000_000}"), (3, "other words of a text")]
+    docs = spark.createDataFrame([(*r, "k", 5) for r in rows], SCHEMA)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_components(docs).collect()}
+    assert got == brute(rows, 3, 90)
+    assert got[1][1] == got[2][1] == 1
