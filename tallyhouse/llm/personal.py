@@ -43,9 +43,11 @@ AT, DOT = "at|arroba|arobase", "dot|punkt|punto|point"
 WORD = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
 SPELLED = re.compile(rf"(?:\bplus[ -]+)?\b(?:{WORD})(?:[ -]+(?:{WORD}))" + f"{{{SPELLED_RUN - 1},}}" + r"\b", re.I)
 BRACKETED = re.compile(rf"[\[({{<][ ]*(?:(?P<at>{AT}|@)|(?P<dot>{DOT}|\.))[ ]*[\])}}>][ ]*", re.I)
-DOMAIN_WORDS = rf"[A-Za-z0-9-]+(?:(?: +(?:{DOT}) +|\.)[A-Za-z0-9-]+)+"
+SPELLED_DOT = rf"(?: +(?:{DOT}) +| *[\[({{<] *(?:{DOT}|\.) *[\])}}>] *)"
+DOMAIN_WORDS = rf"[A-Za-z0-9-]+(?:(?:{SPELLED_DOT}|\.)[A-Za-z0-9-]+)+"
 SPACED = re.compile(rf" (?<=[A-Za-z0-9 ] )(?P<sign>(?:{AT}) +){DOMAIN_WORDS}", re.I)
 LOOSE = re.compile(rf"(?P<sign>@ *){DOMAIN_WORDS}", re.I)
+DOMAIN_DOT = re.compile(SPELLED_DOT, re.I)
 SPACED_DOT = re.compile(rf" +(?:{DOT}) +", re.I)
 DOTTED = re.compile(rf"(?<![0-9])[0-9]{{1,3}}(?: +(?:{DOT}) +[0-9]{{1,3}}){{3}}", re.I)
 UNUSUAL = re.compile("[^\x00-\xac\xae-\u036f]")
@@ -101,7 +103,7 @@ class Mapped:
 
     def rewrite(self, pattern: re.Pattern, write: Callable[[re.Match], list[tuple[int, int, str]]]) -> None:
         """Replace in each match the (start, end) pieces that ``write`` names; every new character stands for its whole piece."""
-        edits = [e for m in pattern.finditer(self.text) for e in write(m)]
+        edits = sorted({e for m in pattern.finditer(self.text) for e in write(m)})
         if not edits:
             return
         if self.starts is None:
@@ -134,27 +136,55 @@ def _letters(m: re.Match) -> list[tuple[int, int, str]]:
     return [] if new is None else [(m.start(), m.end(), new)]
 
 
-def _blanks_before(m: re.Match) -> int:
-    a = m.start()
-    while a and m.string[a - 1] == " ":
+def _blanks(text: str, a: int) -> int:
+    """Where the blanks before ``a`` start."""
+    while a and text[a - 1] == " ":
         a -= 1
     return a
 
 
+def _local_dots(text: str, at: int) -> list[tuple[int, int, bool]]:
+    """Start, end and whether in brackets of the spelled dots in the local part that ends before ``at``."""
+    found = []
+    while True:
+        word = at
+        while word and text[word - 1] in LOCAL:
+            word -= 1
+        end = _blanks(text, word)
+        bracketed = 0 < end < at and text[end - 1] in "])}>"
+        if bracketed:
+            end = _blanks(text, end - 1)
+        start = end
+        while start and end - start < 6 and (text[start - 1].isalpha() or text[start - 1] == "." and bracketed):
+            start -= 1
+        dot, before = text[start:end].lower(), _blanks(text, start)
+        if bracketed:
+            if not before or text[before - 1] not in "[({<" or dot not in (".", *DOT.split("|")):
+                return found
+            before = _blanks(text, before - 1)
+        elif end == word or before == start or dot not in DOT.split("|"):
+            return found
+        if word == at or not before or text[before - 1] not in LOCAL:
+            return found
+        found.append((before, word, bracketed))
+        at = before
+
+
 def _sign(m: re.Match) -> list[tuple[int, int, str]]:
-    return [(_blanks_before(m), m.end(), "@" if m.group("at") else ".")]
+    """The dots in brackets are matches themselves."""
+    start = _blanks(m.string, m.start())
+    dots = [(a, b, ".") for a, b, bracketed in _local_dots(m.string, start) if not bracketed] if m.group("at") else []
+    return [*dots, (start, m.end(), "@" if m.group("at") else ".")]
 
 
 def _spaced(m: re.Match) -> list[tuple[int, int, str]]:
-    start, end = _blanks_before(m), m.end("sign")
+    """A spelled or spaced sign counts only before a spelled dot; prose around a plain one stays as it is."""
+    start, end = _blanks(m.string, m.start() + 1 if m.string[m.start()] == " " else m.start()), m.end("sign")
+    dots = [(*d.span(), ".") for d in DOMAIN_DOT.finditer(m.string, end, m.end())]
+    if not dots:
+        return []
     sign = [] if m.string[start:end] == "@" else [(start, end, "@")]
-    return sign + [(*d.span(), ".") for d in SPACED_DOT.finditer(m.string, end, m.end())]
-
-
-def _loose(m: re.Match) -> list[tuple[int, int, str]]:
-    """A spaced sign counts only before a spelled dot; prose around a plain one stays as it is."""
-    edits = _spaced(m)
-    return edits if any(new == "." for _, _, new in edits) else []
+    return [(a, b, ".") for a, b, _ in _local_dots(m.string, start)] + sign + dots
 
 
 def _dotted(m: re.Match) -> list[tuple[int, int, str]]:
@@ -189,15 +219,15 @@ def _has_dot(text: str) -> bool:
 STEPS = (
     (UNUSUAL, _letters, lambda t: not t.isascii()),
     (SPELLED, _spelled, _has_run),
-    (BRACKETED, _sign, lambda t: any(c in t for c in "[({<")),
     (SPACED, _spaced, lambda t: True),
-    (LOOSE, _loose, lambda t: "@" in t),
+    (BRACKETED, _sign, lambda t: any(c in t for c in "[({<")),
+    (LOOSE, _spaced, lambda t: "@" in t),
     (DOTTED, _dotted, _has_dot),
 )
 
 
 def find_disguised(text: str, plain: list[Span]) -> list[Span]:
-    """Spans that only the normalised text shows, in source characters; none overlaps a plain one of its kind."""
+    """Spans that only the normalised text shows, in source characters; none lies inside a plain one of its kind."""
     mapped = Mapped(text)
     for pattern, write, possible in STEPS:
         if possible(mapped.text):
@@ -207,7 +237,7 @@ def find_disguised(text: str, plain: list[Span]) -> list[Span]:
     found = []
     for kind, a, b in find_plain(mapped.text):
         start, end = int(mapped.starts[a]), int(mapped.ends[b - 1])
-        if text[start:end] != mapped.text[a:b] and not any(k == kind and s < end and start < e for k, s, e in plain):
+        if text[start:end] != mapped.text[a:b] and not any(k == kind and s <= start and end <= e for k, s, e in plain):
             found.append((kind, start, end))
     return found
 
@@ -220,7 +250,9 @@ def find_personal(docs: DataFrame, text_col: str = "text") -> DataFrame:
     Then lookalike and full-width characters, invisible characters, digits spelled out
     four or more in a row, and disguises of the at sign and the dot are rewritten, each
     new character remembering the source characters it stands for, and the same
-    patterns run again. Such a span is added unless it overlaps a plain one of its kind.
+    patterns run again. Such a span is added unless it lies inside a plain one of its kind,
+    so it may contain a plain span that is only a part of the identifier. A spelled at sign
+    counts only before a spelled or bracketed dot, as "look at example.com" is prose.
 
     Whole texts are read; null counts as empty and has no spans. Spans come by kind, then
     start. Other columns stay; a column ``spans`` is replaced.

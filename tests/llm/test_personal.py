@@ -79,3 +79,26 @@ def test_query_against_patterns(spark):
         assert r.base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest()
         assert set(want) <= set(r.spans.split(","))or not want
         assert r.n_email + r.n_ip + r.n_card + r.n_phone == len([s for s in r.spans.split(",") if s])
+
+
+@pytest.mark.parametrize(
+    ("text", "base", "whole"),
+    [
+        ("to jоhn@mail.com.", "hn@mail.com", "jоhn@mail.com"),
+        ("to a@x.cоm now", "a@x.c", "a@x.cоm"),
+        ("to jane@corp.example dot com", "jane@corp.example", "jane@corp.example dot com"),
+        ("to john dot doe at mail dot com", None, "john dot doe at mail dot com"),
+        ("to a dot b (dot) c at mail dot com", None, "a dot b (dot) c at mail dot com"),
+        ("to a dot b (dot) c (at) mail.com", None, "a dot b (dot) c (at) mail.com"),
+        ("jane at corp[dot]com", None, "jane at corp[dot]com"),
+    ],
+)
+def test_disguised_spans_are_whole(text, base, whole):
+    plain = find_plain(text)
+    assert [text[a:b] for _, a, b in plain] == ([base] if base else [])
+    assert [(k, text[a:b]) for k, a, b in find_disguised(text, plain)] == [("email", whole)]
+
+
+@pytest.mark.parametrize("text", ["look at example.com or at b.org", "jоin a@b.co today", "one at a.b.c at d dot"])
+def test_at_before_a_plain_dot_is_prose(text):
+    assert find_disguised(text, find_plain(text)) == []
