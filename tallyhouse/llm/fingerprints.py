@@ -13,8 +13,8 @@ from tallyhouse.sources.tables import table
 PART = 12
 CELLS = 3 * PART
 ROUNDS = 8
-# A line longer than this is cut at the ends of its sentences.
-LONG_LINE = 512
+# A line longer than this is cut at the ends of its sentences: every line.
+LONG_LINE = 0
 # Sketches that a difference too large for one is dealt over: at first, and where that fails again.
 CHILDREN, MORE_CHILDREN = 4, 16
 
@@ -23,7 +23,7 @@ EMPTY = f"cast(named_struct('c', 0, 'k', 0, 'h', 0) as {CELL})"
 
 
 def paragraph_digests(text: Column) -> Column:
-    """The distinct 64-bit digests of the paragraphs of a text: its lines, long ones by sentence.
+    """The distinct 64-bit digests of the paragraphs of a text: the sentences of its lines.
 
     Blank paragraphs do not count; null is empty.
     """

@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.fingerprints import LONG_LINE, fingerprint, op4_fingerprints, paragraph_changes
+from tallyhouse.llm.fingerprints import LONG_LINE, fingerprint, op4_fingerprints, paragraph_changes, paragraph_digests
 
 
 def paragraphs(text):
@@ -58,3 +58,14 @@ def test_query(spark):
             assert abs(near - want) < 1e-12
         assert prints.setdefault(text, r.fingerprint) == r.fingerprint
         assert prints.setdefault(edited, r.edited_fingerprint) == r.edited_fingerprint
+
+
+def test_short_lines_are_cut_at_sentences(spark):
+    short = "One is here. Two is there! Is three anywhere? Four is left. Five goes. Six stays."
+    line = " ".join(f"Sentence number {i} of a longer line." for i in range(13))
+    texts = [(short, short[:55] + "Something else. Ends."), (line, line + " This end is a new one. And so is this one.")]
+    assert len(line) < 512 < len(texts[1][1])
+    rows = spark.createDataFrame(texts, "a string, b string").select(
+        paragraph_digests(F.col("a")).alias("a"), paragraph_digests(F.col("b")).alias("b")
+    ).collect()
+    assert [(len(r.a), len(set(r.a) & set(r.b))) for r in rows] == [(6, 3), (13, 13)]
