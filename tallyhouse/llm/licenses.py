@@ -75,7 +75,8 @@ def normalised(text: Column) -> Column:
 def license_matches(text: Column, templates: Mapping[str, str] | None = None, least: float = LEAST) -> Column:
     """Array of (unit, license, dice): the units of a text that are like a template.
 
-    Units are sentences, lines, blocks between blank lines, and the whole text. A unit is
+    Units are sentences, within a line and wrapped over several, lines, blocks between blank
+    lines or comment lines without words, and the whole text. A unit is
     compared only with templates whose number of bigrams its own allows to reach
     ``least``; of several, the one with the highest coefficient counts, the first by name on ties.
     Texts without an anchor word are not cut at all. Null and empty texts have no matches.
@@ -95,8 +96,13 @@ def license_matches(text: Column, templates: Mapping[str, str] | None = None, le
         ]
     )
     bounds = min(math.ceil(low * len(b) - 1e-9) for b in known.values()), max(math.floor(high * len(b) + 1e-9) for b in known.values())
+    # lines that hold a comment mark only are blank; a sentence is wrapped if words stand on both sides of a line break
+    bare = F.regexp_replace(text, r"(?<![^\n])[ \t]*(?:/{2,}|/?\*+/?|#+|-{2,}|;+|%+)[ \t\r]*(?=\n|\z)", "")
+    wrapped = F.split(bare, r"\n[ \t\r]*\n|(?<=[.!?])[ \t\r\f\n]+")
     units = F.array_distinct(
         F.concat(
+            F.filter(wrapped, lambda u: u.rlike(r"[\p{L}\p{N}][^\n\p{L}\p{N}]*\n[^\p{L}\p{N}]*[\p{L}\p{N}]")),
+            F.split(bare, r"\n[ \t\r]*\n"),
             F.split(F.regexp_replace(text, r"([.!?])[ \t\r\f]+", "$1\n"), "\n"),
             F.split(text, r"\n"),
             F.split(text, r"\n[ \t\r]*\n"),

@@ -48,3 +48,18 @@ def test_query_against_sql(spark):
     want = con.execute(ORACLES["op2_license_scan"]).fetchall()
     got = [tuple(r) for r in op2_license_scan(spark, folder).collect()]
     assert sorted(got) == sorted(want) and sum(r[1] > 0 for r in got) > 5
+
+
+def test_wrapped_notices(spark):
+    notice = "This work is licensed under the GNU General\n{}Public License, version 3."
+    texts = [
+        "Some prose before it. " + notice.format("") + " More text of the same\nparagraph goes on and on.",
+        "# A file of something.\n# " + notice.format("# ") + " More text\n# goes on.",
+        "// Of the lake and the\n// sea\n//\n// Released under the\n// MIT License\n//\n// and of the land",
+        "Some prose before\nit goes on",
+    ]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string")
+    got = {r.doc_id: sorted({(m.license, m.dice) for m in r.licenses}) for r in scan_licenses(docs).collect()}
+    assert {i: max(g, default=None, key=lambda m: m[1]) for i, g in got.items()} == {
+        0: ("GPL-3.0", 1.0), 1: ("GPL-3.0", 1.0), 2: ("MIT", 1.0), 3: None
+    }
