@@ -11,4 +11,5 @@ from tallyhouse.llm import (  # noqa: F401
     personal,
     sharding,
     toxicity,
+    urls,
 )
