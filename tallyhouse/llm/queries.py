@@ -9,6 +9,7 @@ from tallyhouse.llm import (  # noqa: F401
     ngram_join,
     packing,
     personal,
+    prefix_trie,
     sharding,
     toxicity,
     urls,
