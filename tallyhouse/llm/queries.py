@@ -3,6 +3,7 @@
 from tallyhouse.llm import (  # noqa: F401
     exact_dedup,
     fingerprints,
+    hard_negatives,
     language,
     licenses,
     mixing,
