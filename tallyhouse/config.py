@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -60,7 +61,7 @@ def watched_tables() -> Iterator[list[str]]:
     try:
         yield paths
     finally:
-        _WATCHERS.remove(paths)
+        _WATCHERS[:] = [w for w in _WATCHERS if w is not paths]
 
 
 def drop_tables(spark: SparkSession, paths: Iterable[str]) -> None:
@@ -70,6 +71,18 @@ def drop_tables(spark: SparkSession, paths: Iterable[str]) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def paths_of(df: DataFrame) -> list[str]:
+    """Where a frame that ``stored`` returned lies; nothing for others."""
+    return list(getattr(df, "_stored_at", ()))
+
+
+def release(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Remove stored tables, and let Spark's cleaner remove the shuffle files of jobs that nobody refers to any more."""
+    drop_tables(spark, paths)
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -93,7 +106,9 @@ def stored(df: DataFrame, name: str = "stored") -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = (path,)
+    return out
 
 
 def settle(df: DataFrame, max_rows: int = SMALL_ROWS, heavy: bool = False) -> DataFrame:
