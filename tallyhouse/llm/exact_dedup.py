@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyhouse.config import stored
+from tallyhouse.config import paths_of, release, stored, watched_tables
 from tallyhouse.llm.common import lower_ascii
 from tallyhouse.plans.registry import query
 from tallyhouse.sources.tables import table
@@ -45,9 +45,15 @@ def mark_copies(
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per normalised text, the one that ``mark_copies`` keeps, with the columns of ``docs``."""
+    """One row per normalised text, the one that ``mark_copies`` keeps, with the columns of ``docs``.
+
+    The rows that stay are stored, so that what the passes have stored goes at once.
+    """
     names = [F.col(f"_c{i}").alias(c) for i, c in enumerate(docs.columns)]
-    return _marked(docs, id_col, text_col, docs.columns, lower_ascii).where("kept").select(*names)
+    with watched_tables() as left:
+        kept = stored(_marked(docs, id_col, text_col, docs.columns, lower_ascii).where("kept").select(*names), "single")
+    release(docs.sparkSession, set(left) - set(paths_of(kept)))
+    return kept
 
 
 def _marked(

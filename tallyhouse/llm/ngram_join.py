@@ -10,9 +10,9 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyhouse.config import stored
+from tallyhouse.config import paths_of, release, stored, watched_tables
 from tallyhouse.llm.common import bounded_batches
 from tallyhouse.llm.components import connected_components
 from tallyhouse.plans.registry import query
@@ -24,6 +24,9 @@ COLUMNS = 8192
 # Sets that one task remembers, and block keys that it sorts at a time.
 KNOWN = 1_000_000
 FLUSH = 2_000_000
+# Holders of one key in such a stretch from which it counts as crowded, and documents per bucket of keys.
+HOT = 256
+BUCKET_ROWS = 1024
 
 # Odd multipliers that mix 64-bit hashes.
 M1, M2, M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
@@ -160,57 +163,69 @@ def handle(key: bytes) -> int:
     return int.from_bytes(key[:8], "little", signed=True)
 
 
-PAIR, TEXT = 1, 2
+def _search(words: int, percent: int, bits: int, hot: int):
+    """Block keys with the sets that hold them, packed by bucket (a range of keys), and what each text is.
 
-
-def _search(words: int, percent: int):
-    """Three kinds of rows: block keys with a set (most by far, ``rest`` is null), pairs of sets, and what each text is.
-
-    Block keys are combined before they are shuffled: pairs met inside a task are done, and a
-    key goes out once per stretch of rows, whatever the number of documents that hold it.
+    A row of keys has the ``bucket``, the next 40 bits of each key in ascending order and the
+    handle of its set. A key that more than ``hot`` sets of one stretch of rows hold goes out once for the
+    stretch, and the pairs of its first set with the others on their own (``b`` is the first): so a key that
+    very many documents hold is few rows.
     """
-    names, fields = ["block", "a", "rest"], ["kind", "b", "id", "n", "key"]
+    names = ["bucket", "keys", "owners", "b", "text"]
+    fields = ["id", "n", "key"]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, blocks, done = Ngrams(words), Blocks(percent), set()
         keys, owners, held = [], [], 0
-        id_type = None
-
-        def rows(block: np.ndarray, a: pa.Array, kind: int = 0, *rest: pa.Array) -> pa.RecordBatch:
-            n = len(block)
-            types = [pa.int32(), pa.int64(), id_type, pa.int64(), pa.binary()]
-            if rest:
-                more = pa.StructArray.from_arrays([pa.array(np.full(n, kind, np.int32)), *rest], fields)
-            else:
-                more = pa.nulls(n, pa.struct(list(zip(fields, types, strict=True))))
-            return pa.RecordBatch.from_arrays([pa.array(block.view(np.int64)), a, more], names)
-
-        def flush() -> Iterator[pa.RecordBatch]:
+        text_type = None
+
+        def packed() -> Iterator[pa.RecordBatch]:
             key, owner = np.concatenate(keys), np.repeat(np.array([o for o, _ in owners], np.int64), [n for _, n in owners])
             order = np.lexsort((owner, key))
             key, owner = key[order], owner[order]
             first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            leader = np.repeat(owner[first], np.diff(np.append(first, len(key))))
-            apart = leader != owner
-            pairs = np.unique(np.stack([leader[apart], owner[apart]], 1), axis=0)
-            for at in range(0, len(first), 50_000):
-                part = first[at : at + 50_000]
-                yield rows(key[part], pa.array(owner[part]))
-            n = len(pairs)
-            nothing = [pa.nulls(n, id_type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())]
-            ends = [pa.array(pairs[:, i].copy()) for i in (0, 1)]
-            yield rows(mixed(pairs[:, 1].astype(np.uint64)), ends[0], PAIR, ends[1], *nothing)
+            count = np.diff(np.append(first, len(key)))
+            crowded = np.repeat(count > hot, count)
+            crowded[first] = False
+            leader = np.repeat(owner[first], count)
+            pairs = np.unique(np.stack([leader[crowded], owner[crowded]], 1), axis=0)
+            key, owner = key[~crowded], owner[~crowded]
+            bucket = (key >> np.uint64(64 - bits)).astype(np.int64)
+            low = np.ascontiguousarray((key << np.uint64(bits)) >> np.uint64(24)).view(np.uint8).reshape(-1, 8)[:, :5]
+            cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+            ends = np.append(cuts[1:], len(key))
+            for at in range(0, len(cuts), 64):
+                spans = list(zip(cuts[at : at + 64], ends[at : at + 64], strict=True))
+                n = len(spans)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([bucket[x] for x, _ in spans], pa.int64()), pa.array([low[x:y].tobytes() for x, y in spans], pa.binary()),
+                        pa.array([owner[x:y].tobytes() for x, y in spans], pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, text_type),
+                    ], names,
+                )
+            firsts = np.unique(pairs[:, 0], return_index=True)[1]
+            for x, y in zip(firsts, [*firsts[1:], len(pairs)], strict=False):
+                where = int(mixed(pairs[x : x + 1, 0].astype(np.uint64))[0] >> np.uint64(64 - bits))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([where]), pa.nulls(1, pa.binary()), pa.array([pairs[x:y, 1].tobytes()], pa.binary()),
+                        pa.array([int(pairs[x, 0])]), pa.nulls(1, text_type),
+                    ], names,
+                )
 
         for batch in batches:
             id_type = batch.column(1).type
+            text_type = pa.struct(list(zip(fields, (id_type, pa.int64(), pa.binary()), strict=True)))
             texts = [grams.of(t) for t in batch.column(0).to_pylist()]
             set_keys = [set_key(g) if len(g) else None for g in texts]
             n = len(texts)
             spread = np.array([handle(k) if k else i for i, k in enumerate(set_keys)], np.int64)
-            blank = pa.nulls(n, pa.int64())
-            sizes = pa.array([len(g) for g in texts], pa.int64())
-            spread = mixed(spread.view(np.uint64) + np.arange(n, dtype=np.uint64))
-            yield rows(spread, blank, TEXT, blank, batch.column(1), sizes, pa.array(set_keys, pa.binary()))
+            spread = (mixed(spread.view(np.uint64) + np.arange(n, dtype=np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
+            described = [batch.column(1), pa.array([len(g) for g in texts], pa.int64()), pa.array(set_keys, pa.binary())]
+            none = pa.nulls(n, pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(spread), none, none, pa.nulls(n, pa.int64()), pa.StructArray.from_arrays(described, fields)], names
+            )
             for g, k in zip(texts, set_keys, strict=True):
                 if k is None or handle(k) in done:
                     continue
@@ -221,14 +236,59 @@ def _search(words: int, percent: int):
                 owners.append((handle(k), len(found)))
                 held += len(found)
                 if held >= FLUSH:
-                    yield from flush()
+                    yield from packed()
                     keys, owners, held = [], [], 0
         if held:
-            yield from flush()
+            yield from packed()
 
     return search
 
 
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by bucket: for each key the pairs of its smallest set (``a``) with the others (``b``), once per bucket.
+
+    Pairs that were split off (``hot``) and descriptions of texts pass through.
+    """
+    current, keys, owners = None, [], []
+    text_type = None
+
+    def rows(a: np.ndarray, b: np.ndarray, hot: bool) -> pa.RecordBatch:
+        n = len(a)
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.full(n, hot)), pa.nulls(n, text_type)], ["a", "b", "hot", "text"])
+
+    def pairs() -> pa.RecordBatch:
+        low = np.zeros((sum(len(k) for k in keys) // 5, 8), np.uint8)
+        low[:, :5] = np.frombuffer(b"".join(keys), np.uint8).reshape(-1, 5)
+        key, owner = low.view(np.uint64).ravel(), np.frombuffer(b"".join(owners), np.int64)
+        order = np.lexsort((owner, key))
+        key, owner = key[order], owner[order]
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        leader = np.repeat(owner[first], np.diff(np.append(first, len(key))))
+        found = np.unique(np.stack([leader, owner], 1)[leader != owner], axis=0)
+        return rows(found[:, 0].copy(), found[:, 1].copy(), False)
+
+    for batch in batches:
+        text_type = batch.column(4).type
+        texts = batch.column(4)
+        if texts.null_count < len(texts):
+            whole = texts.drop_null()
+            n = len(whole)
+            yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.bool_()), whole], ["a", "b", "hot", "text"])
+        for bucket, k, o, b in zip(*[c.to_pylist() for c in batch.columns[:4]], strict=True):
+            if bucket != current:
+                if keys:
+                    yield pairs()
+                current, keys, owners = bucket, [], []
+            if k is not None:
+                keys.append(k)
+                owners.append(o)
+            elif b is not None:
+                others = np.frombuffer(o, np.int64)
+                yield rows(np.full(len(others), b, np.int64), others, True)
+    if keys:
+        yield pairs()
+
+
 def _sets(words: int):
     """The n-grams of texts whose set is the wanted one."""
 
@@ -348,35 +408,34 @@ def near_components(
     Texts with equal sets are one class before anything is compared. Candidates are
     classes that share the key of a block (see ``Blocks``): complete, because sizes bound in how
     many blocks linked sets can differ, and selective, because a key stands for several
-    n-grams, so a passage or line that many documents hold makes no candidates. Each
-    key connects its classes through one leader; what is connected forms a cluster. The
-    incidence matrix of a cluster is multiplied with itself in blocks of two tiles of at
-    most ``TILE`` classes of like size, and a block returns only as many links as connect its
-    rows; so neither rows nor memory grow with the square of a group, whatever its size.
+    n-grams, so a passage or line that many documents hold makes no candidates. The
+    classes that share a key form a group with the smallest of them. Their incidence
+    matrices are multiplied in tiles of about ``TILE`` classes, in two steps: each class first meets a
+    tile of one of its groups, which joins copies at a row or two per class; then groups that still
+    hold several components multiply only what is outside their largest one (see ``_links``).
+    Intermediate tables are removed as soon as nothing reads them.
     """
-    bounded_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    bounded_batches(spark)
     rows = docs.select(docs[text_col].alias("_text"), docs[id_col].alias("_id"))
     id_type = rows.schema["_id"].dataType.simpleString()
-    rest = f"struct<kind:int,b:bigint,id:{id_type},n:bigint,key:binary>"
-    searched = rows.mapInArrow(_search(words, percent), f"block bigint, a bigint, rest {rest}")
-    keyed = F.col("rest").isNull()
-    leader = F.min(F.when(keyed, F.col("a"))).over(Window.partitionBy("block"))
-    led = searched.withColumn("b", F.when(keyed, leader).otherwise(F.col("rest.b"))).where(~keyed | (F.col("a") != F.col("b")))
-    found = stored(led.select("a", "b", "rest.kind", F.col("rest.id").alias("_id"), "rest.n", "rest.key"), "found")
-    described = found.where(F.col("kind") == TEXT).select("_id", "n", "key")
-    full = described.where("n > 0")
-    edges = found.where(F.coalesce("kind", F.lit(PAIR)) == PAIR).select("a", "b")
-    clusters = connected_components(edges).select(F.col("node").alias("_handle"), F.col("root").alias("cluster"))
-
-    classes = full.groupBy("key").agg(F.min("_id").alias("_rep"), F.first("n").alias("n"))
-    classes = classes.withColumn("_handle", _handle_column())
-    classes = stored(classes, "classes")
-    members = stored(classes.join(clusters, "_handle").select("cluster", "key", "_rep", "n"), "members")
-    links = _links(rows, members, words, percent)
-    roots = connected_components(links).select(F.col("node").alias("key"), "root")
-    linked = classes.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    smallest = linked.groupBy("root").agg(F.min("_rep").alias("component_id"))
-    home = linked.join(smallest, "root").select(F.col("key").alias("_key"), "component_id")
+    bits = max(4, math.ceil(math.log2(max(1, docs.count() / BUCKET_ROWS))))
+    text = f"text struct<id:{id_type},n:bigint,key:binary>"
+    searched = rows.mapInArrow(_search(words, percent, bits, HOT), f"bucket bigint, keys binary, owners binary, b bigint, {text}")
+    met = searched.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_met, f"a bigint, b bigint, hot boolean, {text}")
+    with watched_tables() as left:
+        found = stored(met, "found")
+        described = stored(found.where("text is not null").select("text.*").withColumnRenamed("id", "_id"), "described")
+        full = described.where("n > 0")
+        classes = full.groupBy("key").agg(F.min("_id").alias("_rep"), F.first("n").alias("n"))
+        classes = stored(classes.withColumn("_handle", _handle_column()), "classes")
+        pairs = found.where("a is not null").select("a", "b", "hot").distinct()
+        links = stored(_links(rows, classes, pairs, words, percent), "links")
+        roots = connected_components(links).select(F.col("node").alias("key"), "root")
+        linked = classes.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+        smallest = linked.groupBy("root").agg(F.min("_rep").alias("component_id"))
+        home = stored(linked.join(smallest, "root").select(F.col("key").alias("_key"), "component_id"), "home")
+    release(spark, set(left) - {*paths_of(described), *paths_of(home)})
     placed = full.join(home.hint("merge"), F.col("key") == F.col("_key")).select("_id", "n", "component_id")
     alone = described.where("n = 0").select("_id", "n", F.col("_id").alias("component_id"))
     return placed.unionByName(alone).select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
@@ -388,41 +447,87 @@ def _handle_column():
     return F.conv(F.hex(parts), 16, -10).cast("bigint")
 
 
-def _links(rows: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links between classes of a cluster, as few as connect them: keys ``a``, ``b``."""
-    growth = math.log(100 / percent)
-    band = F.floor(F.log("n") / growth).cast("int")
-    sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("_all"))
-    banded = members.join(sizes, "cluster").withColumn("band", F.when(F.col("_all") > TILE, band).otherwise(0))
-    tiles = banded.groupBy("cluster", "band").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
-    tiles = stored(tiles, "tiles")
-    banded = banded.join(tiles, ["cluster", "band"]).withColumn("tile", F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int"))
-    beside = tiles.select("cluster", (F.col("band") - 1).alias("band"), F.col("tiles").alias("above"))
-    below = tiles.select("cluster", (F.col("band") + 1).alias("band"), F.col("tiles").alias("under"))
-    banded = stored(banded.join(beside, ["cluster", "band"], "left").join(below, ["cluster", "band"], "left"), "banded")
+def _groups(pairs: DataFrame) -> DataFrame:
+    """``g`` and ``h``: the handles of classes that may be linked, by the smallest of them, itself included.
+
+    A set that met the first of a crowded stretch joins all groups which that one is in.
+    """
+    met = pairs.where("not hot").select(F.col("a").alias("g"), F.col("b").alias("h"))
+    hot = pairs.where("hot").select(F.col("a").alias("first"), F.col("b").alias("h"))
+    through = met.withColumnRenamed("h", "first").join(hot, "first").select("g", "h")
+    both = met.unionByName(hot.select(F.col("first").alias("g"), "h")).unionByName(through)
+    return both.unionByName(both.select("g", F.col("g").alias("h"))).distinct()
+
+
+def _links(rows: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links between classes, as few as connect them: keys ``a``, ``b``.
+
+    First every class meets one tile of its first group, and in each tile the first class of the group. Groups with
+    more than one component are then dealt once more with the class that has most links in each tile. Both
+    take rows in proportion to the classes, and join a family of copies, also one whose members
+    are only like their original. In groups that are still apart, classes outside the largest component (``loose``)
+    meet all classes of the group; the rest of it is not multiplied with itself. All pairs that share a key are in one
+    component or have been compared.
+    """
+    groups = stored(_groups(pairs), "groups")
+    named = groups.join(classes.select(F.col("_handle").alias("h"), "key", "_rep").hint("merge"), "h").select("g", "h", "key", "_rep")
+    members = stored(named, "members")
+    wanted = members.select(F.col("_rep").alias("_r"), F.col("key").alias("_wanted")).distinct().hint("merge")
     # merge joins at every size: what is joined to the texts grows with them
-    wanted = banded.select(F.col("_rep").alias("_r"), F.col("key").alias("_wanted")).distinct().hint("merge")
     texts = rows.join(wanted, F.col("_id").eqNullSafe(F.col("_r"))).select("_text", "_wanted")
-    sets = texts.mapInArrow(_sets(words), "key binary, grams binary").dropDuplicates(["key"])
-
-    one = F.col("tile")
-    own = F.transform(
+    sets = stored(texts.mapInArrow(_sets(words), "key binary, grams binary").dropDuplicates(["key"]), "sets")
+
+    first = members.groupBy("key").agg(F.min("g").alias("g"))
+    near = stored(_product(_tiles(first, members.where("g = h").select("g", "key")), sets, percent), "near")
+    placed, open_ = _open_groups(members, near)
+    degree = near.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("links"))
+    at_hand = placed.join(open_.select("g").hint("merge"), "g").select("g", "key")
+    hubs = at_hand.join(degree.hint("merge"), "key").groupBy("g").agg(F.max(F.struct("links", "key")).alias("hub")).select("g", "hub.key")
+    at_hand = at_hand.groupBy("key").agg(F.min("g").alias("g"))
+    near = stored(near.unionByName(_product(_tiles(at_hand, hubs), sets, percent)), "near")
+    placed, open_ = _open_groups(members, near)
+    number = lambda c: F.ceil(c / TILE).cast("int")
+    open_ = stored(open_.select("g", number(F.col("all")).alias("tiles"), number(F.col("all") - F.col("top.n")).alias("loose"), F.col("top.root").alias("main")), "open")
+    rest = placed.join(open_.hint("merge"), "g").select("g", "key", "tiles", "loose", (F.col("root") != F.col("main")).alias("is_loose"), _tile().alias("j"))
+    rest = rest.withColumn("i", F.pmod(F.xxhash64("key"), F.col("loose")).cast("int"))
+    as_left = F.transform(
         F.sequence(F.lit(0), F.col("tiles") - 1),
-        lambda t: F.struct(
-            F.col("band").alias("low"), F.least(one, t).alias("i"), F.col("band").alias("high"), F.greatest(one, t).alias("j"),
-            F.when(one == t, -1).when(one < t, 0).otherwise(1).alias("side"),
-        ),
-    )
-    up = F.transform(
-        F.when(F.col("above") > 0, F.sequence(F.lit(0), F.col("above") - 1)).otherwise(F.array().cast("array<int>")),
-        lambda t: F.struct(F.col("band").alias("low"), one.alias("i"), (F.col("band") + 1).alias("high"), t.alias("j"), F.lit(0).alias("side")),
+        lambda t: F.struct(F.col("i").alias("i"), t.alias("j"), F.when(t == F.col("j"), -1).otherwise(0).alias("side")),
     )
-    down = F.transform(
-        F.when(F.col("under") > 0, F.sequence(F.lit(0), F.col("under") - 1)).otherwise(F.array().cast("array<int>")),
-        lambda t: F.struct((F.col("band") - 1).alias("low"), t.alias("i"), F.col("band").alias("high"), one.alias("j"), F.lit(1).alias("side")),
+    as_right = F.transform(
+        F.sequence(F.lit(0), F.col("loose") - 1), lambda t: F.struct(t.alias("i"), F.col("j").alias("j"), F.lit(1).alias("side"))
     )
-    dealt = banded.select("cluster", "key", F.explode(F.concat(own, up, down)).alias("at"))
-    dealt = dealt.select("key", F.concat_ws(":", "cluster", "at.low", "at.i", "at.high", "at.j").alias("block"), F.col("at.side").alias("side"))
+    others = F.filter(as_right, lambda x: x["i"] != F.col("i"))
+    at = F.explode(F.when(F.col("is_loose"), F.concat(as_left, others)).otherwise(as_right)).alias("at")
+    again = rest.select("key", "g", at).select("key", F.concat_ws(":", "g", "at.i", "at.j").alias("block"), F.col("at.side").alias("side"))
+    return near.unionByName(_product(again, sets, percent))
+
+
+def _tile() -> Column:
+    return F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int")
+
+
+def _tiles(members: DataFrame, heads: DataFrame) -> DataFrame:
+    """Members (``g``, ``key``) dealt into tiles, with the head of the group, if it has one, in each."""
+    sizes = stored(members.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles")), "sizes")
+    dealt = members.join(sizes.hint("merge"), "g").select("key", "g", _tile().alias("i"))
+    tiles = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("i")
+    once = dealt.unionByName(heads.join(sizes.hint("merge"), "g").select("key", "g", tiles)).distinct()
+    return once.select("key", F.concat_ws(":", "g", "i").alias("block"), F.lit(-1).alias("side"))
+
+
+def _open_groups(members: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members with the ``root`` of their component, and groups that hold several, with their sizes and largest component."""
+    roots = connected_components(links).select(F.col("node").alias("key"), "root")
+    placed = members.select("g", "key").join(roots.hint("merge"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    placed = stored(placed, "placed")
+    parts = placed.groupBy("g", "root").agg(F.count(F.lit(1)).alias("n"))
+    sizes = parts.groupBy("g").agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("all"), F.max(F.struct("n", "root")).alias("top"))
+    return placed, stored(sizes.where("parts > 1"), "open")
+
+
+def _product(dealt: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links found in blocks of tiles, from ``key``, ``block`` and ``side``."""
     blocks = dealt.join(sets.hint("merge"), "key").select("block", "side", "key", "grams").repartition("block").sortWithinPartitions("block")
     return blocks.mapInArrow(_multiply(percent), "a binary, b binary")
 
@@ -434,8 +539,10 @@ def drop_near_copies(
 
     Rows that agree in id count as one document and stay or go together.
     """
-    found = near_components(docs, id_col, text_col, words, percent)
-    gone = stored(found.where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_gone")).distinct(), "gone")
+    with watched_tables() as left:
+        found = near_components(docs, id_col, text_col, words, percent)
+        gone = stored(found.where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_gone")).distinct(), "gone")
+    release(docs.sparkSession, set(left) - set(paths_of(gone)))
     return docs.join(gone.hint("merge"), docs[id_col] == F.col("_gone"), "left_anti")
 
 

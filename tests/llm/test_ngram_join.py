@@ -60,23 +60,31 @@ def corpus(seed):
     return rows
 
 
-@pytest.mark.parametrize(("words", "percent", "tile"), [(3, 90, 256), (5, 80, 3)])
-def test_components(spark, monkeypatch, words, percent, tile):
+@pytest.mark.parametrize(("words", "percent", "tile", "hot"), [(3, 90, 256, 256), (5, 80, 3, 256), (5, 80, 4, 1)])
+def test_components(spark, monkeypatch, words, percent, tile, hot):
     monkeypatch.setattr(ngram_join, "TILE", tile)
+    monkeypatch.setattr(ngram_join, "HOT", hot)
     rows = corpus(words)
     docs = spark.createDataFrame([(*r, "clash", 1) for r in rows], SCHEMA).repartition(3)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_components(docs, words=words, percent=percent).collect()}
     assert got == brute(rows, words, percent)
 
 
-def test_large_family_in_tiles(spark, monkeypatch):
+@pytest.mark.parametrize(("size", "most", "times"), [(500, 3, 4), (100, 1, 4), (100, 9, None)])
+def test_large_family_in_tiles(spark, monkeypatch, size, most, times):
+    """Rows that enter the product of a family of near copies grow with its classes, not with their square."""
     monkeypatch.setattr(ngram_join, "TILE", 20)
+    monkeypatch.setattr(ngram_join, "HOT", 50)
+    entered, product = [], ngram_join._product
+    monkeypatch.setattr(ngram_join, "_product", lambda dealt, *rest: (entered.append(dealt.count()), product(dealt, *rest))[1])
     draw = random.Random(9)
-    base = [f"w{draw.randrange(10**6)}" for _ in range(100)]
-    rows = family(draw, 1, base, 150, 4)
+    base = [f"w{draw.randrange(10**6)}" for _ in range(size)]
+    rows = family(draw, 1, base, 400, most)
     docs = spark.createDataFrame([(*r, None, None) for r in rows], SCHEMA).repartition(4)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_components(docs).collect()}
     assert got == brute(rows, 3, 90)
+    if times:
+        assert sum(entered) < times * len({r[1] for r in rows})
 
 
 def test_repeated_and_null_ids(spark):
