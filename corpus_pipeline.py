@@ -1,18 +1,17 @@
 """From raw documents to packed training sequences, in five stages.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that the one before it kept;
-between stages the rows are written and read again. So a stage may drop what the one before it had
-stored for its own use, and intermediate tables of one stage at most take room.
+between stages the rows are written and read again. Stages are pure: ``run`` drops what a stage has
+stored for its own use once its rows are written.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.config import drop_tables, stored, watched_tables
+from tallyhouse.config import paths_of, release, stored, watched_tables
 from tallyhouse.llm.exact_dedup import drop_copies
 from tallyhouse.llm.language import keep_identified
 from tallyhouse.llm.mixing import mix_sources
@@ -23,48 +22,28 @@ from tallyhouse.sources.tables import table
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-_left: list[str] = []
 
 
-def _tidy(stage: Stage) -> Stage:
-    """Drop the tables of the stage before, whose rows have been written, and remember those of this one."""
-
-    @wraps(stage)
-    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        drop_tables(spark, _left)
-        with watched_tables() as tables:
-            out = stage(spark, docs, sf_dir)
-        _left[:] = tables
-        return out
-
-    return run_stage
-
-
-@_tidy
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the network knows; null texts and texts without letters go."""
     return keep_identified(docs)
 
 
-@_tidy
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts (A-Z lower-cased), the document with the largest id."""
     return drop_copies(docs)
 
 
-@_tidy
 def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by five-word shingles at a Jaccard similarity of 0.8 or more, the smallest id."""
     return drop_near_copies(docs)
 
 
-@_tidy
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at tempered weights within a budget of as many words as there are; a row may repeat."""
     return mix_sources(docs)
 
 
-@_tidy
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their places in sequences of 2048."""
     return pack(token_pieces(docs))
@@ -86,5 +65,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        with watched_tables() as left:
+            docs = stored(stage(spark, docs, sf_dir), name)
+        release(spark, set(left) - set(paths_of(docs)))
     return docs
