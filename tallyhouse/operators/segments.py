@@ -139,18 +139,24 @@ def silhouette(df: DataFrame, columns: Sequence[str], cluster: str) -> DataFrame
     return df.groupBy(cluster).agg(F.count(F.lit(1)).alias("n"), F.avg(width).alias("silhouette"))
 
 
+# Loadings nearer than this share of the largest one count as equally large.
+SIGN_TIE = 1e-6
+
+
 def principal_axes(df: DataFrame, identity: str, columns: Sequence[str], k: int = 2) -> DataFrame:
     """Coordinates on the first k principal axes of the scaled columns.
 
-    The largest loading of each axis is made positive, so signs are stable. Columns:
-    id, ``pca_1..k``, ``explained_1..k`` (variance ratios).
+    The largest loading of each axis is made positive; among loadings that are as large but for
+    ``SIGN_TIE`` of it the first feature decides, so signs do not hang on rounding. Columns: id, ``pca_1..k``, ``explained_1..k`` (variance ratios).
     """
     vectors = to_vectors(df, columns, fit_scaling(df, columns)).select(identity, "features")
     cached = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     model = PCA(k=k, inputCol="features", outputCol="axes").fit(cached)
     cached.unpersist()
     loadings = model.pc.toArray()
-    signs = [1.0 if loadings[abs(loadings[:, j]).argmax(), j] >= 0 else -1.0 for j in range(k)]
+    size = abs(loadings)
+    deciding = (size >= size.max(axis=0) * (1 - SIGN_TIE)).argmax(axis=0)
+    signs = [1.0 if loadings[deciding[j], j] >= 0 else -1.0 for j in range(k)]
     coordinates = vector_to_array("axes")
     return model.transform(vectors).select(
         identity,

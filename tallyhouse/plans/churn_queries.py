@@ -7,7 +7,7 @@ from pyspark.sql import Window, functions as F
 from tallyhouse.config import stored
 from tallyhouse.functions import expressions as X
 from tallyhouse.labels import CHURN_FEATURES
-from tallyhouse.operators import classify as C, evaluate as E, neighbors as N, sampling
+from tallyhouse.operators import classify as C, evaluate as E, neighbors as N, newton as W, sampling
 from tallyhouse.plans.load_queries import customer_table, scored_table
 from tallyhouse.plans.registry import query, rounded
 from tallyhouse.sources import proxies
@@ -213,6 +213,85 @@ def feature_importance(spark, folder):
     return rounded(both)
 
 
+def _newton_sql(rounds: int, depth: int, step: float) -> list[str]:
+    """The first trees of ``newton`` with all rows and columns, written from the formulas: a CTE per step."""
+    names = ", ".join(f"CAST({c} AS DOUBLE)" for c in CHURN_FEATURES)
+    out = [
+        "member AS MATERIALIZED (SELECT *, CASE WHEN loyalty_status = 'Yes' THEN 1 ELSE 0 END AS loyalty_member FROM pc)",
+        f"cells AS MATERIALIZED (SELECT customer_id, churned, unnest(range({len(CHURN_FEATURES)})) AS f, unnest([{names}]) AS v FROM member)",
+        f"""edges AS MATERIALIZED (SELECT f, v, row_number() OVER (PARTITION BY f ORDER BY v) - 1 AS cut FROM (
+              SELECT DISTINCT f, v FROM (
+                SELECT f, v, row_number() OVER (PARTITION BY f ORDER BY v) AS r, count(*) OVER (PARTITION BY f) AS n FROM cells WHERE v IS NOT NULL)
+              JOIN range(1, {W.BINS}) i(i) ON r = CAST(ceil(i * n / CAST({W.BINS} AS DOUBLE)) AS BIGINT)))""",
+        """bins AS MATERIALIZED (SELECT customer_id, c.f, count(cut) AS bin FROM cells c LEFT JOIN edges e ON e.f = c.f AND e.v < c.v GROUP BY ALL)""",
+        "m0 AS MATERIALIZED (SELECT customer_id, churned, CAST(0 AS DOUBLE) AS m FROM pc)",
+    ]
+    for t in range(rounds):
+        out.append(f"""g{t} AS MATERIALIZED (SELECT customer_id, 1 / (1 + exp(-m)) - churned AS g, 1 / (1 + exp(-m)) * (1 - 1 / (1 + exp(-m))) AS h FROM m{t})""")
+        out.append(f"a{t}_0 AS MATERIALIZED (SELECT customer_id, 1 AS node FROM m{t})")
+        for d in range(depth):
+            out.append(f"""t{t}_{d} AS MATERIALIZED (SELECT node, sum(g) AS g, sum(h) AS h FROM a{t}_{d} JOIN g{t} USING (customer_id) WHERE node >= {2**d} GROUP BY node)""")
+            out.append(f"""c{t}_{d} AS MATERIALIZED (SELECT node, e.f, e.cut, e.v, sum(x.g) AS gl, sum(x.h) AS hl FROM edges e JOIN (
+                  SELECT node, f, bin, sum(g) AS g, sum(h) AS h FROM a{t}_{d} JOIN g{t} USING (customer_id) JOIN bins USING (customer_id)
+                  WHERE node >= {2**d} GROUP BY ALL) x ON x.f = e.f AND x.bin <= e.cut GROUP BY ALL)""")
+            out.append(f"""s{t}_{d} AS MATERIALIZED (SELECT * FROM (
+                  SELECT node, f, cut, v, 0.5::DOUBLE * (gl * gl / (hl + 1) + (g - gl) * (g - gl) / (h - hl + 1) - g * g / (h + 1)) AS gain
+                  FROM c{t}_{d} JOIN t{t}_{d} USING (node) WHERE hl >= 1 AND h - hl >= 1) WHERE gain > 1e-9
+                QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(gain, 8) DESC, f, cut) = 1)""")
+            out.append(f"""a{t}_{d + 1} AS MATERIALIZED (SELECT a.customer_id, CASE WHEN s.node IS NULL THEN a.node WHEN bin <= cut THEN 2 * a.node ELSE 2 * a.node + 1 END AS node
+                FROM a{t}_{d} a LEFT JOIN s{t}_{d} s ON s.node = a.node LEFT JOIN bins b ON b.customer_id = a.customer_id AND b.f = s.f)""")
+        splits = " UNION ALL ".join(f"SELECT * FROM s{t}_{d}" for d in range(depth))
+        out.append(f"""n{t} AS MATERIALIZED (SELECT node, sum(g) AS g, sum(h) AS h FROM (
+              SELECT DISTINCT customer_id, node FROM ({" UNION ALL ".join(f"SELECT * FROM a{t}_{d}" for d in range(depth + 1))})) JOIN g{t} USING (customer_id) GROUP BY node)""")
+        out.append(f"""tree{t} AS MATERIALIZED (SELECT {t} AS tree, n.node, f, v AS threshold, gain, h AS cover, CASE WHEN f IS NULL THEN -{step} * g / (h + 1) END AS value
+              FROM n{t} n LEFT JOIN ({splits}) s ON s.node = n.node)""")
+        out.append(f"""m{t + 1} AS MATERIALIZED (SELECT customer_id, churned, m + value AS m FROM m{t} JOIN a{t}_{depth} USING (customer_id) JOIN tree{t} USING (node))""")
+    return [*out, "trees AS (" + " UNION ALL ".join(f"SELECT * FROM tree{t}" for t in range(rounds)) + ")"]
+
+
+NAMED_SQL = "CASE f " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(CHURN_FEATURES)) + " END"
+FIRST_ROUNDS = W.Settings(rounds=2, rows=1.0, columns=1.0)
+
+
+@query(
+    "gbt_newton_rounds",
+    with_views(
+        f"""SELECT tree, CAST(node AS INTEGER) AS node, {NAMED_SQL} AS feature, round(threshold, 6) AS threshold, CAST(CASE WHEN f IS NOT NULL THEN 2 * node END AS INTEGER) AS left_node,
+                   CAST(CASE WHEN f IS NOT NULL THEN 2 * node + 1 END AS INTEGER) AS right_node, round(coalesce(gain, 0), 6) AS gain, round(cover, 6) AS cover,
+                   round(value, 6) + 0 AS value FROM trees""",
+        PC,
+        *_newton_sql(2, 4, 0.05),
+    ),
+)
+def gbt_newton_rounds(spark, folder):
+    """Node table of the first two trees of second order, fitted to all customers with draws off."""
+    trees = W.fit_newton(_labelled(spark, folder), settings=FIRST_ROUNDS)
+    table = trees.node_table(spark).withColumnsRenamed({"left": "left_node", "right": "right_node"})
+    return rounded(table).withColumn("value", F.col("value") + F.lit(0.0))  # no negative zero
+
+
+@query(
+    "gbt_newton_gain",
+    with_views(
+        f"""SELECT feature, round(coalesce(sum(gain), 0) / (SELECT sum(gain) FROM trees), 6) AS importance
+            FROM (SELECT unnest([{", ".join(f"'{c}'" for c in CHURN_FEATURES)}]) AS feature) LEFT JOIN (SELECT {NAMED_SQL} AS feature, gain FROM trees) USING (feature)
+            GROUP BY feature""",
+        PC,
+        *_newton_sql(2, 4, 0.05),
+    ),
+)
+def gbt_newton_gain(spark, folder):
+    """Importances by gain, as shares of all gains of the first two trees."""
+    return rounded(W.fit_newton(_labelled(spark, folder), settings=FIRST_ROUNDS).importances(spark))
+
+
+@query("gbt_newton")
+def gbt_newton(spark, folder):
+    """300 trees of second order on balanced train rows, rows and columns drawn per tree; scores for every customer."""
+    rows, balanced = C.training_rows(_labelled(spark, folder))
+    return C.score_customers(W.fit_newton(balanced), rows)
+
+
 @query(
     "batch_score",
     with_views("SELECT customer_id, churn_score, churn_predicted, risk_tier FROM ps", PS),

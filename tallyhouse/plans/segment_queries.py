@@ -136,7 +136,7 @@ def _axis_sql(cov: str, n: int) -> list[str]:
         *steps,
         f"w{n}_raw AS MATERIALIZED (SELECT i, v FROM {last} WHERE j = (SELECT j FROM {last} WHERE i = j ORDER BY v DESC LIMIT 1))",
         f"""w{n} AS MATERIALIZED (SELECT i, v / (SELECT sqrt(sum(v * v)) FROM w{n}_raw)
-            * (SELECT sign(v) FROM w{n}_raw ORDER BY abs(v) DESC LIMIT 1) AS v FROM w{n}_raw)""",
+            * (SELECT sign(v) FROM w{n}_raw WHERE abs(v) >= (SELECT max(abs(v)) FROM w{n}_raw) * (1 - 1e-6) ORDER BY i LIMIT 1) AS v FROM w{n}_raw)""",
         f"lambda{n} AS MATERIALIZED (SELECT sum(a.v * c.v * b.v) AS v FROM {cov} c JOIN w{n} a ON a.i = c.i JOIN w{n} b ON b.i = c.j)",
     ]
 

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import random
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tallyhouse.operators import classify as C, evaluate as E, neighbors as N, sampling, segments as G
+from tallyhouse.operators import classify as C, evaluate as E, neighbors as N, newton as W, sampling, segments as G
 
 
 def brute_neighbors(pdf, features, k):
@@ -225,3 +227,62 @@ def test_metrics_without_positives(spark):
     report = {r["class"]: r for r in E.class_report(df, "y", "p").collect()}
     assert report["0"].f1 == 1.0 and report["1"].support == 0 and report["macro avg"].f1 == 0.5
     assert [tuple(r) for r in E.confusion_matrix(df, "y", "p").collect()] == [(0, 2, 0), (1, 0, 0)]
+
+
+def test_axis_signs_do_not_depend_on_partitions(spark):
+    """Two opposite columns load one axis equally: the first of them is positive, however the rows are dealt."""
+    draw = random.Random(3)
+    rows = [(i, x := draw.random(), 10.0 * (1 - x), draw.random()) for i in range(300)]
+    frame = spark.createDataFrame(rows, "id int, a double, b double, c double")
+    seen = set()
+    for parts in (1, 2, 8, 34):
+        got = G.principal_axes(frame.repartition(parts), "id", ["a", "b", "c"]).orderBy("id").collect()
+        seen.add(tuple(round(r.pca_1, 6) for r in got))
+    assert len(seen) == 1
+    first = min(rows, key=lambda r: r[1])[0]
+    assert next(iter(seen))[first] < 0
+
+
+def planted(spark, n=600):
+    draw = random.Random(11)
+    rows = []
+    for i in range(n):
+        a, b, c = draw.random(), draw.randrange(5), draw.random() if i % 9 else None
+        rows.append((str(i), a, b, c, int((a > 0.6) != (b >= 3)) if draw.random() < 0.95 else 1))
+    return spark.createDataFrame(rows, "customer_id string, a double, b int, c double, churned int")
+
+
+def test_newton_trees_learn_and_rescore(spark):
+    frame, few = planted(spark), ["a", "b", "c"]
+    losses = []
+    for rounds in (1, 20, 60):
+        model = W.fit_newton(frame.repartition(3), few, settings=W.Settings(rounds=rounds, step=0.3))
+        scored = model.score(frame)
+        losses.append(scored.agg(W.log_loss(scored)).first()[0])
+    share = frame.agg(F.avg("churned")).first()[0]
+    assert -share * np.log(share) - (1 - share) * np.log(1 - share) > losses[0] > losses[1] > losses[2]
+    table = model.node_table(spark)
+    again = {r.customer_id: r.raw_score for r in W.margin_from_table(frame, table).collect()}
+    assert all(abs(again[r.customer_id] - r.raw_score) < 1e-9 for r in scored.collect()) and len(again) == 600
+    gains = {r.feature: r.importance for r in model.importances(spark).collect()}
+    total = table.agg(F.sum("gain")).first()[0]
+    assert gains["a"] == pytest.approx(table.where("feature = 'a'").agg(F.sum("gain")).first()[0] / total)
+    assert sum(gains.values()) == pytest.approx(1) and gains["a"] > gains["c"]
+
+
+def test_newton_draws_do_not_depend_on_partitions(spark, monkeypatch):
+    frame, s = planted(spark, 300), W.Settings(rounds=4)
+    one = W.fit_newton(frame.repartition(1), ["a", "b", "c"], settings=s).rows()
+    monkeypatch.setattr(W, "ROWS_PER_TASK", 50)
+    many = W.fit_newton(frame.repartition(7), ["a", "b", "c"], settings=s).rows()
+    assert [r[:4] for r in one] == [r[:4] for r in many]
+    marks = np.arange(20_000, dtype=np.int64) * 7919
+    assert abs(W.drawn_rows(marks, 3, 0.8, 42).mean() - 0.8) < 0.02
+    assert (W.drawn_rows(marks, 3, 0.8, 42) != W.drawn_rows(marks, 4, 0.8, 42)).any()
+
+
+def test_newton_on_one_class_and_no_rows(spark):
+    frame = planted(spark, 50).withColumn("churned", F.lit(0))
+    assert W.fit_newton(frame, ["a"], settings=W.Settings(rounds=3)).score(frame).agg(F.max("raw_score")).first()[0] < 0.5
+    none = W.fit_newton(frame.limit(0), ["a"])
+    assert none.trees == [] and {r.raw_score for r in none.score(frame).collect()} == {0.5}
