@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -234,11 +236,15 @@ def find_disguised(text: str, plain: list[Span]) -> list[Span]:
             mapped.rewrite(pattern, write)
     if mapped.text == text:
         return []
+    # plain spans of a kind do not overlap, so only the last one that starts at or before a span may hold it
+    firsts = {kind: sorted((s, e) for k, s, e in plain if k == kind) for kind in KINDS}
     found = []
     for kind, a, b in find_plain(mapped.text):
         start, end = int(mapped.starts[a]), int(mapped.ends[b - 1])
-        if text[start:end] != mapped.text[a:b] and not any(k == kind and s <= start and end <= e for k, s, e in plain):
-            found.append((kind, start, end))
+        if text[start:end] != mapped.text[a:b]:
+            before = bisect_right(firsts[kind], (start, math.inf))
+            if not before or firsts[kind][before - 1][1] < end:
+                found.append((kind, start, end))
     return found
 
 

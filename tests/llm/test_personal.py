@@ -3,9 +3,11 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 import pytest
 
+from tallyhouse.llm import personal
 from tallyhouse.llm.personal import find_disguised, find_personal, find_plain, op3_personal_data
 
 
@@ -102,3 +104,12 @@ def test_disguised_spans_are_whole(text, base, whole):
 @pytest.mark.parametrize("text", ["look at example.com or at b.org", "jоin a@b.co today", "one at a.b.c at d dot"])
 def test_at_before_a_plain_dot_is_prose(text):
     assert find_disguised(text, find_plain(text)) == []
+
+
+def test_time_grows_with_the_text():
+    text = "a@b.co and x at y dot com, " * 80_000
+    began = time.time()
+    plain = personal.find_plain(text)
+    found = personal.find_disguised(text, plain)
+    assert len(found) == 80_000 and len(plain) >= 80_000
+    assert time.time() - began < 60
