@@ -425,6 +425,7 @@ def near_components(
     met = searched.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_met, f"a bigint, b bigint, hot boolean, {text}")
     with watched_tables() as left:
         found = stored(met, "found")
+        release(spark, [])
         described = stored(found.where("text is not null").select("text.*").withColumnRenamed("id", "_id"), "described")
         full = described.where("n > 0")
         classes = full.groupBy("key").agg(F.min("_id").alias("_rep"), F.first("n").alias("n"))
@@ -469,22 +470,29 @@ def _links(rows: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, pe
     meet all classes of the group; the rest of it is not multiplied with itself. All pairs that share a key are in one
     component or have been compared.
     """
+    spark = rows.sparkSession
     groups = stored(_groups(pairs), "groups")
     named = groups.join(classes.select(F.col("_handle").alias("h"), "key", "_rep").hint("merge"), "h").select("g", "h", "key", "_rep")
     members = stored(named, "members")
     wanted = members.select(F.col("_rep").alias("_r"), F.col("key").alias("_wanted")).distinct().hint("merge")
     # merge joins at every size: what is joined to the texts grows with them
     texts = rows.join(wanted, F.col("_id").eqNullSafe(F.col("_r"))).select("_text", "_wanted")
-    sets = stored(texts.mapInArrow(_sets(words), "key binary, grams binary").dropDuplicates(["key"]), "sets")
+    # rows that agree in id and set come more than once; the product takes them as one
+    sets = stored(texts.mapInArrow(_sets(words), "key binary, grams binary"), "sets")
+    release(spark, [])
 
     first = members.groupBy("key").agg(F.min("g").alias("g"))
-    near = stored(_product(_tiles(first, members.where("g = h").select("g", "key")), sets, percent), "near")
+    once = stored(_tiles(first, members.where("g = h").select("g", "key")), "once")
+    near = stored(_product(once, sets, percent), "near")
+    release(spark, [])
+    members = members.join(_compared(once, members).hint("merge"), "g", "left_anti")
     placed, open_ = _open_groups(members, near)
     degree = near.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("links"))
     at_hand = placed.join(open_.select("g").hint("merge"), "g").select("g", "key")
     hubs = at_hand.join(degree.hint("merge"), "key").groupBy("g").agg(F.max(F.struct("links", "key")).alias("hub")).select("g", "hub.key")
     at_hand = at_hand.groupBy("key").agg(F.min("g").alias("g"))
     near = stored(near.unionByName(_product(_tiles(at_hand, hubs), sets, percent)), "near")
+    release(spark, [])
     placed, open_ = _open_groups(members, near)
     number = lambda c: F.ceil(c / TILE).cast("int")
     open_ = stored(open_.select("g", number(F.col("all")).alias("tiles"), number(F.col("all") - F.col("top.n")).alias("loose"), F.col("top.root").alias("main")), "open")
@@ -513,7 +521,14 @@ def _tiles(members: DataFrame, heads: DataFrame) -> DataFrame:
     dealt = members.join(sizes.hint("merge"), "g").select("key", "g", _tile().alias("i"))
     tiles = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("i")
     once = dealt.unionByName(heads.join(sizes.hint("merge"), "g").select("key", "g", tiles)).distinct()
-    return once.select("key", F.concat_ws(":", "g", "i").alias("block"), F.lit(-1).alias("side"))
+    return once.select("key", "g", F.concat_ws(":", "g", "i").alias("block"), F.lit(-1).alias("side"))
+
+
+def _compared(once: DataFrame, members: DataFrame) -> DataFrame:
+    """Groups (``g``) that lay in one tile as a whole, so that all their pairs have been compared."""
+    dealt = once.groupBy("g").agg(F.count(F.lit(1)).alias("met"), F.count_distinct("block").alias("tiles"))
+    sizes = members.groupBy("g").agg(F.count(F.lit(1)).alias("all"))
+    return dealt.join(sizes.hint("merge"), "g").where("tiles = 1 and met = all").select("g")
 
 
 def _open_groups(members: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
