@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyhouse.config import stored
+from tallyhouse.config import drop_tables, paths_of, release, stored
 from tallyhouse.llm.common import ranges_for, with_starts
 from tallyhouse.plans.registry import query
 from tallyhouse.sources.tables import table
@@ -12,11 +12,12 @@ from tallyhouse.sources.tables import table
 # Cells of a sketch, in three parts; a digest lies in one cell of each part.
 PART = 12
 CELLS = 3 * PART
-ROUNDS = 8
+# Smallest digests of each side by which the size of a difference is estimated; cells per part for each differing
+# digest, and in addition.
+LEAST = 16
+ROOM, SPARE = 0.55, 4
 # A line longer than this is cut at the ends of its sentences: every line.
 LONG_LINE = 0
-# Sketches that a difference too large for one is dealt over: at first, and where that fails again.
-CHILDREN, MORE_CHILDREN = 4, 16
 
 CELL = "struct<c:bigint,k:bigint,h:bigint>"
 EMPTY = f"cast(named_struct('c', 0, 'k', 0, 'h', 0) as {CELL})"
@@ -58,47 +59,6 @@ def sketch(digests: str) -> Column:
     return F.expr(f"transform(array(named_struct('items', {_items(digests)})), x -> concat({parts}))[0]")
 
 
-def difference(left: Column, right: Column) -> Column:
-    """Cells of one sketch minus those of another: what both hold cancels out."""
-    return F.zip_with(
-        left,
-        right,
-        lambda a, b: F.struct(
-            (a["c"] - b["c"]).alias("c"), a["k"].bitwiseXOR(b["k"]).alias("k"), a["h"].bitwiseXOR(b["h"]).alias("h")
-        ),
-    )
-
-
-def peel(cells: str) -> Column:
-    """The digests on one side only, from a difference of sketches: array of (k, g), or null if some stay hidden.
-
-    A cell with a single digest, told by its check and its place, gives it away; taking it
-    out of its other cells uncovers more. Steps alternate between finding and taking out.
-    """
-    item = "struct<k:bigint,h:bigint,g:bigint,p0:bigint,p1:bigint,p2:bigint>"
-    single = (
-        f"abs(c.c) = 1 and c.h = {_check('c.k')} and i = "
-        f"case i div {PART} when 0 then {_place('c.k', 0)} when 1 then {_place('c.k', 1)} else {_place('c.k', 2)} end"
-    )
-    seen = f"named_struct('k', c.k, 'h', c.h, 'g', c.c, 'p0', {_place('c.k', 0)}, 'p1', {_place('c.k', 1)}, 'p2', {_place('c.k', 2)})"
-    found = (
-        f"array_distinct(filter(transform(s.cells, (c, i) -> if({single}, cast({seen} as {item}), cast(null as {item}))), v -> v is not null))"
-    )
-    hit = "e.p0 = i or e.p1 = i or e.p2 = i"
-    taken = f"cast(named_struct('c', a.c - e.g, 'k', a.k ^ e.k, 'h', a.h ^ e.h) as {CELL})"
-    removed = f"transform(s.cells, (c, i) -> aggregate(s.found, c, (a, e) -> if({hit}, {taken}, a)))"
-    state = f"struct<cells:array<{CELL}>,found:array<{item}>,known:array<{item}>>"
-    start = f"cast(named_struct('cells', {cells}, 'found', array(), 'known', array()) as {state})"
-    look = f"named_struct('cells', s.cells, 'found', {found}, 'known', s.known)"
-    take = f"named_struct('cells', {removed}, 'found', cast(array() as array<{item}>), 'known', concat(s.known, s.found))"
-    done = "exists(s.cells, c -> c.c <> 0 or c.k <> 0 or c.h <> 0)"
-    step = f"if(r % 2 = 1, if({done}, {look}, s), if(size(s.found) = 0, s, {take}))"
-    return F.expr(
-        f"aggregate(sequence(1, {2 * ROUNDS}), {start}, (s, r) -> cast({step} as {state}), "
-        f"s -> if({done}, null, transform(s.known, e -> named_struct('k', e.k, 'g', e.g))))"
-    )
-
-
 def written(cells: Column) -> Column:
     """A sketch as text: per cell 4, 16 and 8 hexadecimal digits of count, digests and checks."""
     return F.array_join(
@@ -112,56 +72,108 @@ def written(cells: Column) -> Column:
     )
 
 
+def estimated_difference(a: str, b: str) -> Column:
+    """About how many digests one side holds alone, from the ``LEAST`` smallest of both sides."""
+    least = "slice(array_sort({}), 1, " + str(LEAST) + ")"
+    low = f"named_struct('a', {least.format(a)}, 'b', {least.format(b)})"
+    both = f"transform(array({low}), s -> named_struct('all', {least.format('array_union(s.a, s.b)')}, 'both', array_intersect(s.a, s.b)))[0]"
+    share = f"transform(array({both}), s -> try_divide(size(array_intersect(s.all, s.both)), size(s.all)))[0]"
+    return F.expr(f"transform(array(coalesce({share}, 1D)), j -> cast(ceil((size({a}) + size({b})) * (1 - j) / (1 + j)) as int))[0]")
+
+
+def _places(digest: Column, width: Column) -> list[Column]:
+    """The cells of a digest in a sketch of three parts of ``width`` cells."""
+    return [(F.pmod(F.xxhash64(digest, F.lit(p), width), width) + width * p).cast("int") for p in range(3)]
+
+
+def _check_of(digest: Column) -> Column:
+    return F.xxhash64(digest, F.lit("check"))
+
+
+def _folded(rows: DataFrame) -> DataFrame:
+    """Cells (``_no``, ``_m``, ``cell``) summed up; those that nothing is left in are gone."""
+    cells = rows.groupBy("_no", "_m", "cell").agg(F.sum("c").alias("c"), F.bit_xor("k").alias("k"), F.bit_xor("h").alias("h"))
+    return cells.where("c <> 0 or k <> 0 or h <> 0")
+
+
+def _dealt(digests: DataFrame) -> DataFrame:
+    """Each digest (``k``, counted ``c`` times) in its three cells."""
+    places = F.explode(F.array(*_places(F.col("k"), F.col("_m")))).alias("cell")
+    return digests.withColumn("h", _check_of(F.col("k"))).select("_no", "_m", places, "c", "k", "h")
+
+
+def peeled(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Peel the difference of two sketches per row of ``_no``, ``_m`` (cells of a part), ``_a`` and ``_b``.
+
+    Returns the digests found (``_no``, ``k``, and ``c``: 1 on the left, -1 on the right) and
+    the rows (``_no``) whose sketch was too small. A cell with a single digest, told by its check
+    and its place, gives it away; taking it out of its other cells uncovers more. A round is one
+    aggregate over the cells that are left, which lie together by row.
+    """
+    spark = sets.sparkSession
+    side = "transform({}, d -> named_struct('k', d, 'c', {}L))"
+    signed = F.explode(F.expr(f"concat({side.format('_a', 1)}, {side.format('_b', -1)})")).alias("_d")
+    # both sketches are linear: cells of the left count up, those of the right down, and equal digests cancel out
+    digests = sets.repartition("_no").select("_no", "_m", signed).select("_no", "_m", "_d.k", "_d.c")
+    cells, found = stored(_folded(_dealt(digests)), "cells"), []
+    while True:
+        at_place = F.array_contains(F.array(*_places(F.col("k"), F.col("_m"))), F.col("cell"))
+        single = cells.where((F.abs("c") == 1) & (F.col("h") == _check_of(F.col("k"))) & at_place).select("_no", "_m", "k", "c")
+        # a digest may be alone in two of its cells
+        single = stored(single.groupBy("_no", "_m", "k").agg(F.max("c").alias("c")), "single")
+        if single.isEmpty():
+            break
+        found.append(single.select("_no", "k", "c"))
+        taken = _dealt(single).withColumn("c", -F.col("c"))
+        after = stored(_folded(cells.unionByName(taken)), "cells")
+        drop_tables(spark, paths_of(cells))
+        cells = after
+    whole = found[0] if found else single.select("_no", "k", "c")
+    for more in found[1:]:
+        whole = whole.unionByName(more)
+    return whole, cells.select("_no").distinct()
+
+
+def changed_digests(sets: DataFrame) -> DataFrame:
+    """``_no``, ``only_left`` and ``only_right`` from ``_no`` (a key), ``_a`` and ``_b``; rows without a difference are left out.
+
+    The first sketch of a row is as large as an estimate of its difference asks for. Where it is too small all the same, the
+    row is sketched again in twice the cells, until all have given way.
+    """
+    size = F.ceil(estimated_difference("_a", "_b") * ROOM).cast("int") + SPARE
+    left = stored(sets.where("size(_a) + size(_b) > 0").withColumn("_m", size), "sets")
+    parts = []
+    while True:
+        found, failed = peeled(left)
+        failed = stored(failed, "failed")
+        parts.append(found.join(failed.hint("merge"), "_no", "left_anti"))
+        if failed.isEmpty():
+            break
+        left = stored(left.join(failed.hint("merge"), "_no").withColumn("_m", F.col("_m") * 2), "sets")
+    whole = parts[0]
+    for more in parts[1:]:
+        whole = whole.unionByName(more)
+    sides = [F.array_sort(F.collect_list(F.when(F.col("c") == s, F.col("k")))).alias(n) for s, n in ((1, "only_left"), (-1, "only_right"))]
+    return whole.groupBy("_no").agg(*sides)
+
+
 def paragraph_changes(pairs: DataFrame, left: str, right: str) -> DataFrame:
     """Add ``only_left`` and ``only_right``: the digests that one of two digest arrays holds alone.
 
-    The sketches of both sides are subtracted and peeled. Where a sketch is too small for
-    the difference, the digests are dealt by further bits of their hash over more sketches
-    of the same size, in passes until all have given way, so a very long document costs
-    in proportion to its paragraphs. Arrays hold distinct digests; null counts as
-    empty. Rows keep their columns; columns of the two names are replaced. An empty table
-    gives an empty table.
+    Found from sketches alone (see ``changed_digests``): what both sides hold cancels out. Arrays hold
+    distinct digests; null counts as empty. Rows keep their columns; columns of the two names are
+    replaced. An empty table gives an empty table.
     """
     names = [c for c in pairs.columns if c not in ("only_left", "only_right")]
-    digests = "cast({} as array<bigint>)"
+    none = F.expr("cast(array() as array<bigint>)")
     rows = pairs.select(
-        F.struct(*names).alias("_row"),
-        F.coalesce(F.col(left), F.expr(digests.format("array()"))).alias("_a"),
-        F.coalesce(F.col(right), F.expr(digests.format("array()"))).alias("_b"),
-    )
-    first = stored(_peeled(rows).withColumn("_no", F.monotonically_increasing_id()), "peeled")
-    failed, depth, parts = first.where("_found is null").select("_no", "_a", "_b"), 0, []
-    while not failed.isEmpty():
-        number = MORE_CHILDREN if depth else CHILDREN
-
-        def share(side: str, depth: int = depth, number: int = number) -> str:
-            return f"filter({side}, d -> pmod(xxhash64(d, 'deal', {depth}), {number}) = child)"
-
-        children = failed.select("_no", "_a", "_b", F.explode(F.sequence(F.lit(0), F.lit(number - 1))).alias("child"))
-        split = children.select("_no", F.expr(share("_a")).alias("_a"), F.expr(share("_b")).alias("_b"))
-        split = split.where(F.size("_a") + F.size("_b") > 0)
-        level = stored(_peeled(split), "peeled")
-        parts.append(level.where("_found is not null").select("_no", F.explode("_found").alias("_e")))
-        failed, depth = level.where("_found is null").select("_no", "_a", "_b"), depth + 1
-    whole = first.where("_found is not null").select("_row", "_found")
-    if parts:
-        rest = parts[0]
-        for p in parts[1:]:
-            rest = rest.unionByName(p)
-        rest = rest.groupBy("_no").agg(F.collect_list("_e").alias("_found"))
-        late = first.where("_found is null").select("_row", "_no").join(rest, "_no", "left")
-        none = F.expr("cast(array() as array<struct<k:bigint,g:bigint>>)")
-        whole = whole.unionByName(late.select("_row", F.coalesce("_found", none).alias("_found")))
-    side = "array_sort(transform(filter(_found, e -> e.g = {}), e -> e.k))"
-    return whole.select("_row.*", F.expr(side.format(1)).alias("only_left"), F.expr(side.format(-1)).alias("only_right"))
-
-
-def _peeled(rows: DataFrame) -> DataFrame:
-    """Add ``_found``; the digests themselves stay only where peeling failed."""
-    cells = rows.withColumns({"_sa": sketch("_a"), "_sb": sketch("_b")}).withColumn("_cells", difference(F.col("_sa"), F.col("_sb")))
-    found = cells.withColumn("_found", peel("_cells")).drop("_sa", "_sb", "_cells")
-    lost = F.col("_found").isNull()
-    return found.withColumns({"_a": F.when(lost, F.col("_a")), "_b": F.when(lost, F.col("_b"))})
+        F.struct(*names).alias("_row"), F.coalesce(F.col(left), none).alias("_a"), F.coalesce(F.col(right), none).alias("_b"),
+        F.monotonically_increasing_id().alias("_no"),
+    )
+    rows = stored(rows, "pairs")
+    changes = changed_digests(rows.select("_no", "_a", "_b"))
+    out = rows.join(changes.hint("merge"), "_no", "left")
+    return out.select("_row.*", *[F.coalesce(c, none).alias(c) for c in ("only_left", "only_right")])
 
 
 def likeness(left: Column, right: Column, only_left: Column, only_right: Column) -> Column:
@@ -181,29 +193,32 @@ def fingerprint(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def with_next_edited(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``next_id``, ``text`` and ``edited``: the last third replaced by the front of the next document.
+    """``rank``, ``next_rank``, ``doc_id``, ``text`` and ``edited``: the last third replaced by the front of the next document.
 
-    Documents follow each other by falling ``doc_id``, which is taken to be a key. Texts are
-    shuffled once, by id; only the front that the predecessor needs moves a second time.
+    Documents follow each other by falling ``doc_id``, null last; those of one id by falling hash of the text. Rows that
+    agree in id and text are one document (one ``rank``) in that order, and each of them is returned.
+    Texts are shuffled once, by id; only the front that the predecessor needs moves a second time.
     """
-    size = F.char_length(F.coalesce("text", F.lit("")))
-    ids = stored(docs.where("doc_id is not null").select("doc_id", F.floor(size / 3).cast("int").alias("k")), "ids")
-    ranked = stored(with_starts(ids, [F.col("doc_id")], {"rank": F.lit(1)}, ranges_for(ids)), "ranked")
+    text = F.coalesce("text", F.lit(""))
+    docs = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("_h"))
+    ids = docs.groupBy("doc_id", "_h").agg(F.floor(F.max(F.char_length("text")) / 3).cast("int").alias("k"))
+    ids = stored(ids, "ids")
+    ranked = stored(with_starts(ids, [F.col("doc_id"), F.col("_h")], {"rank": F.lit(1)}, ranges_for(ids)), "ranked")
     last = ranked.agg(F.max("rank")).first()[0] or 0
     before = ranked.select(
         F.when(F.col("rank") == 0, F.lit(last)).otherwise(F.col("rank") - 1).alias("rank"),
-        F.col("doc_id").alias("_for"),
+        F.col("rank").alias("_for"),
         F.col("k").alias("_give"),
     )
-    given = stored(ranked.select("doc_id", "rank").join(before, "rank").select("doc_id", "_for", "_give"), "given")
-    both = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(given.hint("merge"), "doc_id")
-    fronts = both.select(
-        F.col("_for"), F.col("doc_id").alias("next_id"), F.expr("substring(text, 1, _give)").alias("front")
-    )
-    whole = both.select(F.col("doc_id").alias("_whole"), "text")
-    joined = whole.join(fronts.hint("merge"), F.col("_whole") == F.col("_for"))
+    known = [F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_none"), "_h"]
+    given = stored(ranked.join(before, "rank").select(*known, "rank", "_for", "_give"), "given")
+    both = docs.select("doc_id", "text", *known).join(given.hint("merge"), ["_id", "_none", "_h"])
+    fronts = both.select(F.col("_for"), F.col("rank").alias("next_rank"), F.expr("substring(text, 1, _give)").alias("front"))
+    fronts = fronts.dropDuplicates(["_for"])
+    whole = both.select("rank", "doc_id", "text")
+    joined = whole.join(fronts.hint("merge"), F.col("rank") == F.col("_for"))
     kept = F.expr("substring(text, 1, char_length(text) - cast(floor(char_length(text) / 3) as int))")
-    return joined.select(F.col("_whole").alias("doc_id"), "next_id", "text", F.concat(kept, F.col("front")).alias("edited"))
+    return joined.select("rank", "next_rank", "doc_id", "text", F.concat(kept, F.col("front")).alias("edited"))
 
 
 @query("op4_fingerprints")
@@ -211,8 +226,9 @@ def op4_fingerprints(spark, folder):
     versions = with_next_edited(table(spark, folder, "documents", "doc_id", "text"))
     rows = stored(
         versions.select(
+            "rank",
+            "next_rank",
             "doc_id",
-            "next_id",
             F.char_length("text").cast("bigint").alias("n_chars"),
             F.sha2("edited", 256).alias("edited_sha256"),
             paragraph_digests(F.col("text")).alias("own"),
@@ -220,17 +236,21 @@ def op4_fingerprints(spark, folder):
         ),
         "versions",
     )
-    following = rows.select(F.col("doc_id").alias("next_id"), F.col("own").alias("other"))
-    pairs = rows.select("doc_id", F.lit("edited").alias("kind"), "own", "other").unionByName(
-        rows.select("doc_id", "next_id", "own").join(following, "next_id").select("doc_id", F.lit("next").alias("kind"), "own", "other")
-    )
-    changes = paragraph_changes(pairs, "own", "other").select(
-        "doc_id", "kind", likeness(F.col("own"), F.col("other"), F.col("only_left"), F.col("only_right")).alias("near")
+    release(spark, [])
+    single = rows.select("rank", "next_rank", "own", "other").dropDuplicates(["rank"])
+    following = single.select(F.col("rank").alias("next_rank"), F.col("own").alias("_b"))
+    sets = single.select((F.col("rank") * 2).alias("_no"), F.col("own").alias("_a"), F.col("other").alias("_b")).unionByName(
+        single.select("rank", "next_rank", "own").join(following.hint("merge"), "next_rank").select((F.col("rank") * 2 + 1).alias("_no"), F.col("own").alias("_a"), "_b")
     )
-    near = changes.groupBy("doc_id").agg(
-        *[F.max(F.when(F.col("kind") == k, F.col("near"))).alias(f"near_{k}") for k in ("edited", "next")]
+    sets = stored(sets, "sides")
+    apart = changed_digests(sets).select("_no", F.size("only_left").alias("l"), F.size("only_right").alias("r"))
+    total = F.size("_a") + F.size("_b")
+    apart = sets.select("_no", total.alias("total")).join(apart.hint("merge"), "_no", "left").withColumn("apart", F.coalesce(F.col("l") + F.col("r"), F.lit(0)))
+    near = F.when(F.col("total") == 0, F.lit(1.0)).otherwise((F.col("total") - F.col("apart")) / (F.col("total") + F.col("apart")).cast("double"))
+    near = apart.select(F.floor(F.col("_no") / 2).alias("rank"), (F.col("_no") % 2).alias("kind"), near.alias("near")).groupBy("rank").agg(
+        *[F.max(F.when(F.col("kind") == i, F.col("near"))).alias(f"near_{k}") for i, k in enumerate(("edited", "next"))]
     )
-    return rows.join(near, "doc_id").select(
+    return rows.join(near.hint("merge"), "rank").select(
         "doc_id", "n_chars", "edited_sha256",
         written(sketch("own")).alias("fingerprint"), written(sketch("other")).alias("edited_fingerprint"),
         "near_edited", "near_next",

@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from tallyhouse.llm import fingerprints
 from tallyhouse.llm.fingerprints import LONG_LINE, fingerprint, op4_fingerprints, paragraph_changes, paragraph_digests
 
 
@@ -69,3 +70,27 @@ def test_short_lines_are_cut_at_sentences(spark):
         paragraph_digests(F.col("a")).alias("a"), paragraph_digests(F.col("b")).alias("b")
     ).collect()
     assert [(len(r.a), len(set(r.a) & set(r.b))) for r in rows] == [(6, 3), (13, 13)]
+
+
+def test_null_and_repeated_ids(spark, tmp_path):
+    texts = ["One is here. Two is there. Three goes.", "Four is left. Five goes on. Six ends."]
+    rows = [(5, texts[0]), (5, texts[0]), (5, texts[1]), (None, texts[1]), (None, None), (2, ""), (1, texts[0])]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = op4_fingerprints(spark, str(tmp_path)).collect()
+    assert sorted(str(r.doc_id) for r in got) == sorted(str(r[0]) for r in rows)
+    assert sorted(r.n_chars for r in got) == sorted(len(r[1] or "") for r in rows)
+    by_text = {}
+    for r in got:
+        by_text.setdefault(r.n_chars, set()).add(r.fingerprint)
+    assert all(len(x) == 1 for n, x in by_text.items() if n != len(texts[1]) or len(texts[0]) != len(texts[1]))
+    twice = [r for r in got if r.doc_id == 5 and r.n_chars == len(texts[0])]
+    assert len({tuple(r) for r in twice}) in (1, 2)
+
+
+def test_estimates_only_steer_the_first_size(spark, monkeypatch):
+    """A sketch that is far too small is made again, larger, until everything is found."""
+    monkeypatch.setattr(fingerprints, "ROOM", 0.0)
+    monkeypatch.setattr(fingerprints, "SPARE", 2)
+    pairs = spark.createDataFrame([(1, list(range(100)), list(range(90, 300)))], "id int, a array<bigint>, b array<bigint>")
+    row = paragraph_changes(pairs, "a", "b").first()
+    assert row.only_left == list(range(90)) and row.only_right == list(range(100, 300))
