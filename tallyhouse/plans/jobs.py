@@ -11,25 +11,33 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyhouse import schemas
-from tallyhouse.config import RunConfig, local_frame
+from tallyhouse.config import RunConfig, local_frame, stored
 from tallyhouse.functions import expressions as X
 from tallyhouse.labels import SEGMENT_FEATURES, SEGMENT_NAMES, TIER_NAMES, TIER_ORDER
 from tallyhouse.operators import classify as C, evaluate as E, quality as Q, reshape as R, risk as K, segments as G
-from tallyhouse.operators import warehouse as W
+from tallyhouse.operators import newton as N, warehouse as W
+from tallyhouse.operators.models import load_model, save_model
 from tallyhouse.operators.ranking import number_rows
-from tallyhouse.sources import sinks
+from tallyhouse.sources import sinks, versions
 from tallyhouse.sources.tables import require, scan_csv
 
 
+# Tables that are replaced whole while others read them.
+VERSIONED = ("customer_segments", "churn_scores")
+
+
 def read(spark: SparkSession, cfg: RunConfig, name: str) -> DataFrame:
     require(spark, cfg.table(name))
+    if name in VERSIONED:
+        return versions.current(spark, cfg.table(name), schemas.WAREHOUSE[name])
     return spark.read.schema(schemas.WAREHOUSE[name]).parquet(cfg.table(name))
 
 
 def create_warehouse(spark: SparkSession, cfg: RunConfig) -> None:
     """Replace every warehouse table by an empty one with its declared columns."""
     for name, schema in schemas.WAREHOUSE.items():
-        sinks.overwrite(local_frame(spark, [], schema), cfg.table(name))
+        write = versions.replace if name in VERSIONED else sinks.overwrite
+        write(local_frame(spark, [], schema), cfg.table(name))
 
 
 def _stored(spark: SparkSession, path: str) -> bool:
@@ -176,12 +184,12 @@ def segment_customers(spark: SparkSession, cfg: RunConfig, k: int = 4, restarts:
     clustered = G.assign_clusters(facts, SEGMENT_FEATURES, k, cfg.seed, restarts)
     codes = {r["cluster"]: r["segment"] for r in G.name_segments(G.cluster_means(clustered)).collect()}
     named = clustered.withColumn("segment", X.rename_values(F.col("cluster"), codes))
-    stored = named.select(
+    assigned = named.select(
         "customer_id",
         F.col("cluster").alias("cluster_id"),
         X.rename_values(F.col("segment"), SEGMENT_NAMES).alias("segment_name"),
     )
-    sinks.overwrite(stored, cfg.table("customer_segments"))
+    versions.replace(assigned, cfg.table("customer_segments"))
     kept = read(spark, cfg, "customer_segments")
     whole = facts.join(kept, "customer_id").join(loyalty, "loyalty_status_id")
     return G.segment_profile(whole, "segment_name")
@@ -191,16 +199,20 @@ def score_churn(
     spark: SparkSession, cfg: RunConfig, scorer: str = "boosted", rounds: int = 300
 ) -> DataFrame:
     """Fit both classifiers, store the scores and the model of one; returns the comparison."""
-    facts = W.training_table(
-        read(spark, cfg, "fact_customers"),
-        read(spark, cfg, "dim_loyalty_status"),
-        read(spark, cfg, "customer_segments"),
+    facts = stored(
+        W.training_table(
+            read(spark, cfg, "fact_customers"),
+            read(spark, cfg, "dim_loyalty_status"),
+            read(spark, cfg, "customer_segments"),
+        )
     )
     rows, balanced = C.training_rows(facts, seed=cfg.seed)
     fitted = {
         "logistic": C.fit_logistic(balanced),
         "boosted": C.fit_boosted(balanced, rounds=rounds, seed=cfg.seed),
     }
+    if scorer == "newton":
+        fitted["newton"] = N.fit_newton(balanced, settings=N.Settings(rounds=rounds, seed=cfg.seed))
     test = rows.where(F.col("split") == "test")
     metrics = [
         E.binary_metrics(c.score(test), "churned", "predicted", "raw_score", name) for name, c in fitted.items()
@@ -212,11 +224,17 @@ def score_churn(
         "churn_predicted",
         X.text_or(X.rename_values(F.col("risk_tier"), TIER_NAMES)).alias("risk_tier"),
     )
-    sinks.overwrite(scores, cfg.table("churn_scores"))
-    chosen.model.write().overwrite().save(cfg.table(f"model_{scorer}"))
+    versions.replace(scores, cfg.table("churn_scores"))
+    save_model(chosen, balanced, cfg.table(f"model_{scorer}"))
     return E.compare_models(metrics, "logistic", "boosted")
 
 
+def score_new(spark: SparkSession, cfg: RunConfig, customers: DataFrame, scorer: str = "boosted") -> DataFrame:
+    """Score customers with the model that an earlier run of ``score_churn`` stored, also in another session."""
+    model = load_model(spark, cfg.table(f"model_{scorer}"), customers)
+    return C.score_customers(model, customers).withColumn("risk_tier", X.text_or(X.rename_values(F.col("risk_tier"), TIER_NAMES)))
+
+
 def risk_reports(spark: SparkSession, cfg: RunConfig) -> dict[str, DataFrame]:
     """Reports over the master table, keyed by name; segments and tiers are codes."""
     master = W.master_table(

@@ -7,7 +7,7 @@ from pyspark.sql import Window, functions as F
 from tallyhouse.config import stored
 from tallyhouse.functions import expressions as X
 from tallyhouse.labels import SEGMENT_FEATURES, SEGMENT_NAMES, SEGMENT_ORDER
-from tallyhouse.operators import reshape as R, segments as G
+from tallyhouse.operators import reshape as R, segments as G, silhouettes
 from tallyhouse.plans.load_queries import PSEG, customer_table, scored_table, segmented
 from tallyhouse.plans.registry import query, rounded
 from tallyhouse.sources import proxies
@@ -122,6 +122,36 @@ def silhouette_sq(spark, folder):
     return rounded(G.silhouette(scaled, SEGMENT_FEATURES, "cluster"))
 
 
+def _euclid_sql(anchors: int) -> list[str]:
+    """Anchors of each cluster by hash, and their mean distances to every cluster."""
+    return [
+        f"z AS MATERIALIZED (SELECT customer_id, cluster, {Z_SQL} FROM ps)",
+        f"""drawn AS MATERIALIZED (SELECT * FROM z QUALIFY row_number() OVER (
+             PARTITION BY cluster ORDER BY CAST('0x' || substr(md5(customer_id || ':42'), 1, 13) AS BIGINT), customer_id)
+             <= greatest(1, {anchors} // (SELECT count(DISTINCT cluster) FROM z)))""",
+        f"""far AS MATERIALIZED (SELECT a.customer_id, a.cluster AS own, b.cluster AS other, count(*) AS n,
+             sum(sqrt({" + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in SEGMENT_FEATURES)})) AS far
+             FROM drawn a, z b GROUP BY ALL)""",
+        """each AS (SELECT customer_id, own, max(CASE WHEN own = other THEN far / (n - 1) END) AS a,
+             min(CASE WHEN own <> other THEN far / n END) AS b FROM far GROUP BY ALL)""",
+    ]
+
+
+@query(
+    "silhouette_exact",
+    with_views(
+        """SELECT own AS cluster, count(*) AS n, round(avg((b - a) / greatest(a, b)), 6) AS silhouette FROM each GROUP BY own""",
+        PS,
+        *_euclid_sql(200),
+    ),
+)
+def silhouette_exact(spark, folder):
+    """Euclidean silhouette of 200 anchors of the fixed clusters against all customers."""
+    frame = scored_table(spark, folder, "customer_id", "cluster", *SEGMENT_FEATURES)
+    scaled = G.apply_scaling(frame, G.fit_scaling(frame, SEGMENT_FEATURES))
+    return rounded(silhouettes.silhouette_exact(scaled, SEGMENT_FEATURES, "cluster", "customer_id", 200))
+
+
 def _axis_sql(cov: str, n: int) -> list[str]:
     """CTEs for the leading eigenpair of a covariance table: the matrix squared eleven times, then its column."""
     steps = [f"{cov}_0 AS (SELECT * FROM {cov})"]
