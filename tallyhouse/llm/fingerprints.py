@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyhouse.config import drop_tables, paths_of, release, stored
+from tallyhouse.config import drop_tables, paths_of, release, stored, watched_tables
 from tallyhouse.llm.common import ranges_for, with_starts
 from tallyhouse.plans.registry import query
 from tallyhouse.sources.tables import table
@@ -16,6 +19,8 @@ CELLS = 3 * PART
 # digest, and in addition.
 LEAST = 16
 ROOM, SPARE = 0.55, 4
+# Slices of the rows that are sketched and peeled one after the other.
+SLICES = 4
 # A line longer than this is cut at the ends of its sentences: every line.
 LONG_LINE = 0
 
@@ -87,7 +92,7 @@ def _places(digest: Column, width: Column) -> list[Column]:
 
 
 def _check_of(digest: Column) -> Column:
-    return F.xxhash64(digest, F.lit("check"))
+    return F.hash(digest, F.lit("check"))
 
 
 def _folded(rows: DataFrame) -> DataFrame:
@@ -128,18 +133,28 @@ def peeled(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
         after = stored(_folded(cells.unionByName(taken)), "cells")
         drop_tables(spark, paths_of(cells))
         cells = after
-    whole = found[0] if found else single.select("_no", "k", "c")
-    for more in found[1:]:
-        whole = whole.unionByName(more)
+    whole = reduce(DataFrame.unionByName, found or [single.select("_no", "k", "c")])
     return whole, cells.select("_no").distinct()
 
 
-def changed_digests(sets: DataFrame) -> DataFrame:
+def changed_digests(sets: DataFrame, what: Callable[[DataFrame], DataFrame] = lambda changes: changes) -> DataFrame:
     """``_no``, ``only_left`` and ``only_right`` from ``_no`` (a key), ``_a`` and ``_b``; rows without a difference are left out.
 
-    The first sketch of a row is as large as an estimate of its difference asks for. Where it is too small all the same, the
-    row is sketched again in twice the cells, until all have given way.
+    Rows are worked off in ``SLICES`` by a hash of their key, and of each slice only ``what`` is made of its changes is
+    stored, so the cells in the making are a part of the whole.
     """
+    parts = []
+    for i in range(SLICES):
+        with watched_tables() as made:
+            part = stored(what(_changed(sets.where(F.pmod(F.xxhash64("_no"), F.lit(SLICES)) == i))), "changes")
+        release(sets.sparkSession, set(made) - set(paths_of(part)))
+        parts.append(part)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _changed(sets: DataFrame) -> DataFrame:
+    """The first sketch of a row is as large as an estimate of its difference asks for. Where it is too small all the same, the
+    row is sketched again in twice the cells, until all have given way."""
     size = F.ceil(estimated_difference("_a", "_b") * ROOM).cast("int") + SPARE
     left = stored(sets.where("size(_a) + size(_b) > 0").withColumn("_m", size), "sets")
     parts = []
@@ -150,11 +165,8 @@ def changed_digests(sets: DataFrame) -> DataFrame:
         if failed.isEmpty():
             break
         left = stored(left.join(failed.hint("merge"), "_no").withColumn("_m", F.col("_m") * 2), "sets")
-    whole = parts[0]
-    for more in parts[1:]:
-        whole = whole.unionByName(more)
     sides = [F.array_sort(F.collect_list(F.when(F.col("c") == s, F.col("k")))).alias(n) for s, n in ((1, "only_left"), (-1, "only_right"))]
-    return whole.groupBy("_no").agg(*sides)
+    return reduce(DataFrame.unionByName, parts).groupBy("_no").agg(*sides)
 
 
 def paragraph_changes(pairs: DataFrame, left: str, right: str) -> DataFrame:
@@ -243,7 +255,8 @@ def op4_fingerprints(spark, folder):
         single.select("rank", "next_rank", "own").join(following.hint("merge"), "next_rank").select((F.col("rank") * 2 + 1).alias("_no"), F.col("own").alias("_a"), "_b")
     )
     sets = stored(sets, "sides")
-    apart = changed_digests(sets).select("_no", F.size("only_left").alias("l"), F.size("only_right").alias("r"))
+    sizes = [F.size(f"only_{side}").alias(side[0]) for side in ("left", "right")]
+    apart = changed_digests(sets, lambda changes: changes.select("_no", *sizes))
     total = F.size("_a") + F.size("_b")
     apart = sets.select("_no", total.alias("total")).join(apart.hint("merge"), "_no", "left").withColumn("apart", F.coalesce(F.col("l") + F.col("r"), F.lit(0)))
     near = F.when(F.col("total") == 0, F.lit(1.0)).otherwise((F.col("total") - F.col("apart")) / (F.col("total") + F.col("apart")).cast("double"))
