@@ -425,11 +425,11 @@ def near_components(
     met = searched.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_met, f"a bigint, b bigint, hot boolean, {text}")
     with watched_tables() as left:
         found = stored(met, "found")
-        release(spark, [])
         described = stored(found.where("text is not null").select("text.*").withColumnRenamed("id", "_id"), "described")
         full = described.where("n > 0")
         classes = full.groupBy("key").agg(F.min("_id").alias("_rep"), F.first("n").alias("n"))
         classes = stored(classes.withColumn("_handle", _handle_column()), "classes")
+        release(spark, [])  # the keys of the search; Spark lets go of them once another job has run
         pairs = found.where("a is not null").select("a", "b", "hot").distinct()
         links = stored(_links(rows, classes, pairs, words, percent), "links")
         roots = connected_components(links).select(F.col("node").alias("key"), "root")
@@ -479,21 +479,21 @@ def _links(rows: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, pe
     texts = rows.join(wanted, F.col("_id").eqNullSafe(F.col("_r"))).select("_text", "_wanted")
     # rows that agree in id and set come more than once; the product takes them as one
     sets = stored(texts.mapInArrow(_sets(words), "key binary, grams binary"), "sets")
-    release(spark, [])
 
     first = members.groupBy("key").agg(F.min("g").alias("g"))
     once = stored(_tiles(first, members.where("g = h").select("g", "key")), "once")
-    near = stored(_product(once, sets, percent), "near")
     release(spark, [])
+    near = stored(_product(once, sets, percent), "near")
     members = members.join(_compared(once, members).hint("merge"), "g", "left_anti")
     placed, open_ = _open_groups(members, near)
+    release(spark, [])
     degree = near.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("links"))
     at_hand = placed.join(open_.select("g").hint("merge"), "g").select("g", "key")
     hubs = at_hand.join(degree.hint("merge"), "key").groupBy("g").agg(F.max(F.struct("links", "key")).alias("hub")).select("g", "hub.key")
     at_hand = at_hand.groupBy("key").agg(F.min("g").alias("g"))
     near = stored(near.unionByName(_product(_tiles(at_hand, hubs), sets, percent)), "near")
-    release(spark, [])
     placed, open_ = _open_groups(members, near)
+    release(spark, [])
     number = lambda c: F.ceil(c / TILE).cast("int")
     open_ = stored(open_.select("g", number(F.col("all")).alias("tiles"), number(F.col("all") - F.col("top.n")).alias("loose"), F.col("top.root").alias("main")), "open")
     rest = placed.join(open_.hint("merge"), "g").select("g", "key", "tiles", "loose", (F.col("root") != F.col("main")).alias("is_loose"), _tile().alias("j"))
