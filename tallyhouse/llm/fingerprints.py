@@ -217,18 +217,20 @@ def with_next_edited(docs: DataFrame) -> DataFrame:
     ids = stored(ids, "ids")
     ranked = stored(with_starts(ids, [F.col("doc_id"), F.col("_h")], {"rank": F.lit(1)}, ranges_for(ids)), "ranked")
     last = ranked.agg(F.max("rank")).first()[0] or 0
-    before = ranked.select(
-        F.when(F.col("rank") == 0, F.lit(last)).otherwise(F.col("rank") - 1).alias("rank"),
-        F.col("rank").alias("_for"),
-        F.col("k").alias("_give"),
+    def known(id_: str, none: str, h: str) -> list[Column]:
+        return [F.coalesce("doc_id", F.lit(0)).alias(id_), F.col("doc_id").isNull().alias(none), F.col("_h").alias(h)]
+
+    takers = ranked.select(
+        F.when(F.col("rank") == 0, F.lit(last)).otherwise(F.col("rank") - 1).alias("rank"), F.col("k").alias("_give"), *known("_fi", "_fn", "_fh")
     )
-    known = [F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_none"), "_h"]
-    given = stored(ranked.join(before, "rank").select(*known, "rank", "_for", "_give"), "given")
-    both = docs.select("doc_id", "text", *known).join(given.hint("merge"), ["_id", "_none", "_h"])
-    fronts = both.select(F.col("_for"), F.col("rank").alias("next_rank"), F.expr("substring(text, 1, _give)").alias("front"))
-    fronts = fronts.dropDuplicates(["_for"])
-    whole = both.select("rank", "doc_id", "text")
-    joined = whole.join(fronts.hint("merge"), F.col("rank") == F.col("_for"))
+    given = stored(ranked.join(takers, "rank").select(*known("_id", "_none", "_h"), "rank", "_give", "_fi", "_fn", "_fh"), "given")
+    both = docs.select("doc_id", "text", *known("_id", "_none", "_h")).join(given.hint("merge"), ["_id", "_none", "_h"])
+    # whole texts keep the place that the join gave them
+    fronts = both.select("_fi", "_fn", "_fh", F.col("rank").alias("next_rank"), F.expr("substring(text, 1, _give)").alias("front"))
+    fronts = fronts.dropDuplicates(["_fi", "_fn", "_fh"])
+    whole = both.select("rank", "doc_id", "text", "_id", "_none", "_h")
+    same = (F.col("_id") == F.col("_fi")) & (F.col("_none") == F.col("_fn")) & (F.col("_h") == F.col("_fh"))
+    joined = whole.join(fronts.hint("merge"), same)
     kept = F.expr("substring(text, 1, char_length(text) - cast(floor(char_length(text) / 3) as int))")
     return joined.select("rank", "next_rank", "doc_id", "text", F.concat(kept, F.col("front")).alias("edited"))
 
@@ -248,13 +250,11 @@ def op4_fingerprints(spark, folder):
         ),
         "versions",
     )
-    release(spark, [])
     single = rows.select("rank", "next_rank", "own", "other").dropDuplicates(["rank"])
     following = single.select(F.col("rank").alias("next_rank"), F.col("own").alias("_b"))
     sets = single.select((F.col("rank") * 2).alias("_no"), F.col("own").alias("_a"), F.col("other").alias("_b")).unionByName(
         single.select("rank", "next_rank", "own").join(following.hint("merge"), "next_rank").select((F.col("rank") * 2 + 1).alias("_no"), F.col("own").alias("_a"), "_b")
     )
-    sets = stored(sets, "sides")
     sizes = [F.size(f"only_{side}").alias(side[0]) for side in ("left", "right")]
     apart = changed_digests(sets, lambda changes: changes.select("_no", *sizes))
     total = F.size("_a") + F.size("_b")
