@@ -19,12 +19,17 @@ from tallyhouse.sources.tables import table
 
 CAPACITY = 2048
 END_OF_DOCUMENT = 0
-# Entries of the two caches of one Python worker.
-CHUNKS, WORDS = 400_000, 1_200_000
+# Words that the cache of one Python worker may hold.
+WORDS = 400_000
+# Words of more bytes are not kept in it; long texts are encoded in stretches of this many bytes.
+LONG_WORD, STRETCH = 64, 1 << 20
 
 # The word pattern of the vocabulary, for lower-case Latin-1 text.
 PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+BLANK = re.compile(rb"\s")
+# Texts that show whether a vocabulary looks at one lower-cased word at a time.
+PROBES = ["Hello World, this is A Test", "It's I'LL ''s 12a3-b4\tÉTÉ naïve\n\n  x", "a\nb a  b", "日本語 テスト。 ΣΑΣ"]
 
 
 def default_tokenizer() -> str:
@@ -33,12 +38,34 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class Cache:
+    """Ids by word in two halves: when the newer one is full, the older one is forgotten.
+
+    Words in use move to the newer half, so the frequent ones stay.
+    """
+
+    def __init__(self) -> None:
+        self.new, self.old = {}, {}
+
+    def learn(self, ids: dict) -> None:
+        if ids and max(map(len, ids)) > LONG_WORD:
+            ids = {k: v for k, v in ids.items() if len(k) <= LONG_WORD}
+        if len(self.new) + len(ids) > WORDS // 2:
+            self.old, self.new = self.new, {}
+        self.new.update(ids)
+
+    def older(self, words: set) -> dict:
+        """Those of ``words`` that the older half knows."""
+        return {w: self.old[w] for w in words & self.old.keys()}
+
+
 class Encoder:
     """Ids of a text as little-endian 32-bit bytes, the same as the tokenizer's own.
 
-    The vocabulary drops white space and looks at one word at a time, so the ids of a text
-    are those of its words in a row. Words seen before come from a cache that is emptied
-    when it is full; what is not plain Latin-1 goes to the tokenizer as it is.
+    A vocabulary that drops white space and looks at one lower-cased word at a time gives a
+    text the ids of its words in a row. Whether it does is tried on ``PROBES``; any other
+    vocabulary encodes whole texts. Words seen before come from a cache of bounded size; what
+    is not plain Latin-1 goes to the tokenizer as it is.
     """
 
     open: dict[str, Encoder] = {}
@@ -50,8 +77,8 @@ class Encoder:
         self.ends = np.array(
             [self.tokenizer.id_to_token(i).endswith("</w>") for i in range(self.tokenizer.get_vocab_size())]
         )
-        self.chunks: dict[bytes, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.known = Cache()
+        self.by_word = all(self._by_word(t) == self._whole([t])[0] for t in PROBES)
 
     @classmethod
     def at(cls, path: str) -> Encoder:
@@ -60,43 +87,57 @@ class Encoder:
         return cls.open[path]
 
     def encode(self, text: str) -> bytes:
-        if "<|" in text:  # may hold a special token, which is found before anything else
+        if not self.by_word or "<|" in text:  # may hold a special token, which is found before anything else
             return self._whole([text])[0]
-        chunks = text.encode().lower().split()
-        found = list(map(self.chunks.get, chunks))
+        return self._by_word(text)
+
+    def _by_word(self, text: str) -> bytes:
+        data, parts, at = text.encode().lower(), [], 0
+        while at < len(data):
+            cut = BLANK.search(data, at + STRETCH)
+            end = cut.start() if cut else len(data)
+            parts.append(self._stretch(data[at:end].split()))
+            at = end
+        return b"".join(parts)
+
+    def _stretch(self, chunks: list[bytes]) -> bytes:
+        found = list(map(self.known.new.get, chunks))
         if None in found:
-            self._learn({c for c, known in zip(chunks, found, strict=True) if known is None})
-            found = [self.chunks[c] for c in chunks]
-            if len(self.chunks) > CHUNKS:
-                self.chunks.clear()
-            if len(self.words) > WORDS:
-                self.words.clear()
+            missing = {c for c, known in zip(chunks, found, strict=True) if known is None}
+            new = self.known.older(missing)
+            new.update(self._ids_of(missing - new.keys()))
+            found = [new[c] if known is None else known for c, known in zip(chunks, found, strict=True)]
+            self.known.learn(new)
         return b"".join(found)
 
-    def _learn(self, chunks: set[bytes]) -> None:
+    def _ids_of(self, chunks: set[bytes]) -> dict[bytes, bytes]:
         plain, other = [], []
         for c in chunks:
             text = c.decode()
             if PLAIN.fullmatch(text):
-                plain.append((c, PIECES.findall(text.lower())))
+                plain.append((c, [w.encode() for w in PIECES.findall(text.lower())]))
             else:
                 other.append(c)
-        new = list({w for _, words in plain for w in words if w not in self.words})
+        words = {w: self.known.new.get(w) for _, parts in plain for w in parts}
+        missing = {w for w, ids in words.items() if ids is None}
+        learned = self.known.older(missing)
+        new = list(missing - learned.keys())
         for i in range(0, len(new), 256):
-            self._learn_words(new[i : i + 256])
-        for c, words in plain:
-            self.chunks[c] = b"".join([self.words[w] for w in words])
+            learned.update(zip(new[i : i + 256], self._of_words(new[i : i + 256]), strict=True))
+        self.known.learn(learned)
+        words.update(learned)
+        ids = {c: b"".join([words[w] for w in parts]) for c, parts in plain}
         if other:
-            self.chunks.update(zip(other, self._whole([c.decode() for c in other]), strict=True))
+            ids.update(zip(other, self._whole([c.decode() for c in other]), strict=True))
+        return ids
 
-    def _learn_words(self, words: list[str]) -> None:
-        ids = np.array(self._ids([" ".join(words)])[0], "<u4")
-        last = np.flatnonzero(self.ends[ids]) + 1
+    def _of_words(self, words: list[bytes]) -> list[bytes]:
+        ids = np.array(self._ids([b" ".join(words).decode()])[0], "<u4")
+        last = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
         if len(last) == len(words):
-            parts = [p.tobytes() for p in np.split(ids, last[:-1])]
-        else:
-            parts = self._whole(words)
-        self.words.update(zip(words, parts, strict=True))
+            data = ids.tobytes()
+            return [data[a:b] for a, b in zip([0, *last[:-1]], last, strict=True)]
+        return self._whole([w.decode() for w in words])
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]

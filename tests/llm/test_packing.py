@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
+from tallyhouse.llm import packing
 from tallyhouse.llm.packing import Encoder, default_tokenizer, op8_best_fit_packing, pack, plan_bins, token_pieces
 
 ODD = [
@@ -37,6 +38,21 @@ def test_ids_are_the_tokenizers(spark):
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == want
 
 
+def test_any_vocabulary_and_full_cache(monkeypatch):
+    monkeypatch.setattr(packing, "WORDS", 40)
+    monkeypatch.setattr(packing, "STRETCH", 50)
+    draw = random.Random(3)
+    made = [" ".join(draw.choice(["It's", "a1b", "Éa-x,", "日本", "x" * 90, f"n{draw.randint(0, 99)}"]) for _ in range(60)) for _ in range(20)]
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        encoder = Encoder(default_tokenizer().replace("word_bpe_49k.json", name))
+        assert encoder.by_word == name.startswith("word")
+        for text in [*ODD, "Hello World, this is A Test", *made]:
+            want = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(encoder.encode(text), "<u4").tolist() == want
+        assert len(encoder.known.new) + len(encoder.known.old) <= 2 * (40 // 2 + 60)
+        assert all(len(w) <= 64 for w in encoder.known.new)
+
+
 @pytest.mark.parametrize("seed", range(40))
 def test_plan(seed):
     draw = random.Random(seed)
