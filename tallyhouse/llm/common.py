@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import ctypes
+from collections.abc import Callable, Iterator, Sequence
+from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyhouse.config import stored
@@ -67,3 +70,20 @@ def bounded_batches(spark, rows: int = 500) -> None:
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > rows or int(spark.conf.get(key)) <= 0:
         spark.conf.set(key, str(rows))
+
+
+def frugal(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """A function for ``mapInArrow`` after whose last batch the Python worker gives freed memory back.
+
+    Workers go on to other stages, so what the allocators keep would add up on an executor.
+    """
+
+    @wraps(work)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return run

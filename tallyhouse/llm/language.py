@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from tallyhouse.llm.common import bounded_batches, drawn
+from tallyhouse.llm.common import bounded_batches, drawn, frugal
 from tallyhouse.plans.registry import query
 from tallyhouse.sources.tables import table
 
@@ -184,7 +184,7 @@ def identify(docs: DataFrame, net: ByteNet | None, text_col: str = "text") -> Da
                 [*batch.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())], schema.names
             )
 
-    return kept.mapInArrow(predict, schema)
+    return kept.mapInArrow(frugal(predict), schema)
 
 
 def predictions(net: ByteNet | None, texts: Sequence[str | None]) -> Iterator[tuple[int, np.ndarray]]:

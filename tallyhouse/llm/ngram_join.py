@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyhouse.config import paths_of, release, stored, watched_tables
-from tallyhouse.llm.common import bounded_batches
+from tallyhouse.llm.common import bounded_batches, frugal
 from tallyhouse.llm.components import connected_components
 from tallyhouse.plans.registry import query
 from tallyhouse.sources.tables import table
@@ -421,8 +421,8 @@ def near_components(
     id_type = rows.schema["_id"].dataType.simpleString()
     bits = max(4, math.ceil(math.log2(max(1, docs.count() / BUCKET_ROWS))))
     text = f"text struct<id:{id_type},n:bigint,key:binary>"
-    searched = rows.mapInArrow(_search(words, percent, bits, HOT), f"bucket bigint, keys binary, owners binary, b bigint, {text}")
-    met = searched.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_met, f"a bigint, b bigint, hot boolean, {text}")
+    searched = rows.mapInArrow(frugal(_search(words, percent, bits, HOT)), f"bucket bigint, keys binary, owners binary, b bigint, {text}")
+    met = searched.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(frugal(_met), f"a bigint, b bigint, hot boolean, {text}")
     with watched_tables() as left:
         found = stored(met, "found")
         described = stored(found.where("text is not null").select("text.*").withColumnRenamed("id", "_id"), "described")
@@ -478,7 +478,7 @@ def _links(rows: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, pe
     # merge joins at every size: what is joined to the texts grows with them
     texts = rows.join(wanted, F.col("_id").eqNullSafe(F.col("_r"))).select("_text", "_wanted")
     # rows that agree in id and set come more than once; the product takes them as one
-    sets = stored(texts.mapInArrow(_sets(words), "key binary, grams binary"), "sets")
+    sets = stored(texts.mapInArrow(frugal(_sets(words)), "key binary, grams binary"), "sets")
 
     first = members.groupBy("key").agg(F.min("g").alias("g"))
     once = stored(_tiles(first, members.where("g = h").select("g", "key")), "once")
@@ -544,7 +544,7 @@ def _open_groups(members: DataFrame, links: DataFrame) -> tuple[DataFrame, DataF
 def _product(dealt: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links found in blocks of tiles, from ``key``, ``block`` and ``side``."""
     blocks = dealt.join(sets.hint("merge"), "key").select("block", "side", "key", "grams").repartition("block").sortWithinPartitions("block")
-    return blocks.mapInArrow(_multiply(percent), "a binary, b binary")
+    return blocks.mapInArrow(frugal(_multiply(percent)), "a binary, b binary")
 
 
 def drop_near_copies(

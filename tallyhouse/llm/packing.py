@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
 from tallyhouse.config import stored
-from tallyhouse.llm.common import bounded_batches, ranges_for, with_starts
+from tallyhouse.llm.common import bounded_batches, frugal, ranges_for, with_starts
 from tallyhouse.plans.registry import query
 from tallyhouse.sources.tables import table
 
@@ -185,7 +185,7 @@ def token_pieces(
                 [batch.column(0).take(pa.array(which, pa.int64())), *arrays], ["_id", "piece", "start", "length", "ids_crc32", "ids"]
             )
 
-    pieces = docs.select(docs[id_col].alias("_id"), docs[text_col].alias("_text")).mapInArrow(cut, schema)
+    pieces = docs.select(docs[id_col].alias("_id"), docs[text_col].alias("_text")).mapInArrow(frugal(cut), schema)
     return pieces.select(F.col("_id").alias(id_col), "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else []))
 
 
