@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyhouse.config import drop_tables, paths_of, release, stored, watched_tables
+from tallyhouse.config import paths_of, release, stored, watched_tables
 from tallyhouse.llm.common import ranges_for, with_starts
 from tallyhouse.plans.registry import query
 from tallyhouse.sources.tables import table
@@ -18,9 +17,12 @@ CELLS = 3 * PART
 # Smallest digests of each side by which the size of a difference is estimated; cells per part for each differing
 # digest, and in addition.
 LEAST = 16
-ROOM, SPARE = 0.55, 4
-# Slices of the rows that are sketched and peeled one after the other.
-SLICES = 4
+ROOM, SPARE = 0.8, 4
+# Digests of both sides of a row above which it is cut into pieces; rounds after which a sketch counts as too small.
+PIECE, ROUNDS = 2048, 9
+# Digests that are peeled in one task, so that the aggregates of all rounds have room in its memory.
+TASK_DIGESTS = 100_000
+PIECE_KEYS = ["_no", "_p"]
 # A line longer than this is cut at the ends of its sentences: every line.
 LONG_LINE = 0
 
@@ -86,87 +88,79 @@ def estimated_difference(a: str, b: str) -> Column:
     return F.expr(f"transform(array(coalesce({share}, 1D)), j -> cast(ceil((size({a}) + size({b})) * (1 - j) / (1 + j)) as int))[0]")
 
 
-def _places(digest: Column, width: Column) -> list[Column]:
-    """The cells of a digest in a sketch of three parts of ``width`` cells."""
-    return [(F.pmod(F.xxhash64(digest, F.lit(p), width), width) + width * p).cast("int") for p in range(3)]
+def _place_of(digest: str, part: int) -> str:
+    """The cell of a digest in one part of a sketch of three parts of ``_m`` cells."""
+    return f"cast(pmod(xxhash64({digest}, {part}, _m), _m) + _m * {part} as int)"
 
 
-def _check_of(digest: Column) -> Column:
-    return F.hash(digest, F.lit("check"))
+def _folded(cells: DataFrame) -> DataFrame:
+    """Cells of a piece summed up, and digests found (``f``) as they are; cells that nothing is left in are gone."""
+    sums = [F.expr(f"{how}({c}) as {c}") for how, c in (("sum", "c"), ("bit_xor", "k"), ("bit_xor", "h"))]
+    return cells.groupBy(*PIECE_KEYS, "_m", "cell", "f").agg(*sums).where("f is not null or c <> 0 or k <> 0 or h <> 0")
 
 
-def _folded(rows: DataFrame) -> DataFrame:
-    """Cells (``_no``, ``_m``, ``cell``) summed up; those that nothing is left in are gone."""
-    cells = rows.groupBy("_no", "_m", "cell").agg(F.sum("c").alias("c"), F.bit_xor("k").alias("k"), F.bit_xor("h").alias("h"))
-    return cells.where("c <> 0 or k <> 0 or h <> 0")
+def _round(cells: DataFrame, part: int) -> DataFrame:
+    """Take the digests that lie alone in a cell of one part out of their other cells.
 
-
-def _dealt(digests: DataFrame) -> DataFrame:
-    """Each digest (``k``, counted ``c`` times) in its three cells."""
-    places = F.explode(F.array(*_places(F.col("k"), F.col("_m")))).alias("cell")
-    return digests.withColumn("h", _check_of(F.col("k"))).select("_no", "_m", places, "c", "k", "h")
+    A digest is in one cell of a part, so it is found once; its check and its place tell that it is alone.
+    """
+    cell = "named_struct('cell', {}, 'c', {}, 'k', {}, 'h', {}, 'f', {})"
+    alone = f"abs(c) = 1 and f is null and cell = {_place_of('k', part)} and h = hash(k, 'check')"
+    taken = [cell.format(_place_of("k", p), "-c", "k", "h", "cast(null as bigint)") for p in range(3) if p != part]
+    found = cell.format("-1", "c", "0L", "0", "k")
+    kept = cell.format("cell", "c", "k", "h", "f")
+    after = f"explode(if({alone}, array({found}, {', '.join(taken)}), array({kept}))) as _c"
+    return _folded(cells.selectExpr(*PIECE_KEYS, "_m", after).selectExpr(*PIECE_KEYS, "_m", "_c.*"))
 
 
-def peeled(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Peel the difference of two sketches per row of ``_no``, ``_m`` (cells of a part), ``_a`` and ``_b``.
+def peeled(pieces: DataFrame) -> DataFrame:
+    """Peel the difference of two sketches per row of ``_no``, ``_p``, ``_m`` (cells of a part), ``_a`` and ``_b``.
 
-    Returns the digests found (``_no``, ``k``, and ``c``: 1 on the left, -1 on the right) and
-    the rows (``_no``) whose sketch was too small. A cell with a single digest, told by its check
-    and its place, gives it away; taking it out of its other cells uncovers more. A round is one
-    aggregate over the cells that are left, which lie together by row.
+    Rows with a digest found (``f``, and ``c``: 1 on the left, -1 on the right) or, without ``f``, a cell that could not
+    be peeled. Both sketches are linear: cells of the left count up, those of the right down, and equal digests cancel out.
+    The cells of a piece lie together, so all rounds run in one stage and nothing is stored between them.
     """
-    spark = sets.sparkSession
     side = "transform({}, d -> named_struct('k', d, 'c', {}L))"
     signed = F.explode(F.expr(f"concat({side.format('_a', 1)}, {side.format('_b', -1)})")).alias("_d")
-    # both sketches are linear: cells of the left count up, those of the right down, and equal digests cancel out
-    digests = sets.repartition("_no").select("_no", "_m", signed).select("_no", "_m", "_d.k", "_d.c")
-    cells, found = stored(_folded(_dealt(digests)), "cells"), []
-    while True:
-        at_place = F.array_contains(F.array(*_places(F.col("k"), F.col("_m"))), F.col("cell"))
-        single = cells.where((F.abs("c") == 1) & (F.col("h") == _check_of(F.col("k"))) & at_place).select("_no", "_m", "k", "c")
-        # a digest may be alone in two of its cells
-        single = stored(single.groupBy("_no", "_m", "k").agg(F.max("c").alias("c")), "single")
-        if single.isEmpty():
-            break
-        found.append(single.select("_no", "k", "c"))
-        taken = _dealt(single).withColumn("c", -F.col("c"))
-        after = stored(_folded(cells.unionByName(taken)), "cells")
-        drop_tables(spark, paths_of(cells))
-        cells = after
-    whole = reduce(DataFrame.unionByName, found or [single.select("_no", "k", "c")])
-    return whole, cells.select("_no").distinct()
-
-
-def changed_digests(sets: DataFrame, what: Callable[[DataFrame], DataFrame] = lambda changes: changes) -> DataFrame:
-    """``_no``, ``only_left`` and ``only_right`` from ``_no`` (a key), ``_a`` and ``_b``; rows without a difference are left out.
-
-    Rows are worked off in ``SLICES`` by a hash of their key, and of each slice only ``what`` is made of its changes is
-    stored, so the cells in the making are a part of the whole.
+    digests = pieces.agg(F.sum(F.size("_a") + F.size("_b"))).first()[0] or 0
+    dealt = pieces.repartition(max(ranges_for(pieces), digests // TASK_DIGESTS), *PIECE_KEYS).select(*PIECE_KEYS, "_m", signed).select(*PIECE_KEYS, "_m", "_d.k", "_d.c")
+    places = F.expr(f"explode(array({', '.join(_place_of('k', p) for p in range(3))})) as cell")
+    dealt = dealt.withColumn("h", F.hash("k", F.lit("check"))).select(*PIECE_KEYS, "_m", places, "c", "k", "h", F.lit(None).cast("bigint").alias("f"))
+    return reduce(lambda cells, i: _round(cells, i % 3), range(ROUNDS), _folded(dealt))
+
+
+def _pieces(sets: DataFrame) -> DataFrame:
+    """Rows of ``_no``, ``_a`` and ``_b`` with at most ``PIECE`` digests as they are, larger ones cut by a hash of the digest.
+
+    A digest that both sides hold lies in one piece (``_p``), so the differences of the pieces add up to those of the row.
     """
-    parts = []
-    for i in range(SLICES):
-        with watched_tables() as made:
-            part = stored(what(_changed(sets.where(F.pmod(F.xxhash64("_no"), F.lit(SLICES)) == i))), "changes")
-        release(sets.sparkSession, set(made) - set(paths_of(part)))
-        parts.append(part)
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _changed(sets: DataFrame) -> DataFrame:
-    """The first sketch of a row is as large as an estimate of its difference asks for. Where it is too small all the same, the
-    row is sketched again in twice the cells, until all have given way."""
-    size = F.ceil(estimated_difference("_a", "_b") * ROOM).cast("int") + SPARE
-    left = stored(sets.where("size(_a) + size(_b) > 0").withColumn("_m", size), "sets")
-    parts = []
+    total = F.size("_a") + F.size("_b")
+    small = sets.where(total <= PIECE).select("_no", F.lit(0).cast("bigint").alias("_p"), "_a", "_b")
+    side = "transform({}, d -> named_struct('k', d, 'c', {}))"
+    signed = F.explode(F.expr(f"concat({side.format('_a', 1)}, {side.format('_b', -1)})")).alias("_d")
+    digests = sets.where(total > PIECE).select("_no", F.ceil(total / F.lit(PIECE / 2)).alias("_cuts"), signed)
+    digests = digests.select("_no", F.pmod(F.xxhash64("_d.k", F.lit("piece")), F.col("_cuts")).alias("_p"), "_d.k", "_d.c")
+    sides = [F.collect_list(F.when(F.col("c") == c, F.col("k"))).alias(n) for c, n in ((1, "_a"), (-1, "_b"))]
+    return small.unionByName(digests.groupBy(*PIECE_KEYS).agg(*sides))
+
+
+def changed_digests(sets: DataFrame, what: list[Column]) -> DataFrame:
+    """Per piece of a row of ``_no`` (a key), ``_a`` and ``_b`` with a difference: ``_no``, and ``what`` as aggregates of ``peeled``.
+
+    The first sketch of a piece is as large as an estimate of its difference asks for. Where it is too small all the
+    same, the piece is sketched again in twice the cells, until all have given way.
+    """
+    width = F.ceil(estimated_difference("_a", "_b") * ROOM).cast("int") + SPARE
+    left, parts = _pieces(sets).withColumn("_m", width), []
     while True:
-        found, failed = peeled(left)
-        failed = stored(failed, "failed")
-        parts.append(found.join(failed.hint("merge"), "_no", "left_anti"))
+        release(sets.sparkSession, [])
+        tried = peeled(left).groupBy(*PIECE_KEYS).agg((F.count("f") < F.count(F.lit(1))).alias("failed"), *what)
+        tried = stored(tried, "changes")
+        parts.append(tried.where("not failed").drop("failed", "_p"))
+        failed = tried.where("failed").select(*PIECE_KEYS)
         if failed.isEmpty():
-            break
-        left = stored(left.join(failed.hint("merge"), "_no").withColumn("_m", F.col("_m") * 2), "sets")
-    sides = [F.array_sort(F.collect_list(F.when(F.col("c") == s, F.col("k")))).alias(n) for s, n in ((1, "only_left"), (-1, "only_right"))]
-    return reduce(DataFrame.unionByName, parts).groupBy("_no").agg(*sides)
+            return reduce(DataFrame.unionByName, parts)
+        left = stored(left.join(failed.hint("merge"), PIECE_KEYS).withColumn("_m", F.col("_m") * 2), "sets")
 
 
 def paragraph_changes(pairs: DataFrame, left: str, right: str) -> DataFrame:
@@ -183,7 +177,8 @@ def paragraph_changes(pairs: DataFrame, left: str, right: str) -> DataFrame:
         F.monotonically_increasing_id().alias("_no"),
     )
     rows = stored(rows, "pairs")
-    changes = changed_digests(rows.select("_no", "_a", "_b"))
+    changes = changed_digests(rows.select("_no", "_a", "_b"), [F.collect_list(F.when(F.col("c") == c, F.col("f"))).alias(f"only_{n}") for c, n in ((1, "left"), (-1, "right"))])
+    changes = changes.groupBy("_no").agg(*[F.array_sort(F.flatten(F.collect_list(c))).alias(c) for c in ("only_left", "only_right")])
     out = rows.join(changes.hint("merge"), "_no", "left")
     return out.select("_row.*", *[F.coalesce(c, none).alias(c) for c in ("only_left", "only_right")])
 
@@ -224,11 +219,11 @@ def with_next_edited(docs: DataFrame) -> DataFrame:
         F.when(F.col("rank") == 0, F.lit(last)).otherwise(F.col("rank") - 1).alias("rank"), F.col("k").alias("_give"), *known("_fi", "_fn", "_fh")
     )
     given = stored(ranked.join(takers, "rank").select(*known("_id", "_none", "_h"), "rank", "_give", "_fi", "_fn", "_fh"), "given")
-    both = docs.select("doc_id", "text", *known("_id", "_none", "_h")).join(given.hint("merge"), ["_id", "_none", "_h"])
+    both = docs.select("text", *known("_id", "_none", "_h")).join(given.hint("merge"), ["_id", "_none", "_h"])
     # whole texts keep the place that the join gave them
     fronts = both.select("_fi", "_fn", "_fh", F.col("rank").alias("next_rank"), F.expr("substring(text, 1, _give)").alias("front"))
     fronts = fronts.dropDuplicates(["_fi", "_fn", "_fh"])
-    whole = both.select("rank", "doc_id", "text", "_id", "_none", "_h")
+    whole = both.select("rank", F.when(~F.col("_none"), F.col("_id")).alias("doc_id"), "text", "_id", "_none", "_h")
     same = (F.col("_id") == F.col("_fi")) & (F.col("_none") == F.col("_fn")) & (F.col("_h") == F.col("_fh"))
     joined = whole.join(fronts.hint("merge"), same)
     kept = F.expr("substring(text, 1, char_length(text) - cast(floor(char_length(text) / 3) as int))")
@@ -237,32 +232,35 @@ def with_next_edited(docs: DataFrame) -> DataFrame:
 
 @query("op4_fingerprints")
 def op4_fingerprints(spark, folder):
-    versions = with_next_edited(table(spark, folder, "documents", "doc_id", "text"))
-    rows = stored(
-        versions.select(
-            "rank",
-            "next_rank",
-            "doc_id",
-            F.char_length("text").cast("bigint").alias("n_chars"),
-            F.sha2("edited", 256).alias("edited_sha256"),
-            paragraph_digests(F.col("text")).alias("own"),
-            paragraph_digests(F.col("edited")).alias("other"),
-        ),
-        "versions",
-    )
+    with watched_tables() as made:
+        versions = with_next_edited(table(spark, folder, "documents", "doc_id", "text"))
+        rows = stored(
+            versions.select(
+                "rank",
+                "next_rank",
+                "doc_id",
+                F.char_length("text").cast("bigint").alias("n_chars"),
+                F.sha2("edited", 256).alias("edited_sha256"),
+                paragraph_digests(F.col("text")).alias("own"),
+                paragraph_digests(F.col("edited")).alias("other"),
+            ),
+            "versions",
+        )
+    release(spark, set(made) - set(paths_of(rows)))
     single = rows.select("rank", "next_rank", "own", "other").dropDuplicates(["rank"])
     following = single.select(F.col("rank").alias("next_rank"), F.col("own").alias("_b"))
     sets = single.select((F.col("rank") * 2).alias("_no"), F.col("own").alias("_a"), F.col("other").alias("_b")).unionByName(
         single.select("rank", "next_rank", "own").join(following.hint("merge"), "next_rank").select((F.col("rank") * 2 + 1).alias("_no"), F.col("own").alias("_a"), "_b")
     )
-    sizes = [F.size(f"only_{side}").alias(side[0]) for side in ("left", "right")]
-    apart = changed_digests(sets, lambda changes: changes.select("_no", *sizes))
-    total = F.size("_a") + F.size("_b")
-    apart = sets.select("_no", total.alias("total")).join(apart.hint("merge"), "_no", "left").withColumn("apart", F.coalesce(F.col("l") + F.col("r"), F.lit(0)))
-    near = F.when(F.col("total") == 0, F.lit(1.0)).otherwise((F.col("total") - F.col("apart")) / (F.col("total") + F.col("apart")).cast("double"))
-    near = apart.select(F.floor(F.col("_no") / 2).alias("rank"), (F.col("_no") % 2).alias("kind"), near.alias("near")).groupBy("rank").agg(
-        *[F.max(F.when(F.col("kind") == i, F.col("near"))).alias(f"near_{k}") for i, k in enumerate(("edited", "next"))]
-    )
+    sets = stored(sets, "sets")
+    release(spark, [])  # the shuffled texts; Spark lets go of them once another job has run
+    apart = changed_digests(sets, [F.count("f").alias("apart")]).groupBy("_no").agg(F.sum("apart").alias("apart"))
+    near = sets.select("_no", (F.size("_a") + F.size("_b")).alias("total")).join(apart.hint("merge"), "_no", "left")
+    near = near.withColumn("apart", F.coalesce("apart", F.lit(0)))
+    share = (F.col("total") - F.col("apart")) / (F.col("total") + F.col("apart")).cast("double")
+    near = near.select(
+        F.floor(F.col("_no") / 2).alias("rank"), (F.col("_no") % 2).alias("kind"), F.when(F.col("total") == 0, F.lit(1.0)).otherwise(share).alias("near")
+    ).groupBy("rank").agg(*[F.max(F.when(F.col("kind") == i, F.col("near"))).alias(f"near_{k}") for i, k in enumerate(("edited", "next"))])
     return rows.join(near.hint("merge"), "rank").select(
         "doc_id", "n_chars", "edited_sha256",
         written(sketch("own")).alias("fingerprint"), written(sketch("other")).alias("edited_fingerprint"),

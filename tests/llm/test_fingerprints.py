@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from tallyhouse.config import watched_tables
 from tallyhouse.llm import fingerprints
 from tallyhouse.llm.fingerprints import LONG_LINE, fingerprint, op4_fingerprints, paragraph_changes, paragraph_digests
 
@@ -94,3 +95,17 @@ def test_estimates_only_steer_the_first_size(spark, monkeypatch):
     pairs = spark.createDataFrame([(1, list(range(100)), list(range(90, 300)))], "id int, a array<bigint>, b array<bigint>")
     row = paragraph_changes(pairs, "a", "b").first()
     assert row.only_left == list(range(90)) and row.only_right == list(range(100, 300))
+
+
+def test_few_jobs_whatever_the_rounds(spark, monkeypatch):
+    """Sketches are peeled in their rows, so tables and jobs grow neither with the rounds of peeling nor with the rows."""
+    monkeypatch.setattr(fingerprints, "PIECE", 64, raising=False)
+    draw = random.Random(5)
+    both = [draw.getrandbits(63) for _ in range(300)]
+    rows = [(i, [*both[:i], *(draw.getrandbits(62) for _ in range(i))], [*both[: 2 * i], -i]) for i in range(150)]
+    pairs = spark.createDataFrame(rows, "id int, a array<bigint>, b array<bigint>").repartition(4)
+    with watched_tables() as made:
+        out = paragraph_changes(pairs, "a", "b")
+    assert len(made) <= 12
+    for r in out.collect():
+        assert (set(r.only_left), set(r.only_right)) == (set(r.a) - set(r.b), set(r.b) - set(r.a)), r.id
