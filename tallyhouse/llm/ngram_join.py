@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyhouse.config import paths_of, release, stored, watched_tables
+from tallyhouse.config import drop_tables, paths_of, release, stored, watched_tables
 from tallyhouse.llm.common import bounded_batches, frugal
 from tallyhouse.llm.components import connected_components
 from tallyhouse.plans.registry import query
@@ -474,6 +474,7 @@ def _links(rows: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, pe
     groups = stored(_groups(pairs), "groups")
     named = groups.join(classes.select(F.col("_handle").alias("h"), "key", "_rep").hint("merge"), "h").select("g", "h", "key", "_rep")
     members = stored(named, "members")
+    drop_tables(spark, paths_of(groups))
     wanted = members.select(F.col("_rep").alias("_r"), F.col("key").alias("_wanted")).distinct().hint("merge")
     # merge joins at every size: what is joined to the texts grows with them
     texts = rows.join(wanted, F.col("_id").eqNullSafe(F.col("_r"))).select("_text", "_wanted")
@@ -486,7 +487,10 @@ def _links(rows: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, pe
     near = stored(_product(once, sets, percent), "near")
     members = members.join(_compared(once, members).hint("merge"), "g", "left_anti")
     placed, open_ = _open_groups(members, near)
-    release(spark, [])
+    # what follows reads only sets of open groups
+    wanted = placed.join(open_.select("g").hint("merge"), "g").select("key").distinct()
+    whole, sets = sets, stored(sets.join(wanted.hint("merge"), "key", "left_semi"), "sets")
+    release(spark, paths_of(whole))
     degree = near.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("links"))
     at_hand = placed.join(open_.select("g").hint("merge"), "g").select("g", "key")
     hubs = at_hand.join(degree.hint("merge"), "key").groupBy("g").agg(F.max(F.struct("links", "key")).alias("hub")).select("g", "hub.key")

@@ -163,3 +163,15 @@ def test_giant_word_keeps_links(spark):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_components(docs).collect()}
     assert got == brute(rows, 3, 90)
     assert got[1][1] == got[2][1] == 1
+
+
+def test_sets_of_settled_groups_are_left_behind(spark, monkeypatch):
+    """Products after the first one shuffle only the sets of groups that are still open."""
+    monkeypatch.setattr(ngram_join, "TILE", 3)
+    held, product = [], ngram_join._product
+    monkeypatch.setattr(ngram_join, "_product", lambda dealt, sets, *rest: (held.append(sets.count()), product(dealt, sets, *rest))[1])
+    rows = corpus(5)
+    docs = spark.createDataFrame([(*r, None, None) for r in rows], SCHEMA).repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_components(docs, words=5, percent=80).collect()}
+    assert got == brute(rows, 5, 80)
+    assert len(held) == 3 and held[0] > held[1] == held[2] > 0
