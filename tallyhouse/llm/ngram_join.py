@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyhouse.config import drop_tables, paths_of, release, stored, watched_tables
+from tallyhouse.config import paths_of, release, stored, watched_tables
 from tallyhouse.llm.common import bounded_batches, frugal
 from tallyhouse.llm.components import connected_components
 from tallyhouse.plans.registry import query
@@ -27,6 +27,8 @@ FLUSH = 2_000_000
 # Holders of one key in such a stretch from which it counts as crowded, and documents per bucket of keys.
 HOT = 256
 BUCKET_ROWS = 1024
+# N-grams of members per bucket, when those that no other member holds are counted.
+BUCKET_GRAMS = 1 << 20
 
 # Odd multipliers that mix 64-bit hashes.
 M1, M2, M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
@@ -305,6 +307,82 @@ def _sets(words: int):
     return sets
 
 
+def _scattered(bits: int):
+    """N-grams of members (``id``, ``g``, ``grams``), each told apart by its group, packed by bucket (a range of their hashes).
+
+    A row has the next 40 bits of each hash and, for the first of them, the id of the only member of a stretch of
+    rows that holds it. One that several members of the stretch hold goes out once, without an id: so an n-gram that very
+    many members hold is few entries.
+    """
+    names = ["bucket", "keys", "owners"]
+
+    def scatter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, owners, held = [], [], 0
+
+        def packed() -> pa.RecordBatch:
+            key, owner = np.concatenate(keys), np.repeat(np.array([o for o, _ in owners], np.int64), [n for _, n in owners])
+            order = np.argsort(key)
+            key, owner = key[order], owner[order]
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            several = np.diff(np.append(first, len(key))) > 1
+            key, owner = key[first], owner[first]
+            bucket = (key >> np.uint64(64 - bits)).astype(np.int64)
+            order = np.lexsort((several, bucket))
+            key, owner, several, bucket = key[order], owner[order], several[order], bucket[order]
+            low = np.ascontiguousarray((key << np.uint64(bits)) >> np.uint64(24)).view(np.uint8).reshape(-1, 8)[:, :5]
+            cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+            spans = list(zip(cuts, np.append(cuts[1:], len(key)), strict=True))
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(bucket[cuts]), pa.array([low[x:y].tobytes() for x, y in spans], pa.binary()),
+                    pa.array([owner[x:y][~several[x:y]].tobytes() for x, y in spans], pa.binary()),
+                ], names,
+            )
+
+        for batch in batches:
+            for i, g, grams in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                found = np.frombuffer(grams, np.uint64)
+                keys.append(mixed(found ^ mixed(np.array([g], np.int64).view(np.uint64))))
+                owners.append((i, len(found)))
+                held += len(found)
+                if held >= FLUSH:
+                    yield packed()
+                    keys, owners, held = [], [], 0
+        if held:
+            yield packed()
+
+    return scatter
+
+
+def _unshared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by bucket: per member (``id``) how many of its n-grams there no other member of the group holds."""
+    current, keys, owners = None, [], []
+
+    def counted() -> pa.RecordBatch:
+        low = np.zeros((sum(len(k) for k in keys) // 5, 8), np.uint8)
+        low[:, :5] = np.frombuffer(b"".join(keys), np.uint8).reshape(-1, 5)
+        key = low.view(np.uint64).ravel()
+        owned = np.concatenate([np.arange(len(k) // 5) < len(o) // 8 for k, o in zip(keys, owners, strict=True)])
+        owner = np.zeros(len(key), np.int64)
+        owner[owned] = np.frombuffer(b"".join(owners), np.int64)
+        order = np.argsort(key)
+        key, owner, owned = key[order], owner[order], owned[order]
+        new = np.concatenate([[True], key[1:] != key[:-1], [True]])
+        ids, n = np.unique(owner[new[1:] & new[:-1] & owned], return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n)], ["id", "unshared"])
+
+    for batch in batches:
+        for bucket, k, o in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            if bucket != current:
+                if keys:
+                    yield counted()
+                current, keys, owners = bucket, [], []
+            keys.append(k)
+            owners.append(o)
+    if keys:
+        yield counted()
+
+
 def overlap_links(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> np.ndarray:
     """Which pairs of rows reach the threshold: (rows of left, rows of right) booleans.
 
@@ -408,11 +486,11 @@ def near_components(
     Texts with equal sets are one class before anything is compared. Candidates are
     classes that share the key of a block (see ``Blocks``): complete, because sizes bound in how
     many blocks linked sets can differ, and selective, because a key stands for several
-    n-grams, so a passage or line that many documents hold makes no candidates. The
-    classes that share a key form a group with the smallest of them. Their incidence
-    matrices are multiplied in tiles of about ``TILE`` classes, in two steps: each class first meets a
-    tile of one of its groups, which joins copies at a row or two per class; then groups that still
-    hold several components multiply only what is outside their largest one (see ``_links``).
+    n-grams. The classes that share a key form a group with the smallest of them. A class leaves a
+    group that shares too few of its n-grams for any link, such as one that only a passage or line brought
+    together. The incidence matrices of the others are multiplied in tiles of about ``TILE`` classes, in two
+    steps: each class first meets a tile of one of its groups, which joins copies at a row or two per class; then
+    groups that still hold several components multiply only what is outside their largest one (see ``_links``).
     Intermediate tables are removed as soon as nothing reads them.
     """
     spark = docs.sparkSession
@@ -457,49 +535,48 @@ def _groups(pairs: DataFrame) -> DataFrame:
     hot = pairs.where("hot").select(F.col("a").alias("first"), F.col("b").alias("h"))
     through = met.withColumnRenamed("h", "first").join(hot, "first").select("g", "h")
     both = met.unionByName(hot.select(F.col("first").alias("g"), "h")).unionByName(through)
-    return both.unionByName(both.select("g", F.col("g").alias("h"))).distinct()
+    return both.select("g", F.explode(F.array("g", "h")).alias("h")).distinct()
 
 
 def _links(rows: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
     """Links between classes, as few as connect them: keys ``a``, ``b``.
 
-    First every class meets one tile of its first group, and in each tile the first class of the group. Groups with
-    more than one component are then dealt once more with the class that has most links in each tile. Both
-    take rows in proportion to the classes, and join a family of copies, also one whose members
-    are only like their original. In groups that are still apart, classes outside the largest component (``loose``)
-    meet all classes of the group; the rest of it is not multiplied with itself. All pairs that share a key are in one
-    component or have been compared.
+    First a class leaves the groups in which it can have no link (see ``_linkable``). Then every class meets one tile of its
+    first group, and in each tile the first class of the group. Groups that did not lie in one tile are dealt once more
+    with the class that has most links in each tile. Both take rows in proportion to the classes, and join a family
+    of copies, also one whose members are only like their original. In groups that are still apart, classes outside the
+    largest component (``loose``) meet all classes of the group; the rest of it is not multiplied with itself. All pairs
+    that share a key are in one component, have been compared, or cannot be linked.
     """
     spark = rows.sparkSession
-    groups = stored(_groups(pairs), "groups")
-    named = groups.join(classes.select(F.col("_handle").alias("h"), "key", "_rep").hint("merge"), "h").select("g", "h", "key", "_rep")
-    members = stored(named, "members")
-    drop_tables(spark, paths_of(groups))
-    wanted = members.select(F.col("_rep").alias("_r"), F.col("key").alias("_wanted")).distinct().hint("merge")
+    named = _groups(pairs).join(classes.select(F.col("_handle").alias("h"), "key", "n", "_rep").hint("merge"), "h")
+    named = stored(named.select("g", "h", "key", "n", "_rep"), "named")
+    wanted = named.select(F.col("_rep").alias("_r"), F.col("key").alias("_wanted")).distinct().hint("merge")
     # merge joins at every size: what is joined to the texts grows with them
     texts = rows.join(wanted, F.col("_id").eqNullSafe(F.col("_r"))).select("_text", "_wanted")
     # rows that agree in id and set come more than once; the product takes them as one
     sets = stored(texts.mapInArrow(frugal(_sets(words)), "key binary, grams binary"), "sets")
+    release(spark, [])
+    members = stored(_linkable(named, sets, percent), "members")
+    release(spark, paths_of(named))
 
     first = members.groupBy("key").agg(F.min("g").alias("g"))
-    once = stored(_tiles(first, members.where("g = h").select("g", "key")), "once")
-    release(spark, [])
+    once = _tiles(first, members.where("g = h").select("g", "key"))
     near = stored(_product(once, sets, percent), "near")
-    members = members.join(_compared(once, members).hint("merge"), "g", "left_anti")
-    placed, open_ = _open_groups(members, near)
-    # what follows reads only sets of open groups
-    wanted = placed.join(open_.select("g").hint("merge"), "g").select("key").distinct()
-    whole, sets = sets, stored(sets.join(wanted.hint("merge"), "key", "left_semi"), "sets")
+    whole, members = members, stored(members.join(_compared(once, members).hint("merge"), "g", "left_anti").select("g", "key"), "members")
+    release(spark, paths_of(whole))
+    # what follows reads only sets of groups that have not been compared
+    whole, sets = sets, stored(sets.join(members.select("key").distinct().hint("merge"), "key", "left_semi"), "sets")
     release(spark, paths_of(whole))
     degree = near.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("links"))
-    at_hand = placed.join(open_.select("g").hint("merge"), "g").select("g", "key")
-    hubs = at_hand.join(degree.hint("merge"), "key").groupBy("g").agg(F.max(F.struct("links", "key")).alias("hub")).select("g", "hub.key")
-    at_hand = at_hand.groupBy("key").agg(F.min("g").alias("g"))
-    near = stored(near.unionByName(_product(_tiles(at_hand, hubs), sets, percent)), "near")
-    placed, open_ = _open_groups(members, near)
+    hubs = members.join(degree.hint("merge"), "key").groupBy("g").agg(F.max(F.struct("links", "key")).alias("hub")).select("g", "hub.key")
+    first = members.groupBy("key").agg(F.min("g").alias("g"))
+    near = stored(near.unionByName(_product(_tiles(first, hubs), sets, percent)), "near")
+    roots = connected_components(near)
+    placed, open_ = _open_groups(members, roots)
     release(spark, [])
     number = lambda c: F.ceil(c / TILE).cast("int")
-    open_ = stored(open_.select("g", number(F.col("all")).alias("tiles"), number(F.col("all") - F.col("top.n")).alias("loose"), F.col("top.root").alias("main")), "open")
+    open_ = open_.select("g", number(F.col("all")).alias("tiles"), number(F.col("all") - F.col("top.n")).alias("loose"), F.col("top.root").alias("main"))
     rest = placed.join(open_.hint("merge"), "g").select("g", "key", "tiles", "loose", (F.col("root") != F.col("main")).alias("is_loose"), _tile().alias("j"))
     rest = rest.withColumn("i", F.pmod(F.xxhash64("key"), F.col("loose")).cast("int"))
     as_left = F.transform(
@@ -512,7 +589,31 @@ def _links(rows: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, pe
     others = F.filter(as_right, lambda x: x["i"] != F.col("i"))
     at = F.explode(F.when(F.col("is_loose"), F.concat(as_left, others)).otherwise(as_right)).alias("at")
     again = rest.select("key", "g", at).select("key", F.concat_ws(":", "g", "at.i", "at.j").alias("block"), F.col("at.side").alias("side"))
-    return near.unionByName(_product(again, sets, percent))
+    stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return stars.unionByName(_product(again, sets, percent))
+
+
+def _linkable(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Members (``g``, ``h``, ``key``) without those that can be linked with no other member of their group.
+
+    What two sets share, other members hold too, so n-grams that no other member of the group holds add to no overlap. A
+    member goes if the rest of its n-grams is less than the overlap that a link takes, with the smallest partner that its own
+    size or the group allows. That costs a pass over the sets, however many members share a key. An n-gram
+    that only seems shared, because hashes agree, keeps a member in; members are told apart by 64-bit hashes.
+    """
+    spark = members.sparkSession
+    members = members.select("g", "h", "key", "n", F.xxhash64("g", "key").alias("id"))
+    grams = members.agg(F.sum("n")).first()[0] or 0
+    bits = max(4, math.ceil(math.log2(max(1, grams / BUCKET_GRAMS))))
+    bounded_batches(spark)
+    scattered = members.join(sets.hint("merge"), "key").select("id", "g", "grams").mapInArrow(frugal(_scattered(bits)), "bucket bigint, keys binary, owners binary")
+    unshared = scattered.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(frugal(_unshared), "id bigint, unshared bigint")
+    unshared = unshared.groupBy("id").agg(F.sum("unshared").alias("unshared"))
+    shared = F.col("n") - F.coalesce("unshared", F.lit(0))
+    may_link = lambda partner: (100 + percent) * F.col("shared") >= percent * (F.col("n") + partner)
+    left = members.join(unshared.hint("merge"), "id", "left").withColumn("shared", shared).where(may_link(F.ceil(percent * F.col("n") / 100)))
+    sizes = left.groupBy("g").agg(F.count(F.lit(1)).alias("all"), F.min("n").alias("smallest"))
+    return left.join(sizes.where("all > 1").hint("merge"), "g").where(may_link(F.col("smallest"))).select("g", "h", "key")
 
 
 def _tile() -> Column:
@@ -521,7 +622,7 @@ def _tile() -> Column:
 
 def _tiles(members: DataFrame, heads: DataFrame) -> DataFrame:
     """Members (``g``, ``key``) dealt into tiles, with the head of the group, if it has one, in each."""
-    sizes = stored(members.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles")), "sizes")
+    sizes = members.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
     dealt = members.join(sizes.hint("merge"), "g").select("key", "g", _tile().alias("i"))
     tiles = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("i")
     once = dealt.unionByName(heads.join(sizes.hint("merge"), "g").select("key", "g", tiles)).distinct()
@@ -530,14 +631,14 @@ def _tiles(members: DataFrame, heads: DataFrame) -> DataFrame:
 
 def _compared(once: DataFrame, members: DataFrame) -> DataFrame:
     """Groups (``g``) that lay in one tile as a whole, so that all their pairs have been compared."""
-    dealt = once.groupBy("g").agg(F.count(F.lit(1)).alias("met"), F.count_distinct("block").alias("tiles"))
+    dealt = once.groupBy("g").agg(F.count(F.lit(1)).alias("met"), F.min("block").alias("least"), F.max("block").alias("most"))
     sizes = members.groupBy("g").agg(F.count(F.lit(1)).alias("all"))
-    return dealt.join(sizes.hint("merge"), "g").where("tiles = 1 and met = all").select("g")
+    return dealt.join(sizes.hint("merge"), "g").where("least = most and met = all").select("g")
 
 
-def _open_groups(members: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _open_groups(members: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Members with the ``root`` of their component, and groups that hold several, with their sizes and largest component."""
-    roots = connected_components(links).select(F.col("node").alias("key"), "root")
+    roots = roots.select(F.col("node").alias("key"), "root")
     placed = members.select("g", "key").join(roots.hint("merge"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     placed = stored(placed, "placed")
     parts = placed.groupBy("g", "root").agg(F.count(F.lit(1)).alias("n"))

@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallyhouse.llm import ngram_join
@@ -175,3 +177,45 @@ def test_sets_of_settled_groups_are_left_behind(spark, monkeypatch):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_components(docs, words=5, percent=80).collect()}
     assert got == brute(rows, 5, 80)
     assert len(held) == 3 and held[0] > held[1] == held[2] > 0
+
+
+def apart(draw, start, base, members):
+    """Texts that share keys but lack too many of the base's n-grams for a link."""
+    rows = []
+    for i in range(members):
+        words = list(base)
+        for j in draw.sample(range(5, len(words) - 5, 5), draw.randint(4, 5)):
+            words[j] = f"x{draw.randrange(10**9)}"
+        rows.append((start + i, " ".join(words)))
+    return rows
+
+
+def test_members_without_a_partner_leave_their_group(spark, monkeypatch):
+    """Members of a large group that are linked with nobody do not meet all others of it."""
+    monkeypatch.setattr(ngram_join, "TILE", 20)
+    entered, product = [], ngram_join._product
+    monkeypatch.setattr(ngram_join, "_product", lambda dealt, *rest: (entered.append(dealt.count()), product(dealt, *rest))[1])
+    draw = random.Random(4)
+    base = [f"w{i}" for i in range(150)]
+    rows = apart(draw, 1, base, 300) + family(draw, 1000, base, 60, 1)
+    docs = spark.createDataFrame([(*r, None, None) for r in rows], SCHEMA).repartition(4)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_components(docs, words=5, percent=80).collect()}
+    assert got == brute(rows, 5, 80)
+    assert sum(entered) < 2 * len(rows)
+
+
+@pytest.mark.parametrize("flush", [50, 10**6])
+def test_unshared_ngrams_of_members(monkeypatch, flush):
+    monkeypatch.setattr(ngram_join, "FLUSH", flush)
+    draw = random.Random(3)
+    sets = {(i, g): sorted(draw.sample(range(400), draw.randint(1, 60))) for g in (-5, 7) for i in range(1 + 50 * g, 13 + 50 * g)}
+    columns = [[i for i, _ in sets], [g for _, g in sets], [np.array(v, np.uint64).tobytes() for v in sets.values()]]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["id", "g", "grams"])
+    scattered = pa.Table.from_batches(ngram_join._scattered(2)([batch.slice(0, 9), batch.slice(9)])).sort_by("bucket")
+    got = {}
+    for b in ngram_join._unshared(iter(scattered.combine_chunks().to_batches())):
+        for i, n in zip(*b.to_pydict().values(), strict=True):
+            got[i] = got.get(i, 0) + n
+    held = Counter((g, x) for (_, g), v in sets.items() for x in v)
+    want = {i: sum(held[g, x] == 1 for x in v) for (i, g), v in sets.items()}
+    assert got == {i: n for i, n in want.items() if n}
