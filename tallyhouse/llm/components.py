@@ -14,25 +14,19 @@ def connected_components(edges: DataFrame) -> DataFrame:
     smaller) neighbours to its smallest one, until only stars are left, after a number of
     rounds that grows with the logarithm of the longest path. The smallest neighbour is an
     aggregate that is joined back, so a node with very many neighbours is never gathered. Each
-    round is stored, and the tables of the one before are dropped. Edges from a node to itself and repeated edges are harmless; null
+    round is one stored table, and the one before is dropped. Edges from a node to itself and repeated edges are harmless; null
     ends are left out; without edges there are no rows.
     """
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     edges = stored(edges, "edges")
     while not _all_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = stored(large, "large")
-        drop_tables(edges.sparkSession, paths_of(edges))
-        small = large.join(large.groupBy("u").agg(F.min("v").alias("m")), "u")
-        edges = stored(
-            small.select("u", F.col("m").alias("v"))
-            .unionByName(small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
-            .distinct(),
-            "edges",
-        )
-        drop_tables(edges.sparkSession, [*paths_of(least), *paths_of(large)])
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = both.where("v > u").join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = large.join(large.groupBy("u").agg(F.min("v").alias("m")).hint("merge"), "u")
+        ends = F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v"))))
+        past, edges = edges, stored(small.select(ends.alias("e")).select("e.*").where("u <> v").distinct(), "edges")
+        drop_tables(edges.sparkSession, paths_of(past))
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
 

@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tallyhouse.llm import ngram_join
+from tallyhouse.llm import components, ngram_join
 from tallyhouse.llm.components import connected_components
 from tallyhouse.llm.ngram_join import Blocks, Ngrams, drop_near_copies, near_components, overlap_links
 
@@ -219,3 +219,12 @@ def test_unshared_ngrams_of_members(monkeypatch, flush):
     held = Counter((g, x) for (_, g), v in sets.items() for x in v)
     want = {i: sum(held[g, x] == 1 for x in v) for (i, g), v in sets.items()}
     assert got == {i: n for i, n in want.items() if n}
+
+
+def test_components_store_one_table_a_round(spark, monkeypatch):
+    names, kept = [], components.stored
+    monkeypatch.setattr(components, "stored", lambda df, name="stored": (names.append(name), kept(df, name))[1])
+    edges = [(i, i + 1) for i in range(1, 40)]
+    rows = connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()
+    assert {(r.node, r.root) for r in rows} == {(i, 1) for i in range(1, 41)}
+    assert set(names) == {"edges"} and len(names) < 9
