@@ -308,46 +308,56 @@ def _sets(words: int):
 
 
 def _scattered(bits: int):
-    """N-grams of members (``id``, ``g``, ``grams``), each told apart by its group, packed by bucket (a range of their hashes).
+    """N-grams of members (``id``, ``g``, ``grams``), each told apart by its group, packed by bucket (some groups, or parts of groups).
 
-    A row has the next 40 bits of each hash and, for the first of them, the id of the only member of a stretch of
-    rows that holds it. One that several members of the stretch hold goes out once, without an id: so an n-gram that very
-    many members hold is few entries.
+    All n-grams of a group meet in one bucket; those of a large one are dealt by their hashes into ``parts`` (1 where that
+    column is left out). A row has the first 40 bits of each hash and, for the first of them, which member of a stretch of rows is the
+    only one there that holds it: ids with the number of hashes in a row that are theirs. One that several members of the
+    stretch hold goes out once, without an id: so an n-gram that very many members hold is few entries.
     """
     names = ["bucket", "keys", "owners"]
 
     def scatter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, owners, held = [], [], 0
+        keys, buckets, owners, held = [], [], [], 0
 
         def packed() -> pa.RecordBatch:
-            key, owner = np.concatenate(keys), np.repeat(np.array([o for o, _ in owners], np.int64), [n for _, n in owners])
+            key, bucket = np.concatenate(keys), np.concatenate(buckets)
+            owner = np.repeat(np.array([o for o, _ in owners], np.int64), [n for _, n in owners])
             order = np.argsort(key)
-            key, owner = key[order], owner[order]
+            key, bucket, owner = key[order], bucket[order], owner[order]
             first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             several = np.diff(np.append(first, len(key))) > 1
-            key, owner = key[first], owner[first]
-            bucket = (key >> np.uint64(64 - bits)).astype(np.int64)
-            order = np.lexsort((several, bucket))
-            key, owner, several, bucket = key[order], owner[order], several[order], bucket[order]
-            low = np.ascontiguousarray((key << np.uint64(bits)) >> np.uint64(24)).view(np.uint8).reshape(-1, 8)[:, :5]
+            key, bucket, owner = key[first], bucket[first], owner[first]
+            order = np.lexsort((owner, several, bucket))
+            key, bucket, owner, several = key[order], bucket[order], owner[order], several[order]
+            low = np.ascontiguousarray(key >> np.uint64(24)).view(np.uint8).reshape(-1, 8)[:, :5]
             cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
             spans = list(zip(cuts, np.append(cuts[1:], len(key)), strict=True))
+
+            def runs(x: int, y: int) -> bytes:
+                own = owner[x:y][~several[x:y]]
+                starts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(own) else np.zeros(0, np.int64)
+                return np.stack([own[starts], np.diff(np.append(starts, len(own)))], 1).tobytes()
+
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array(bucket[cuts]), pa.array([low[x:y].tobytes() for x, y in spans], pa.binary()),
-                    pa.array([owner[x:y][~several[x:y]].tobytes() for x, y in spans], pa.binary()),
+                    pa.array([runs(x, y) for x, y in spans], pa.binary()),
                 ], names,
             )
 
         for batch in batches:
-            for i, g, grams in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                found = np.frombuffer(grams, np.uint64)
-                keys.append(mixed(found ^ mixed(np.array([g], np.int64).view(np.uint64))))
+            parts = batch.column(3) if batch.num_columns > 3 else pa.array([1] * len(batch))
+            for i, g, grams, cut in zip(*[c.to_pylist() for c in [*batch.columns[:3], parts]], strict=True):
+                group = mixed(np.array([g], np.int64).view(np.uint64))
+                found = mixed(np.frombuffer(grams, np.uint64) ^ group)
+                keys.append(found)
+                buckets.append((mixed(group + (found % np.uint64(cut)) * M3) >> np.uint64(64 - bits)).astype(np.int64))
                 owners.append((i, len(found)))
                 held += len(found)
                 if held >= FLUSH:
                     yield packed()
-                    keys, owners, held = [], [], 0
+                    keys, buckets, owners, held = [], [], [], 0
         if held:
             yield packed()
 
@@ -362,9 +372,11 @@ def _unshared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         low = np.zeros((sum(len(k) for k in keys) // 5, 8), np.uint8)
         low[:, :5] = np.frombuffer(b"".join(keys), np.uint8).reshape(-1, 5)
         key = low.view(np.uint64).ravel()
-        owned = np.concatenate([np.arange(len(k) // 5) < len(o) // 8 for k, o in zip(keys, owners, strict=True)])
+        runs = [np.frombuffer(o, np.int64).reshape(-1, 2) for o in owners]
+        owned = np.concatenate([np.arange(len(k) // 5) < r[:, 1].sum() for k, r in zip(keys, runs, strict=True)])
         owner = np.zeros(len(key), np.int64)
-        owner[owned] = np.frombuffer(b"".join(owners), np.int64)
+        runs = np.concatenate(runs)
+        owner[owned] = np.repeat(runs[:, 0], runs[:, 1])
         order = np.argsort(key)
         key, owner, owned = key[order], owner[order], owned[order]
         new = np.concatenate([[True], key[1:] != key[:-1], [True]])
@@ -598,15 +610,20 @@ def _linkable(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     What two sets share, other members hold too, so n-grams that no other member of the group holds add to no overlap. A
     member goes if the rest of its n-grams is less than the overlap that a link takes, with the smallest partner that its own
-    size or the group allows. That costs a pass over the sets, however many members share a key. An n-gram
-    that only seems shared, because hashes agree, keeps a member in; members are told apart by 64-bit hashes.
+    size or the group allows. That costs a pass over the sets, however many members share a key. The n-grams of a group are
+    counted in one place, those of a group of more than ``BUCKET_GRAMS`` in parts of that many: so a member is one row, or one
+    for each part at most. An n-gram that only seems shared, because hashes agree, keeps a member in; members are told apart by
+    64-bit hashes.
     """
     spark = members.sparkSession
     members = members.select("g", "h", "key", "n", F.xxhash64("g", "key").alias("id"))
     grams = members.agg(F.sum("n")).first()[0] or 0
+    release(spark, [])  # the texts that the sets came from
     bits = max(4, math.ceil(math.log2(max(1, grams / BUCKET_GRAMS))))
     bounded_batches(spark)
-    scattered = members.join(sets.hint("merge"), "key").select("id", "g", "grams").mapInArrow(frugal(_scattered(bits)), "bucket bigint, keys binary, owners binary")
+    parts = members.groupBy("g").agg(F.ceil(F.sum("n") / BUCKET_GRAMS).cast("int").alias("parts"))
+    dealt = members.join(parts.hint("merge"), "g").select("id", "g", "key", "parts").join(sets.hint("merge"), "key").select("id", "g", "grams", "parts")
+    scattered = dealt.mapInArrow(frugal(_scattered(bits)), "bucket bigint, keys binary, owners binary")
     unshared = scattered.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(frugal(_unshared), "id bigint, unshared bigint")
     unshared = unshared.groupBy("id").agg(F.sum("unshared").alias("unshared"))
     shared = F.col("n") - F.coalesce("unshared", F.lit(0))

@@ -221,6 +221,28 @@ def test_unshared_ngrams_of_members(monkeypatch, flush):
     assert got == {i: n for i, n in want.items() if n}
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+def test_unshared_rows_and_bytes_of_members(parts):
+    """A member is one row for each part of its group, whatever the number of buckets, and an n-gram few bytes."""
+    draw = random.Random(6)
+    common = sorted(draw.sample(range(1 << 60), 40))
+    sets = {i: common + [draw.getrandbits(62) for _ in range(300)] for i in range(200)}
+    columns = [list(sets), [i % 5 for i in sets], [np.array(v, np.uint64).tobytes() for v in sets.values()]]
+    names = ["id", "g", "grams"]
+    if parts > 1:
+        columns, names = [*columns, [parts] * len(sets)], [*names, "parts"]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+    scattered = pa.Table.from_batches(ngram_join._scattered(6)([batch])).sort_by("bucket").combine_chunks()
+    rows = [(i, n) for b in ngram_join._unshared(iter(scattered.to_batches())) for i, n in zip(*b.to_pydict().values(), strict=True)]
+    assert len(rows) <= parts * len(sets)
+    got = Counter()
+    for i, n in rows:
+        got[i] += n
+    assert got == dict.fromkeys(sets, 300)
+    entries = 300 * len(sets) + 5 * len(common)
+    assert sum(len(b) for c in ("keys", "owners") for b in scattered.column(c).to_pylist()) <= 5 * entries + 16 * parts * len(sets)
+
+
 def test_components_store_one_table_a_round(spark, monkeypatch):
     names, kept = [], components.stored
     monkeypatch.setattr(components, "stored", lambda df, name="stored": (names.append(name), kept(df, name))[1])
