@@ -5,12 +5,12 @@ from __future__ import annotations
 import hashlib
 import math
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyhouse.config import paths_of, release, stored, watched_tables
 from tallyhouse.llm.common import bounded_batches, frugal
@@ -292,7 +292,7 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(words: int):
-    """The n-grams of texts whose set is the wanted one."""
+    """The n-grams of texts whose set is the wanted one, with the groups that it is in."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = Ngrams(words)
@@ -301,8 +301,11 @@ def _sets(words: int):
             wanted = batch.column(1).to_pylist()
             same = [i for i, g in enumerate(found) if len(g) and set_key(g) == wanted[i]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([wanted[i] for i in same], pa.binary()), pa.array([found[i].tobytes() for i in same], pa.binary())], ["key", "grams"]
-            )
+                [
+                    pa.array([wanted[i] for i in same], pa.binary()), batch.column(2).take(pa.array(same, pa.int64())),
+                    pa.array([found[i].tobytes() for i in same], pa.binary()),
+                ], ["key", "groups", "grams"],
+            )
 
     return sets
 
@@ -563,14 +566,17 @@ def _links(rows: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, pe
     spark = rows.sparkSession
     named = _groups(pairs).join(classes.select(F.col("_handle").alias("h"), "key", "n", "_rep").hint("merge"), "h")
     named = stored(named.select("g", "h", "key", "n", "_rep"), "named")
-    wanted = named.select(F.col("_rep").alias("_r"), F.col("key").alias("_wanted")).distinct().hint("merge")
+    parts = named.groupBy("g").agg(F.ceil(F.sum("n") / BUCKET_GRAMS).cast("int").alias("parts"))
+    placed = named.join(parts.hint("merge"), "g").groupBy("key", "_rep").agg(F.collect_list(F.struct("g", "parts")).alias("groups"))
+    wanted = placed.select(F.col("_rep").alias("_r"), F.col("key").alias("_wanted"), "groups").hint("merge")
     # merge joins at every size: what is joined to the texts grows with them
-    texts = rows.join(wanted, F.col("_id").eqNullSafe(F.col("_r"))).select("_text", "_wanted")
+    texts = rows.join(wanted, F.col("_id").eqNullSafe(F.col("_r"))).select("_text", "_wanted", "groups")
     # rows that agree in id and set come more than once; the product takes them as one
-    sets = stored(texts.mapInArrow(frugal(_sets(words)), "key binary, grams binary"), "sets")
-    release(spark, [])
+    sets = "key binary, groups array<struct<g:bigint,parts:int>>, grams binary"
+    sets = stored(texts.mapInArrow(frugal(_sets(words)), sets), "sets")
+    _release_all(spark)  # the texts
     members = stored(_linkable(named, sets, percent), "members")
-    release(spark, paths_of(named))
+    _release_all(spark, paths_of(named))  # the n-grams of members
 
     first = members.groupBy("key").agg(F.min("g").alias("g"))
     once = _tiles(first, members.where("g = h").select("g", "key"))
@@ -612,17 +618,15 @@ def _linkable(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     member goes if the rest of its n-grams is less than the overlap that a link takes, with the smallest partner that its own
     size or the group allows. That costs a pass over the sets, however many members share a key. The n-grams of a group are
     counted in one place, those of a group of more than ``BUCKET_GRAMS`` in parts of that many: so a member is one row, or one
-    for each part at most. An n-gram that only seems shared, because hashes agree, keeps a member in; members are told apart by
-    64-bit hashes.
+    for each part at most. Sets carry their ``groups``, so that they go to no shuffle but that of their n-grams. An n-gram that only
+    seems shared, because hashes agree, keeps a member in; members are told apart by 64-bit hashes.
     """
     spark = members.sparkSession
     members = members.select("g", "h", "key", "n", F.xxhash64("g", "key").alias("id"))
     grams = members.agg(F.sum("n")).first()[0] or 0
-    release(spark, [])  # the texts that the sets came from
     bits = max(4, math.ceil(math.log2(max(1, grams / BUCKET_GRAMS))))
     bounded_batches(spark)
-    parts = members.groupBy("g").agg(F.ceil(F.sum("n") / BUCKET_GRAMS).cast("int").alias("parts"))
-    dealt = members.join(parts.hint("merge"), "g").select("id", "g", "key", "parts").join(sets.hint("merge"), "key").select("id", "g", "grams", "parts")
+    dealt = sets.select("key", "grams", F.explode("groups").alias("at")).select(F.xxhash64("at.g", "key").alias("id"), "at.g", "grams", "at.parts")
     scattered = dealt.mapInArrow(frugal(_scattered(bits)), "bucket bigint, keys binary, owners binary")
     unshared = scattered.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(frugal(_unshared), "id bigint, unshared bigint")
     unshared = unshared.groupBy("id").agg(F.sum("unshared").alias("unshared"))
@@ -633,6 +637,12 @@ def _linkable(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return left.join(sizes.where("all > 1").hint("merge"), "g").where(may_link(F.col("smallest"))).select("g", "h", "key")
 
 
+def _release_all(spark: SparkSession, paths: Iterable[str] = ()) -> None:
+    """``release``, also of what the last job has shuffled: Spark refers to that until another job has run."""
+    spark.range(1).count()
+    release(spark, paths)
+
+
 def _tile() -> Column:
     return F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int")
 

@@ -243,6 +243,25 @@ def test_unshared_rows_and_bytes_of_members(parts):
     assert sum(len(b) for c in ("keys", "owners") for b in scattered.column(c).to_pylist()) <= 5 * entries + 16 * parts * len(sets)
 
 
+def test_sets_are_shuffled_once(spark, monkeypatch):
+    """While members without a partner are looked for, neither texts nor sets lie in shuffle files beside the stored sets."""
+
+    def shuffled(since):
+        files = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        sizes = {files.apply(i).getName(): files.apply(i).length() for i in range(files.length())}
+        return {f: n for f, n in sizes.items() if f.startswith("shuffle_") and int(f.split("_")[1]) > since}
+
+    since = max([-1, *(int(f.split("_")[1]) for f in shuffled(-1))])
+    seen, kept = {}, ngram_join.stored
+    monkeypatch.setattr(ngram_join, "stored", lambda df, name="stored": (kept(df, name), seen.setdefault(name, sum(shuffled(since).values())))[0])
+    draw = random.Random(8)
+    rows = [r for f in range(20) for r in family(draw, 100 * f, [f"w{draw.randrange(10**6)}" for _ in range(3000)], 12, 9)]
+    docs = spark.createDataFrame([(*r, None, None) for r in rows], SCHEMA).repartition(4)
+    got = {r.doc_id: r.component_id for r in near_components(docs, words=5, percent=80).collect()}
+    assert got == {i: i // 100 * 100 for i, _ in rows}
+    assert seen["members"] < 8 * sum(len(t.split()) for _, t in rows) / 2
+
+
 def test_components_store_one_table_a_round(spark, monkeypatch):
     names, kept = [], components.stored
     monkeypatch.setattr(components, "stored", lambda df, name="stored": (names.append(name), kept(df, name))[1])
