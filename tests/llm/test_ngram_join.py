@@ -243,6 +243,14 @@ def test_unshared_rows_and_bytes_of_members(parts):
     assert sum(len(b) for c in ("keys", "owners") for b in scattered.column(c).to_pylist()) <= 5 * entries + 16 * parts * len(sets)
 
 
+def test_groups_counted_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BUCKET_GRAMS", 50)
+    rows = corpus(5)
+    docs = spark.createDataFrame([(*r, None, None) for r in rows], SCHEMA).repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_components(docs, words=5, percent=80).collect()}
+    assert got == brute(rows, 5, 80)
+
+
 def test_sets_are_shuffled_once(spark, monkeypatch):
     """While members without a partner are looked for, neither texts nor sets lie in shuffle files beside the stored sets."""
 
