@@ -19,6 +19,8 @@ from tallyhouse.operators.sampling import stratified_split
 from tallyhouse.operators.segments import Scaling, fit_scaling, to_vectors
 
 ROWS_PER_TASK = 20_000
+# Where the trees put a missing feature: below every threshold, as those of second order do (Spark refuses infinity).
+BELOW = -1e300
 
 
 @dataclass
@@ -37,17 +39,18 @@ class Classifier:
             scored = df
         else:
             probability = vector_to_array("probability")[1]
-            scored = self.model.transform(to_vectors(df, self.features, self.scaling))
+            scored = self.model.transform(to_vectors(df, self.features, self.scaling, missing=BELOW))
         return scored.select(
             *df.columns, probability.alias("raw_score"), (probability > 0.5).cast("int").alias("predicted")
         )
 
     def _linear(self) -> Column:
-        """The regression as one generated expression: no vectors, no function calls per row."""
+        """The regression as one generated expression: no vectors, no function calls per row. A null is the mean."""
         z = F.lit(float(self.model.intercept))
         for name, weight in zip(self.features, self.model.coefficients.toArray(), strict=True):
             mean, deviation = self.scaling[name]
-            z = z + F.lit(float(weight)) * (F.col(name).cast("double") - F.lit(mean)) / F.lit(deviation)
+            part = F.lit(float(weight)) * (F.col(name).cast("double") - F.lit(mean)) / F.lit(deviation)
+            z = z + F.coalesce(part, F.lit(0.0))
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 
 
@@ -78,8 +81,9 @@ def fit_logistic(
     """L2 logistic regression on scaled features.
 
     The penalty is stated per data set, Spark averages the loss over rows: hence 1/(C n).
+    A missing feature is the mean, in the fit and in scores.
     """
-    scaling = fit_scaling(train, features)
+    scaling = fit_scaling(train, features, filled=True)
     vectors = to_vectors(train, features, scaling).select("features", F.col(label).cast("double").alias("label"))
     vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     model = LogisticRegression(
@@ -101,12 +105,12 @@ def fit_boosted(
     step: float = 0.05,
     seed: int = 42,
 ) -> Classifier:
-    """Boosted trees on unscaled features; lineage is cut every 25 rounds.
+    """Boosted trees on unscaled features; lineage is cut every 25 rounds. A missing feature lies below every threshold.
 
     A round is a few short jobs, so tasks hold up to ``ROWS_PER_TASK`` rows each.
     """
     shared_dir(train.sparkSession)
-    vectors = to_vectors(train, features).select("features", F.col(label).cast("double").alias("label"))
+    vectors = to_vectors(train, features, missing=BELOW).select("features", F.col(label).cast("double").alias("label"))
     vectors = vectors.coalesce(-(-train.count() // ROWS_PER_TASK) or 1).persist(StorageLevel.MEMORY_AND_DISK)
     model = GBTClassifier(
         maxIter=rounds,

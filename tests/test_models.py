@@ -286,3 +286,28 @@ def test_newton_on_one_class_and_no_rows(spark):
     assert W.fit_newton(frame, ["a"], settings=W.Settings(rounds=3)).score(frame).agg(F.max("raw_score")).first()[0] < 0.5
     none = W.fit_newton(frame.limit(0), ["a"])
     assert none.trees == [] and {r.raw_score for r in none.score(frame).collect()} == {0.5}
+
+
+@pytest.fixture(scope="module")
+def gaps(spark, blobs):
+    """The blobs, where every fifth row lacks one or two of its measures."""
+    pdf = blobs[0].copy()
+    lacks = lambda i, j: i % 5 == 0 and (j == i // 5 % 3 or (j == 2 and i % 10 == 0))
+    rows = [
+        (*(None if lacks(i, j) else float(r[c]) for j, c in enumerate("abc")), r["id"], int(r["y"]))
+        for i, r in enumerate(pdf.to_dict("records"))
+    ]
+    return spark.createDataFrame(rows, "a double, b double, c double, id string, y int")
+
+
+def filled(frame):
+    """As a matrix, the mean in place of what is missing."""
+    x = frame.select("a", "b", "c").toPandas().to_numpy(float)
+    return np.where(np.isnan(x), np.nanmean(x, axis=0), x)
+
+
+def test_importances_with_missing_features(spark, gaps):
+    few = ["a", "b", "c"]
+    for fitted in (C.fit_boosted(gaps, few, "y", rounds=3), C.fit_logistic(gaps, few, "y")):
+        got = C.importances(fitted, spark).collect()
+        assert got[0].feature == "a" and len(got) == 3
