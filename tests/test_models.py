@@ -311,3 +311,13 @@ def test_importances_with_missing_features(spark, gaps):
     for fitted in (C.fit_boosted(gaps, few, "y", rounds=3), C.fit_logistic(gaps, few, "y")):
         got = C.importances(fitted, spark).collect()
         assert got[0].feature == "a" and len(got) == 3
+
+
+def test_boosted_scores_with_missing_features(spark, gaps):
+    """A missing feature lies below every threshold: as if it were less than all others."""
+    few = ["a", "b", "c"]
+    low = gaps.fillna(-1000.0, few)
+    got = {r.id: r.raw_score for r in C.fit_boosted(gaps, few, "y", rounds=5).score(gaps).collect()}
+    assert len(got) == 800
+    again = {r.id: r.raw_score for r in C.fit_boosted(low, few, "y", rounds=5).score(low).collect()}
+    assert all(got[i] == pytest.approx(again[i]) for i in got)
