@@ -321,3 +321,9 @@ def test_boosted_scores_with_missing_features(spark, gaps):
     assert len(got) == 800
     again = {r.id: r.raw_score for r in C.fit_boosted(low, few, "y", rounds=5).score(low).collect()}
     assert all(got[i] == pytest.approx(again[i]) for i in got)
+
+
+def test_boosted_tiers_with_missing_features(spark, gaps):
+    model = C.fit_boosted(gaps, ["a", "b", "c"], "y", rounds=3)
+    scored = C.score_customers(model, gaps, "id")
+    assert scored.where("churn_score between 0 and 1 and risk_tier is not null").count() == 800 and model.model.getNumTrees == 3
