@@ -327,3 +327,14 @@ def test_boosted_tiers_with_missing_features(spark, gaps):
     model = C.fit_boosted(gaps, ["a", "b", "c"], "y", rounds=3)
     scored = C.score_customers(model, gaps, "id")
     assert scored.where("churn_score between 0 and 1 and risk_tier is not null").count() == 800 and model.model.getNumTrees == 3
+
+
+def test_sweep_of_rows_that_lack_measures(spark, gaps):
+    scaling = G.fit_scaling(gaps, ["a", "b", "c"], filled=True)
+    swept = G.sweep_k(G.to_vectors(gaps, ["a", "b", "c"], scaling).select("features"), 2, 4, restarts=2).orderBy("k").collect()
+    assert 3 * 800 > swept[0].inertia > swept[1].inertia > swept[2].inertia and sum(r.best for r in swept) == 1
+
+
+def test_a_null_needs_a_place(spark, gaps):
+    with pytest.raises(Exception, match="VectorAssembler|null"):
+        G.to_vectors(gaps, ["a", "b", "c"]).select("features").collect()
