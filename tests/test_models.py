@@ -338,3 +338,10 @@ def test_sweep_of_rows_that_lack_measures(spark, gaps):
 def test_a_null_needs_a_place(spark, gaps):
     with pytest.raises(Exception, match="VectorAssembler|null"):
         G.to_vectors(gaps, ["a", "b", "c"]).select("features").collect()
+
+
+def test_squares_of_rows_that_lack_measures(spark, gaps):
+    """Scaled with the mean in place of nulls, every column has as many squares as rows."""
+    few = ["a", "b", "c"]
+    scaled = G.apply_scaling(gaps, G.fit_scaling(gaps, few, filled=True)).fillna(0.0, few)
+    assert scaled.agg(*[F.sum(F.col(c) ** 2).alias(c) for c in few]).first() == pytest.approx((800.0, 800.0, 800.0))
