@@ -345,3 +345,16 @@ def test_squares_of_rows_that_lack_measures(spark, gaps):
     few = ["a", "b", "c"]
     scaled = G.apply_scaling(gaps, G.fit_scaling(gaps, few, filled=True)).fillna(0.0, few)
     assert scaled.agg(*[F.sum(F.col(c) ** 2).alias(c) for c in few]).first() == pytest.approx((800.0, 800.0, 800.0))
+
+
+def test_clusters_of_rows_that_lack_measures(spark, gaps):
+    out = G.assign_clusters(gaps, ["a", "b", "c"], 4, restarts=3)
+    rows = out.collect()
+    assert len(rows) == 800 and sum(r.c is None for r in rows) == gaps.where("c is null").count()
+    x = filled(gaps)
+    z = (x - x.mean(0)) / x.std(0)
+    at = dict(zip([r.id for r in gaps.collect()], z, strict=True))
+    label = np.array([r.cluster for r in rows])
+    z = np.array([at[r.id] for r in rows])
+    means = np.array([z[label == k].mean(0) for k in range(4)])
+    assert (((z[:, None] - means) ** 2).sum(2).argmin(1) == label).mean() > 0.99
