@@ -358,3 +358,18 @@ def test_clusters_of_rows_that_lack_measures(spark, gaps):
     z = np.array([at[r.id] for r in rows])
     means = np.array([z[label == k].mean(0) for k in range(4)])
     assert (((z[:, None] - means) ** 2).sum(2).argmin(1) == label).mean() > 0.99
+
+
+def test_check_of_clusters_holds_rows_that_lack_measures(spark, monkeypatch):
+    """A cluster that such a customer is far from is misplaced; one customer is in the wrong cluster on purpose."""
+    from tallyhouse.labels import SEGMENT_FEATURES
+    from tallyhouse.plans import segment_queries as Q
+
+    rows = [(str(i), *[float(i % 4 * 10 + i % 3) + c for c in range(10)]) for i in range(200)]
+    rows += [("200", None, *rows[0][2:])]
+    frame = spark.createDataFrame(rows, "customer_id string, " + ", ".join(f"{c} double" for c in SEGMENT_FEATURES))
+    monkeypatch.setattr(Q, "customer_table", lambda *_: frame)
+    assert Q.kmeans_check(spark, "").first() == (201, 0, 0)
+    wrong = F.when(F.col("customer_id") == "200", 3).otherwise(F.col("customer_id").cast("int") % 4)
+    monkeypatch.setattr(G, "assign_clusters", lambda df, **_: df.withColumn("cluster", wrong))
+    assert Q.kmeans_check(spark, "").first() == (201, 0, 1)
