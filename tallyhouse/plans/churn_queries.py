@@ -155,7 +155,7 @@ def lr_check(spark, folder):
     _, balanced = C.training_rows(_labelled(spark, folder))
     fitted = C.fit_logistic(balanced)
     miss = F.col("raw_score") - F.col("churned")
-    columns = {c: (F.col(c).cast("double") - F.lit(m)) / F.lit(s) for c, (m, s) in fitted.scaling.items()}
+    columns = {c: F.coalesce((F.col(c).cast("double") - F.lit(m)) / F.lit(s), F.lit(0.0)) for c, (m, s) in fitted.scaling.items()}
     sums = fitted.score(balanced).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.col("churned").cast("bigint")).alias("ones"),

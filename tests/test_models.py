@@ -373,3 +373,14 @@ def test_check_of_clusters_holds_rows_that_lack_measures(spark, monkeypatch):
     wrong = F.when(F.col("customer_id") == "200", 3).otherwise(F.col("customer_id").cast("int") % 4)
     monkeypatch.setattr(G, "assign_clusters", lambda df, **_: df.withColumn("cluster", wrong))
     assert Q.kmeans_check(spark, "").first() == (201, 0, 1)
+
+
+def test_logistic_fits_every_row(spark, gaps):
+    """The gradient over all rows vanishes, those that lack measures included."""
+    few = ["a", "b", "c"]
+    fitted = C.fit_logistic(gaps, few, "y")
+    x = filled(gaps)
+    z = (x - x.mean(0)) / x.std(0)
+    assert all(fitted.scaling[c] == pytest.approx((x[:, j].mean(), x[:, j].std())) for j, c in enumerate(few))
+    miss = np.array([r.raw_score - r.y for r in fitted.score(gaps).collect()])
+    assert len(miss) == 800 and abs(z.T @ miss + fitted.model.coefficients.toArray()).max() / 800 < 1e-4
