@@ -384,3 +384,13 @@ def test_logistic_fits_every_row(spark, gaps):
     assert all(fitted.scaling[c] == pytest.approx((x[:, j].mean(), x[:, j].std())) for j, c in enumerate(few))
     miss = np.array([r.raw_score - r.y for r in fitted.score(gaps).collect()])
     assert len(miss) == 800 and abs(z.T @ miss + fitted.model.coefficients.toArray()).max() / 800 < 1e-4
+
+
+def test_logistic_scores_with_missing_features(spark, gaps):
+    """A missing feature is the mean."""
+    few = ["a", "b", "c"]
+    whole = pd.DataFrame(filled(gaps), columns=few)
+    whole[["id", "y"]] = gaps.select("id", "y").toPandas()
+    want = {r.id: r.raw_score for r in C.fit_logistic(spark.createDataFrame(whole), few, "y").score(spark.createDataFrame(whole)).collect()}
+    got = {r.id: r.raw_score for r in C.fit_logistic(gaps, few, "y").score(gaps).collect()}
+    assert len(got) == 800 and all(got[i] == pytest.approx(want[i], abs=1e-4) for i in want)
