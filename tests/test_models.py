@@ -394,3 +394,17 @@ def test_logistic_scores_with_missing_features(spark, gaps):
     want = {r.id: r.raw_score for r in C.fit_logistic(spark.createDataFrame(whole), few, "y").score(spark.createDataFrame(whole)).collect()}
     got = {r.id: r.raw_score for r in C.fit_logistic(gaps, few, "y").score(gaps).collect()}
     assert len(got) == 800 and all(got[i] == pytest.approx(want[i], abs=1e-4) for i in want)
+
+
+def test_axes_of_rows_that_lack_measures(spark, gaps):
+    """As the SQL twin: covariances over the rows that have both, a missing measure adds nothing."""
+    got = G.principal_axes(gaps, "id", ["a", "b", "c"]).toPandas().set_index("id")
+    pdf = gaps.toPandas()
+    z = (pdf[["a", "b", "c"]] - pdf[["a", "b", "c"]].mean()) / pdf[["a", "b", "c"]].std(ddof=0)
+    x = z.to_numpy(float)
+    cov = np.array([[np.nanmean(x[:, i] * x[:, j]) for j in range(3)] for i in range(3)])
+    value, axis = np.linalg.eigh(cov)
+    for j in range(2):
+        v = axis[:, -1 - j] * np.sign(axis[np.abs(axis[:, -1 - j]).argmax(), -1 - j])
+        assert np.allclose(got.loc[pdf.id, f"pca_{j + 1}"], np.nan_to_num(x) @ v, atol=1e-6)
+        assert got[f"explained_{j + 1}"].iloc[0] == pytest.approx(value[-1 - j] / 3)
