@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import RDD
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -20,7 +20,10 @@ from tallyhouse.labels import CHURN_FEATURES
 BINS, ACCURACY = 64, 100_000
 # Rounds after which the margins of the rows are brought up to date and cached.
 REFRESH = 5
-ROWS_PER_TASK = 50_000
+# A task is worth starting for so many rows, which are also a block; it takes at most so many when the cores are too few.
+ROWS_PER_TASK, MOST_ROWS = 50_000, 2_000_000
+# Up to so many tasks the driver adds up their tables itself, which saves each level a second stage.
+FEW_TASKS = 64
 
 NODES = "tree int, node int, feature string, threshold double, `left` int, `right` int, gain double, cover double, value double"
 
@@ -82,11 +85,17 @@ class NewtonTrees:
 
     def binned(self, x: np.ndarray) -> np.ndarray:
         """How many thresholds lie below each value."""
-        out = np.zeros(x.shape, np.uint8)
+        out = np.zeros(x.shape, np.uint8, order="F")
         for f, edges in enumerate(self.edges):
             out[:, f] = np.searchsorted(edges, np.where(np.isnan(x[:, f]), -np.inf, x[:, f]), side="left")
         return out
 
+    def part(self, batch: pa.RecordBatch, width: int) -> Part:
+        """A block from its features, label and mark."""
+        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        x = np.stack([c.astype(float) for c in columns[:width]], 1)
+        return Part(self.binned(x), columns[width].astype(float), columns[width + 1].astype(np.int64), np.zeros(len(x)))
+
     def importances(self, spark: SparkSession) -> DataFrame:
         """``feature, importance``: gains over all splits of a feature as a share of all gains; 0 without a split."""
         table = self.node_table(spark).where("feature is not null").groupBy("feature").agg(F.sum("gain").alias("gain"))
@@ -108,6 +117,8 @@ def leaf_values(tree: dict, binned: np.ndarray) -> np.ndarray:
 
 def landed(tree: dict, binned: np.ndarray, levels: int) -> np.ndarray:
     """The node of each row after so many levels, or the leaf it stopped at."""
+    if max(tree) < 128:
+        return _landed_by_node(tree, binned, levels)
     at = np.ones(len(binned), np.int64)
     size = max(tree) + 1
     feature, cut = np.full(size, -1), np.zeros(size, np.int64)
@@ -124,6 +135,21 @@ def landed(tree: dict, binned: np.ndarray, levels: int) -> np.ndarray:
     return at
 
 
+def _landed_by_node(tree: dict, binned: np.ndarray, levels: int) -> np.ndarray:
+    """The same for trees of few nodes, node by node: bytes are compared and added without looking anything up per row."""
+    at = np.ones(len(binned), np.uint8)
+    for level in range(levels):
+        inner = [n for n in tree if n >> level == 1 and tree[n][0] >= 0]
+        if not inner:
+            break
+        step = np.zeros(len(binned), np.uint8)
+        for n in inner:
+            right = binned[:, tree[n][0]] > tree[n][1]
+            step += (at == n).view(np.uint8) * (right.view(np.uint8) + np.uint8(n))
+        at += step
+    return at
+
+
 def drawn_rows(marks: np.ndarray, tree: int, share: float, seed: int) -> np.ndarray:
     """Whether each row takes part in a tree: a hash of its mark, the tree and the seed."""
     if share >= 1:
@@ -136,7 +162,7 @@ def drawn_rows(marks: np.ndarray, tree: int, share: float, seed: int) -> np.ndar
 
 @dataclass
 class Part:
-    """The rows of one partition: bins, labels, marks and the margins up to a round."""
+    """A block of rows: bins (column by column), labels, marks and the margins up to a round."""
 
     binned: np.ndarray
     label: np.ndarray
@@ -158,11 +184,11 @@ def fit_newton(
     """Trees fitted to the logistic loss with the gain and the leaf weights of second order.
 
     Each level is one job: a task adds up gradients and hessians of its rows by node, feature and
-    bin, the tables of all tasks are summed in a tree of tasks, and the driver reads one table of ``2 ** depth`` x
-    features x bins, whatever the number of rows. A task holds ``ROWS_PER_TASK`` rows as bytes, so the rows
-    per task bound memory. Rows are drawn by a hash of ``identity``, so a task that is run
-    again draws the same. Every ``REFRESH`` rounds the margins are brought up to date from the
-    stored rows, which a lost executor recomputes.
+    bin, and the tables of all tasks are summed, by the driver if there are up to ``FEW_TASKS``, else in a tree of tasks; a table
+    has ``2 ** depth`` x features x bins, whatever the number of rows. There are as many tasks as cores, or more, so that a task holds
+    ``MOST_ROWS`` rows at most; they are kept as bytes and read block by block, which bounds memory. Rows are drawn by a hash of
+    ``identity``, so a task that is run again draws the same. Every ``REFRESH`` rounds the margins are brought up to
+    date from the stored rows, which a lost executor recomputes; that happens in the job of the next level.
     """
     features = list(features)
     model = NewtonTrees(features, thresholds(train, features))
@@ -172,45 +198,68 @@ def fit_newton(
     )
     rows = stored(rows, "train")
     total = rows.count()
-    tasks = max(1, -(-total // ROWS_PER_TASK))
-    width = len(features)
-
+    tasks = _tasks(total, train.sparkSession.sparkContext.defaultParallelism)
+    width, block = len(features), ROWS_PER_TASK
     bins = NewtonTrees(features, model.edges)
 
-    def packed(rows_of_part: Iterator) -> Iterator[Part]:
-        frame = pd.DataFrame.from_records(list(rows_of_part), columns=[*[f"x{i}" for i in range(width)], "label", "mark"])
-        if len(frame):
-            x = frame.iloc[:, :width].to_numpy(float)
-            yield Part(bins.binned(x), frame["label"].to_numpy(float), frame["mark"].to_numpy(np.int64), np.zeros(len(frame)))
-
-    parts: RDD = rows.repartition(tasks).rdd.mapPartitions(packed).persist(StorageLevel.MEMORY_AND_DISK)
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[Part] = []
+        for batch in batches:
+            for start in range(0, batch.num_rows, block):
+                held.append(bins.part(batch.slice(start, block), width))
+                if sum(len(p.label) for p in held) >= block:
+                    yield _as_bytes(held)
+                    held = []
+        if held:
+            yield _as_bytes(held)
+
+    blocks = rows.repartition(tasks).mapInArrow(packed, "part binary").rdd
+    parts: RDD = blocks.map(lambda row: pickle.loads(row[0])).persist(StorageLevel.MEMORY_AND_DISK)
     generator = np.random.default_rng(settings.seed)
     take = max(1, round(settings.columns * width))
     since: list[dict] = []
+    depth = 1 if tasks <= FEW_TASKS else 2
     for t in range(settings.rounds if total else 0):
+        before = None
         if len(since) >= REFRESH:
-            parts = _refreshed(parts, since)
-            since = []
+            before, parts, since = parts, _refreshed(parts, since), []
         columns = np.sort(generator.permutation(width)[:take]) if take < width else np.arange(width)
         tree: dict[int, tuple] = {}
-        _grow(parts, model, tree, t, since, columns, settings)
+        _grow(parts, model, tree, t, since, columns, settings, depth)
+        if before is not None:
+            before.unpersist()
         model.trees.append(tree)
         since.append(tree)
     parts.unpersist()
     return model
 
 
+def _tasks(rows: int, cores: int) -> int:
+    """One task a core, fewer if they had less than ``ROWS_PER_TASK`` rows, more (the cores several times) if more than ``MOST_ROWS``."""
+    times = max(1, -(-rows // (MOST_ROWS * cores)))
+    return max(1, min(-(-rows // ROWS_PER_TASK), times * cores))
+
+
+def _as_bytes(parts: list[Part]) -> pa.RecordBatch:
+    """Parts put together, as one value."""
+    whole = parts[0]
+    if len(parts) > 1:
+        binned = np.asfortranarray(np.concatenate([p.binned for p in parts]))
+        whole = Part(binned, *(np.concatenate([getattr(p, c) for p in parts]) for c in ("label", "marks", "margin")))
+    return pa.RecordBatch.from_arrays([pa.array([pickle.dumps(whole, pickle.HIGHEST_PROTOCOL)], pa.binary())], ["part"])
+
+
 def _refreshed(parts: RDD, trees: list[dict]) -> RDD:
+    """Parts with the values of these trees in their margins, kept once a job has read them."""
+    trees = list(trees)
+
     def moved(part: Part) -> Part:
         return Part(part.binned, part.label, part.marks, part.margin + sum(leaf_values(t, part.binned) for t in trees))
 
-    new = parts.map(moved).persist(StorageLevel.MEMORY_AND_DISK)
-    new.count()
-    parts.unpersist()
-    return new
+    return parts.map(moved).persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def _grow(parts: RDD, model: NewtonTrees, tree: dict, number: int, since: list[dict], columns: np.ndarray, s: Settings) -> None:
+def _grow(parts: RDD, model: NewtonTrees, tree: dict, number: int, since: list[dict], columns: np.ndarray, s: Settings, depth: int) -> None:
     """Fill ``tree`` level by level; a node stays a leaf where no split gains more than ``least_gain``.
 
     What a split sends to either side gives the sums of its children, so the last level needs no job.
@@ -220,7 +269,7 @@ def _grow(parts: RDD, model: NewtonTrees, tree: dict, number: int, since: list[d
         if not live:
             return
         if level < s.depth:
-            sums = parts.map(_histogram(dict(tree), live, number, list(since), columns, level, s)).treeReduce(np.add)
+            sums = parts.map(_histogram(dict(tree), live, number, list(since), columns, level, s)).treeReduce(np.add, depth)
         following = []
         for k, node in enumerate(live):
             g, h = known[node] if node in known else sums[k, 0].sum(0)
@@ -247,18 +296,18 @@ def _histogram(tree: dict, live: list[int], number: int, since: list[dict], colu
 
     def histogram(part: Part) -> np.ndarray:
         margin = part.margin + sum((leaf_values(t, part.binned) for t in since), 0.0)
-        p = 1.0 / (1.0 + np.exp(-margin))
-        g, h = p - part.label, p * (1.0 - p)
-        at = landed(tree, part.binned, level) if tree else np.ones(len(g), np.int64)
+        at = landed(tree, part.binned, level) if tree else np.ones(len(margin), np.int64)
         where = np.full(max(max(live), int(at.max())) + 1, -1)
         for node, k in place.items():
             where[node] = k
         slot = where[at]
-        keep = (slot >= 0) & drawn_rows(part.marks, number, s.rows, s.seed)
-        slot, g, h = slot[keep], g[keep], h[keep]
+        keep = np.flatnonzero((slot >= 0) & drawn_rows(part.marks, number, s.rows, s.seed))
+        first = slot[keep] * BINS
+        p = 1.0 / (1.0 + np.exp(-margin[keep]))
+        g, h = p - part.label[keep], p * (1.0 - p)
         out = np.zeros((len(live), len(columns), BINS, 2))
         for j, f in enumerate(columns):
-            index = slot * BINS + part.binned[keep, f]
+            index = first + part.binned[:, f][keep]
             for i, weight in enumerate((g, h)):
                 out[:, j, :, i] = np.bincount(index, weight, minlength=len(live) * BINS).reshape(len(live), BINS)
         return out

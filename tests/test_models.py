@@ -408,3 +408,45 @@ def test_axes_of_rows_that_lack_measures(spark, gaps):
         v = axis[:, -1 - j] * np.sign(axis[np.abs(axis[:, -1 - j]).argmax(), -1 - j])
         assert np.allclose(got.loc[pdf.id, f"pca_{j + 1}"], np.nan_to_num(x) @ v, atol=1e-6)
         assert got[f"explained_{j + 1}"].iloc[0] == pytest.approx(value[-1 - j] / 3)
+
+
+def test_newton_tasks_follow_the_cores():
+    """A task a core, not one for every 50,000 rows; beyond the most rows a task may hold, the cores several times."""
+    assert [W._tasks(n, 6) for n in (0, 1, 50_001, 299_999, 1_000_000, 7_000_000, 12_000_001)] == [1, 1, 2, 6, 6, 6, 12]
+
+
+def test_newton_jobs_and_blocks(spark, monkeypatch):
+    """Blocks of 20 rows, one task a core: a job a level and no other, also where margins are brought up to date."""
+    frame, s = planted(spark, 300), W.Settings(rounds=2 * W.REFRESH + 2, depth=2)
+    one = W.fit_newton(frame, ["a", "b", "c"], settings=s).rows()
+    monkeypatch.setattr(W, "ROWS_PER_TASK", 20)
+    context, grow, tasks = spark.sparkContext, W._grow, set()
+
+    def counted(parts, *given):
+        context.setJobGroup("levels", "")  # what runs from the first tree on
+        tasks.add(parts.getNumPartitions())
+        grow(parts, *given)
+
+    monkeypatch.setattr(W, "_grow", counted)
+    try:
+        many = W.fit_newton(frame, ["a", "b", "c"], settings=s).rows()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert [r[:4] for r in many] == [r[:4] for r in one]
+    assert tasks == {min(15, context.defaultParallelism)}
+    assert len(context.statusTracker().getJobIdsForGroup("levels")) == s.depth * s.rounds
+
+
+def test_newton_walks_agree():
+    """Trees of few and of many nodes are walked in two ways."""
+    draw = np.random.default_rng(5)
+    binned = np.asfortranarray(draw.integers(0, 64, (500, 4), dtype=np.uint8))
+    tree, far = {}, {}
+    for n in range(1, 64):
+        inner = n < 32 and (n == 1 or tree[n // 2][0] >= 0) and draw.random() < 0.9
+        if n == 1 or (n // 2 in tree and tree[n // 2][0] >= 0):
+            tree[n] = (int(draw.integers(4)), int(draw.integers(63)), 1.0, 1.0, 0.0) if inner else (-1, -1, 0.0, 1.0, draw.random())
+    far = tree | {200: (-1, -1, 0.0, 1.0, 0.0)}  # nobody gets there
+    for levels in range(7):
+        assert (W.landed(tree, binned, levels) == W.landed(far, binned, levels)).all()
+    assert (W.leaf_values(tree, binned) == W.leaf_values(far, binned)).all()
